@@ -333,3 +333,49 @@ def q_quality_results(spark, sf):
     res = metrics.results_table(rp, ["model"]).withColumnsRenamed(
         {"model": "Model", "test_accuracy": "Test Accuracy", "test_f1": "Test F1"})
     return quality.check_results(res)
+
+
+# ------------------------------------------------------------------- balancing weights
+from cohortlens.operators import balance, explain  # noqa: E402
+from cohortlens.functions.columns import safe_name  # noqa: E402
+
+
+@query("class_weights", with_outcomes(
+    "SELECT outcome, count(*) AS count, (SELECT count(*) FROM outcomes) / "
+    "((SELECT count(DISTINCT outcome) FROM outcomes) * count(*)) AS weight FROM outcomes GROUP BY outcome"),
+    round_cols=["weight"], operators=["B02"])
+def q_class_weights(spark, sf):
+    return balance.class_weights(outcomes(spark, sf), "outcome")
+
+
+@query("row_weights", with_outcomes(
+    "SELECT id, outcome, (SELECT count(*) FROM outcomes) / ((SELECT count(DISTINCT outcome) FROM outcomes) "
+    "* count(*) OVER (PARTITION BY outcome)) AS weight FROM outcomes"), round_cols=["weight"], operators=["B03"])
+def q_row_weights(spark, sf):
+    return balance.with_weights(outcomes(spark, sf), "outcome").select("id", "outcome", "weight")
+
+
+# ------------------------------------------------------------------- examples, caps, names
+@query("example_rows", with_rules(
+    "SELECT label AS class, coalesce(min(CASE WHEN label = prediction THEN row_id END), min(row_id)) AS row_id "
+    "FROM rp WHERE model = 'rule_full' AND variant = 'baseline' GROUP BY label"), operators=["X06"])
+def q_example_rows(spark, sf):
+    rp = rule_predictions(spark, sf).where((F.col("model") == "rule_full") & (F.col("variant") == "baseline"))
+    return explain.pick_examples(rp)
+
+
+@query("capped_test_rows", with_outcomes(
+    "SELECT id, outcome FROM (" + __import__("cohortlens.plans.q_prep", fromlist=["SPLIT_SQL"]).SPLIT_SQL
+    + ") WHERE split = 'test' ORDER BY id LIMIT 500"), operators=["X11"])
+def q_capped_test_rows(spark, sf):
+    from cohortlens.plans.q_prep import split_outcomes
+    test = split_outcomes(spark, sf).where(F.col("split") == "test")
+    return explain.cap_rows(test, 500, "id").select("id", "outcome")
+
+
+@query("safe_part_names",
+       "SELECT p_partkey, lower(substring(translate(p_name, '/ ', '__'), 1, 30)) AS safe_name FROM part",
+       operators=["X12"])
+def q_safe_part_names(spark, sf):
+    from cohortlens.sources.tables import load_table
+    return load_table(spark, sf, "part").select("p_partkey", safe_name("p_name").alias("safe_name"))
