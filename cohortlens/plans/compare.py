@@ -50,6 +50,14 @@ def compare(spark, con, query, sf_dir: str) -> dict:
     if sorted(d_cols) != sorted(s_cols):
         res["status"] = f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
         return res
+    tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+    s_types = {f.name: tmap.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in rel.description}
+    mism = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if mism:
+        res["type_mismatch"] = mism
     d_rows = [tuple(_norm(r[idx[c]]) for c in sorted(s_cols)) for r in d_all]
     key = lambda t: tuple((x is None, str(type(x)), str(x)) for x in t)
     s_sorted, d_sorted = sorted(s_rows, key=key), sorted(d_rows, key=key)

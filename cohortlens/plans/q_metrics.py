@@ -188,7 +188,7 @@ k AS (SELECT model, variant, class, threshold, CAST(tps AS BIGINT) AS tps, CAST(
 roc AS (SELECT model, variant, class, threshold,
           CASE WHEN max(fps) OVER p = 0 THEN NULL ELSE fps / max(fps) OVER p END AS fpr,
           CASE WHEN max(tps) OVER p = 0 THEN NULL ELSE tps / max(tps) OVER p END AS tpr,
-          row_number() OVER (PARTITION BY model, variant, class ORDER BY idx) - 1 AS point
+          CAST(row_number() OVER (PARTITION BY model, variant, class ORDER BY idx) - 1 AS INTEGER) AS point
         FROM k WINDOW p AS (PARTITION BY model, variant, class))"""
 
 
@@ -243,7 +243,7 @@ def q_results_union(spark, sf):
 
 @query("results_ranked", with_rules(
     "WITH " + _results_sql("WHERE variant = 'baseline'") +
-    "\nSELECT model, cv_f1, test_accuracy, test_f1, row_number() OVER (ORDER BY test_f1 DESC NULLS LAST, model) AS rank FROM res",
+    "\nSELECT model, cv_f1, test_accuracy, test_f1, CAST(row_number() OVER (ORDER BY test_f1 DESC NULLS LAST, model) AS INTEGER) AS rank FROM res",
     per_class=True), round_cols=["test_accuracy", "test_f1"], operators=["E14"])
 def q_results_ranked(spark, sf):
     rp = rule_predictions(spark, sf).where(F.col("variant") == "baseline")

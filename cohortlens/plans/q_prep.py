@@ -166,7 +166,7 @@ def q_anova_f_scores(spark, sf):
 
 @query("select_k_best", f"""
 WITH s AS ({ANOVA_SQL})
-SELECT * FROM (SELECT s.*, row_number() OVER (ORDER BY f_score DESC NULLS LAST, position) AS rank FROM s)
+SELECT * FROM (SELECT s.*, CAST(row_number() OVER (ORDER BY f_score DESC NULLS LAST, position) AS INTEGER) AS rank FROM s)
 WHERE rank <= 10""", round_cols=["f_score"], operators=["L02", "L05"])
 def q_select_k_best(spark, sf):
     return select.select_k_best(_anova_spark(spark, sf), 10)
@@ -235,7 +235,7 @@ def _domain_sql() -> str:
         if r.allowed is not None:
             conds.append(f"{r.column} NOT IN (" + ", ".join(f"'{v}'" for v in r.allowed) + ")")
         cond = f"{r.column} IS NOT NULL AND (" + " OR ".join(conds) + ")"
-        parts.append(f"SELECT '{r.column}' AS \"column\", count_if({cond}) AS violations, "
+        parts.append(f"SELECT '{r.column}' AS \"column\", CAST(count_if({cond}) AS BIGINT) AS violations, "
                      f"count_if({cond}) = 0 AS passed FROM outcomes")
     return with_outcomes("\nUNION ALL\n".join(parts))
 

@@ -132,8 +132,8 @@ def q_infer_roles(spark, sf):
 
 
 @query("null_counts_raw", with_raw("\nUNION ALL\n".join(
-    [f"SELECT {i} AS position, '{c}' AS \"column\", count_if({c} IS NULL"
-     f"{' OR isnan(' + c + ')' if c in ('admission', 'q1', 'q2') else ''}) AS nulls FROM raw"
+    [f"SELECT {i} AS position, '{c}' AS \"column\", CAST(count_if({c} IS NULL"
+     f"{' OR isnan(' + c + ')' if c in ('admission', 'q1', 'q2') else ''}) AS BIGINT) AS nulls FROM raw"
      for i, c in enumerate(RAW_COLUMNS)]
     + [f"SELECT {len(RAW_COLUMNS)} AS position, '__total__' AS \"column\", CAST("
        + " + ".join(f"count_if({c} IS NULL)" for c in RAW_COLUMNS) + " AS BIGINT) AS nulls FROM raw"])),
@@ -169,7 +169,7 @@ def _box_sql() -> str:
         parts.append(f"""SELECT s.outcome, '{c}' AS "column", q1, median, q3,
   min(CASE WHEN x >= lo AND x <= hi THEN x END) AS whisker_lo,
   max(CASE WHEN x >= lo AND x <= hi THEN x END) AS whisker_hi,
-  count_if(x < lo OR x > hi) AS outliers, count(x) AS n
+  CAST(count_if(x < lo OR x > hi) AS BIGINT) AS outliers, count(x) AS n
 FROM (SELECT outcome, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1,
         quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3,
         quantile_cont(CAST({c} AS DOUBLE), 0.25) - 1.5 * (quantile_cont(CAST({c} AS DOUBLE), 0.75) - quantile_cont(CAST({c} AS DOUBLE), 0.25)) AS lo,
@@ -200,15 +200,17 @@ def q_age_histogram(spark, sf):
 
 
 @query("priority_outcome_counts", with_outcomes(
-    "SELECT priority, count_if(outcome = 'Dropout') AS Dropout, count_if(outcome = 'Enrolled') AS Enrolled, "
-    "count_if(outcome = 'Graduate') AS Graduate FROM outcomes GROUP BY priority"), operators=["P15"])
+    "SELECT priority, CAST(count_if(outcome = 'Dropout') AS BIGINT) AS Dropout, "
+    "CAST(count_if(outcome = 'Enrolled') AS BIGINT) AS Enrolled, "
+    "CAST(count_if(outcome = 'Graduate') AS BIGINT) AS Graduate FROM outcomes GROUP BY priority"), operators=["P15"])
 def q_priority_outcome_counts(spark, sf):
     return eda.crosstab(outcomes(spark, sf), "priority", "outcome", values=CLASSES)
 
 
 @query("status_segment_outcome_counts", with_outcomes(
-    "SELECT status, segment, count_if(outcome = 'Dropout') AS Dropout, "
-    "count_if(outcome = 'Enrolled') AS Enrolled, count_if(outcome = 'Graduate') AS Graduate "
+    "SELECT status, segment, CAST(count_if(outcome = 'Dropout') AS BIGINT) AS Dropout, "
+    "CAST(count_if(outcome = 'Enrolled') AS BIGINT) AS Enrolled, "
+    "CAST(count_if(outcome = 'Graduate') AS BIGINT) AS Graduate "
     "FROM outcomes GROUP BY status, segment"), operators=["P16"])
 def q_status_segment_outcome_counts(spark, sf):
     return eda.crosstab(outcomes(spark, sf), ["status", "segment"], "outcome", values=CLASSES)
@@ -275,11 +277,11 @@ def q_corr_with_target(spark, sf):
 @query("ranked_correlations", f"""
 WITH c AS ({_CORR_WITH_SQL})
 SELECT * FROM (
-  SELECT "column", corr, 'top' AS side, row_number() OVER (ORDER BY corr DESC, "column") AS rank FROM c WHERE corr IS NOT NULL
+  SELECT "column", corr, 'top' AS side, CAST(row_number() OVER (ORDER BY corr DESC, "column") AS INTEGER) AS rank FROM c WHERE corr IS NOT NULL
 ) WHERE rank <= 5
 UNION ALL
 SELECT * FROM (
-  SELECT "column", corr, 'bottom' AS side, row_number() OVER (ORDER BY corr ASC, "column") AS rank FROM c WHERE corr IS NOT NULL
+  SELECT "column", corr, 'bottom' AS side, CAST(row_number() OVER (ORDER BY corr ASC, "column") AS INTEGER) AS rank FROM c WHERE corr IS NOT NULL
 ) WHERE rank <= 5""", round_cols=["corr"], operators=["P22"])
 def q_ranked_correlations(spark, sf):
     return eda.rank_corr(_corr_with_spark(spark, sf), 5)
