@@ -256,7 +256,7 @@ def fit_apply(pipeline: Pipeline, train: DataFrame, *others: DataFrame):
 def feature_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
     """Output slot names, `num__<col>` then `cat__<col>_<value>`."""
     names = [f"num__{c}" for c in numeric]
-    idx = [s for s in model.stages if isinstance(s, StringIndexerModel)]
+    idx = [s for s in model.stages if isinstance(s, StringIndexerModel) and s.isSet("inputCols")]
     if idx:
         for c, labels in zip(categorical, idx[0].labelsArray):
             names += [f"cat__{c}_{v}" for v in labels]

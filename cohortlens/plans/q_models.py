@@ -1 +1,132 @@
-"""(filled in below)"""
+"""Queries that fit Spark ML models on the fixture (M01, M02, M07, M08,
+M12-M17, L03, L04, D03). Results depend on fitted models, so these have
+no SQL twin (rows-only check); their properties are asserted in tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from cohortlens.operators import metrics, models, prep, quality, select
+from cohortlens.operators.features import ENGINEERED, engineer_features
+from cohortlens.plans.registry import query
+from cohortlens.session import materialize
+from cohortlens.sources.tables import CLASSES, FIXTURE_CATEGORICAL, FIXTURE_NUMERIC, outcomes
+
+
+def prepared(spark, sf, engineered: bool = False):
+    """Split -> (engineer) -> label index + preprocessing fitted on train.
+
+    Returns (train, test, pipeline_model, numeric, categorical)."""
+    df = outcomes(spark, sf)
+    if engineered:
+        df = engineer_features(df)
+    # every preprocessing stage reads the split again: materialise it once
+    sp = materialize(prep.stratified_split(df, "outcome", "id"))
+    train, test = prep.split_frames(sp)
+    numeric = FIXTURE_NUMERIC + (ENGINEERED if engineered else [])
+    pipe = Pipeline(stages=[prep.label_indexer("outcome", "label"),
+                            *prep.build_preprocessor(numeric, FIXTURE_CATEGORICAL).getStages()])
+    pm = pipe.fit(train)
+    keep = ["id", "outcome", "label", "features"]
+    # fitted repeatedly below: cut the lineage once (reliable checkpoint)
+    return (materialize(pm.transform(train).select(*keep)), materialize(pm.transform(test).select(*keep)),
+            pm, numeric, FIXTURE_CATEGORICAL)
+
+
+def _decoded(scored, model_name):
+    labels = F.array(*[F.lit(c) for c in CLASSES])
+    return scored.select(F.lit(model_name).alias("model"), F.col("id").alias("row_id"),
+                         F.col("outcome").alias("label"),
+                         F.element_at(labels, F.col("prediction").cast("int") + 1).alias("prediction"))
+
+
+@query("model_tree_predictions", operators=["M01", "M16", "M17"])
+def q_model_tree_predictions(spark, sf):
+    train, test, *_ = prepared(spark, sf)
+    model = models.decision_tree(max_depth=10).fit(train)
+    scored = models.predict_proba(models.predict(model, test), CLASSES)
+    return scored.select("id", "outcome", "prediction", *[f"p_{c}" for c in CLASSES])
+
+
+@query("model_results", operators=["M01", "M02", "M07", "E10"])
+def q_model_results(spark, sf):
+    train, test, *_ = prepared(spark, sf)
+    n = train.count()
+    fitted = {
+        "Decision Tree": models.decision_tree(max_depth=10).fit(train),
+        "Logistic Regression": models.logistic(C=1.0, n=n, max_iter=200).fit(train),
+        "Random Forest": models.random_forest(n_estimators=20, max_depth=8).fit(train),
+    }
+    preds = None
+    for name, m in fitted.items():
+        p = _decoded(m.transform(test), name)
+        preds = p if preds is None else preds.unionByName(p)
+    return metrics.results_table(preds, ["model"])
+
+
+@query("model_forest_regressor_classes", operators=["M08", "M06", "E06"])
+def q_model_forest_regressor_classes(spark, sf):
+    train, test, *_ = prepared(spark, sf)
+    model = models.random_forest_regressor(n_estimators=20, max_depth=8, max_features="onethird").fit(train)
+    scored = models.to_class(model.transform(test), "prediction", "class_code")
+    return scored.select("id", "label", F.col("prediction").alias("value"), "class_code")
+
+
+@query("grid_search_tree", operators=["M12"])
+def q_grid_search_tree(spark, sf):
+    train, _, *_ = prepared(spark, sf)
+    folded = prep.fold_column(train, "label", "id", folds=3)
+    est = models.decision_tree()
+    g = models.grid(est, maxDepth=[5, 10], impurity=["gini", "entropy"])
+    _, table = models.grid_search(est, g, folded, fold_col="fold", parallelism=4)
+    return table
+
+
+@query("cv_scores_tree", operators=["M13"])
+def q_cv_scores_tree(spark, sf):
+    train, _, *_ = prepared(spark, sf)
+    folded = prep.fold_column(train, "label", "id", folds=5)
+    return models.cv_scores(models.decision_tree(max_depth=10), folded, folds=5)
+
+
+@query("learning_curve_forest", operators=["M14"])
+def q_learning_curve_forest(spark, sf):
+    train, _, *_ = prepared(spark, sf)
+    folded = prep.fold_column(train, "label", "id", folds=3)
+    return models.learning_curve(models.random_forest(n_estimators=10, max_depth=6), folded,
+                                 [0.25, 0.5, 1.0], "id", folds=3)
+
+
+@query("forest_importances", operators=["M15", "T10"])
+def q_forest_importances(spark, sf):
+    train, _, pm, numeric, categorical = prepared(spark, sf)
+    model = models.random_forest(n_estimators=20, max_depth=8).fit(train)
+    names = prep.feature_names(pm, numeric, categorical)
+    return models.importances(model, names, 20, spark)
+
+
+@query("k_sweep", operators=["L03", "L04", "L05"])
+def q_k_sweep(spark, sf):
+    train, _, *_ = prepared(spark, sf, engineered=True)
+    folded = materialize(prep.fold_column(train, "label", "id", folds=3))
+    rows = []
+    for k in (5, 10, 20):
+        pipe = Pipeline(stages=[select.FScoreSelector(featuresCol="features", labelCol="label",
+                                                      outputCol="selected", k=k),
+                                models.decision_tree(max_depth=10, features="selected")])
+        scores = models.cv_scores(pipe, folded, folds=3)
+        rows += [(k, r["fold"], r["score"]) for r in scores.collect()]
+    sweep = spark.createDataFrame(rows, "k int, fold int, score double")
+    summary = models.summarize_scores(sweep, ["k"])
+    best = select.best_k(summary)
+    best_k = best.first()["best_k"]
+    return summary.withColumn("is_best", F.col("k") == best_k)
+
+
+@query("quality_feature_width", operators=["D03", "T07"])
+def q_quality_feature_width(spark, sf):
+    train, _, pm, numeric, categorical = prepared(spark, sf)
+    width = len(prep.feature_names(pm, numeric, categorical))
+    return quality.check_width(train, "features", width)

@@ -67,3 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, eager: bool = True):
+    """Cut the lineage of a table reused by iterative jobs.
+
+    Uses a reliable checkpoint in the shared checkpoint folder (never a
+    local checkpoint), so a lost executor does not force a recompute of
+    the whole upstream plan.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
