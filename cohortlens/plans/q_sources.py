@@ -1 +1,53 @@
-"""(filled in below)"""
+"""Queries for sources and sinks.
+
+Each writes data Spark derived from the given tables to a fresh folder
+under the shared checkpoint folder and reads it back through the
+operator under test; the DuckDB twin computes the same rows directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortlens.operators import prep
+from cohortlens.plans.oracle import with_outcomes
+from cohortlens.plans.q_metrics import RP_CTE, rule_predictions, with_rules
+from cohortlens.plans.q_prep import with_split
+from cohortlens.plans.q_profile import DOUBLE_OUTCOME
+from cohortlens.plans.registry import query
+from cohortlens.session import scratch_path
+from cohortlens.sources import files
+from cohortlens.sources.tables import outcomes
+
+
+@query("csv_roundtrip_sniffed", with_outcomes("SELECT * FROM outcomes"), round_cols=DOUBLE_OUTCOME,
+       operators=["A01", "A02", "A10"])
+def q_csv_roundtrip_sniffed(spark, sf):
+    df = outcomes(spark, sf)
+    path = scratch_path(spark, "outcomes-csv")
+    files.write_table(df, path, "csv", sep=";")
+    # delimiter sniffed from the first line, schema given (no inference pass)
+    return files.read_table(spark, path, schema=df.schema, sep=None)
+
+
+@query("feature_matrix_roundtrip", with_split("SELECT id, outcome FROM sp WHERE split = 'train'"),
+       operators=["A03", "A05"])
+def q_feature_matrix_roundtrip(spark, sf):
+    from cohortlens.plans.q_models import prepared
+    train, *_ = prepared(spark, sf)
+    path = scratch_path(spark, "features")
+    files.save_features(train, path)
+    back = files.load_features(spark, path)
+    return back.select("id", "outcome")
+
+
+@query("predictions_partitioned", with_rules(
+    "SELECT model, row_id, prediction FROM rp WHERE model = 'rule_full' AND variant = 'baseline'"),
+    operators=["A06", "A07"])
+def q_predictions_partitioned(spark, sf):
+    rp = rule_predictions(spark, sf).where(F.col("variant") == "baseline") \
+        .select("model", "row_id", "label", "prediction")
+    path = scratch_path(spark, "predictions")
+    files.save_predictions(rp, path)
+    back = files.load_predictions(spark, path, models=["rule_full"])
+    return back.select("model", "row_id", "prediction")
