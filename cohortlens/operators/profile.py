@@ -124,9 +124,15 @@ def missing_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     a string built per row and grouped (partial aggregation map-side).
     """
     columns = list(columns) if columns is not None else df.columns
-    flags = [F.when(q(c).isNull(), F.lit("0")).otherwise(F.lit("1")) for c in columns]
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+
+    def absent(c: str) -> Column:
+        m = q(c).isNull()
+        return m | F.isnan(q(c)) if types[c] in ("double", "float") else m
+
+    flags = [F.when(absent(c), F.lit("0")).otherwise(F.lit("1")) for c in columns]
     pattern = F.concat(*flags)
-    missing = sum((F.when(q(c).isNull(), 1).otherwise(0) for c in columns), F.lit(0))
+    missing = sum((F.when(absent(c), 1).otherwise(0) for c in columns), F.lit(0))
     return (df.select(pattern.alias("pattern"), missing.alias("n_missing"))
             .groupBy("pattern", "n_missing").agg(F.count(F.lit(1)).alias("rows")))
 

@@ -142,9 +142,13 @@ def q_null_counts_raw(spark, sf):
     return profile.null_counts(outcomes_raw(spark, sf))
 
 
+def _absent(c: str) -> str:
+    return f"{c} IS NULL OR isnan({c})" if c in ("admission", "q1", "q2") else f"{c} IS NULL"
+
+
 @query("missing_patterns_raw", with_raw(
-    "SELECT " + " || ".join(f"CASE WHEN {c} IS NULL THEN '0' ELSE '1' END" for c in RAW_COLUMNS)
-    + " AS pattern, " + " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in RAW_COLUMNS)
+    "SELECT " + " || ".join(f"CASE WHEN {_absent(c)} THEN '0' ELSE '1' END" for c in RAW_COLUMNS)
+    + " AS pattern, " + " + ".join(f"CASE WHEN {_absent(c)} THEN 1 ELSE 0 END" for c in RAW_COLUMNS)
     + " AS n_missing, count(*) AS \"rows\" FROM raw GROUP BY ALL"), operators=["P09"])
 def q_missing_patterns_raw(spark, sf):
     return profile.missing_patterns(outcomes_raw(spark, sf))
