@@ -15,15 +15,32 @@ from cohortlens.session import materialize
 from cohortlens.sources.tables import CLASSES, FIXTURE_CATEGORICAL, FIXTURE_NUMERIC, outcomes
 
 
+_PREPARED: dict = {}
+
+
 def prepared(spark, sf, engineered: bool = False):
     """Split -> (engineer) -> label index + preprocessing fitted on train.
 
-    Returns (train, test, pipeline_model, numeric, categorical)."""
+    Returns (train, test, pipeline_model, numeric, categorical). The result
+    is deterministic, so it is built once per session and data folder and
+    shared by the model queries (both tables are checkpointed).
+    """
+    key = (id(spark), sf, engineered)
+    if key not in _PREPARED:
+        _PREPARED[key] = _prepare(spark, sf, engineered)
+    return _PREPARED[key]
+
+
+def _prepare(spark, sf, engineered):
     df = outcomes(spark, sf)
     if engineered:
         df = engineer_features(df)
-    # every preprocessing stage reads the split again: materialise it once
-    sp = materialize(prep.stratified_split(df, "outcome", "id"))
+    # the split reads its input several times (counts, boundary, rows): keep it
+    # persisted while the split is written; every preprocessing stage then
+    # reads the checkpointed split
+    base = df.persist()
+    sp = materialize(prep.stratified_split(base, "outcome", "id"))
+    base.unpersist()
     train, test = prep.split_frames(sp)
     numeric = FIXTURE_NUMERIC + (ENGINEERED if engineered else [])
     pipe = Pipeline(stages=[prep.label_indexer("outcome", "label"),

@@ -20,7 +20,9 @@ def scoring_fixture(spark, sf):
     train split; return (PipelineModel, test rows without the label)."""
     key = (id(spark), sf)
     if key not in _MEMO:
-        sp = materialize(prep.stratified_split(outcomes(spark, sf), "outcome", "id"))
+        base = outcomes(spark, sf).persist()
+        sp = materialize(prep.stratified_split(base, "outcome", "id"))
+        base.unpersist()
         train, test = prep.split_frames(sp)
         fe = score.FeatureEngineer()
         label_model = prep.label_indexer("outcome", "label").fit(train)

@@ -78,3 +78,34 @@ def materialize(df, eager: bool = True):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+class IterativeFrame:
+    """Keeps the working table of an iterative algorithm cheap to reread.
+
+    Each `step` persists the new table (memory, spilling to disk) and drops
+    the previous one; every `every` steps the table is instead written as a
+    reliable checkpoint, so lineage stays bounded and a lost executor only
+    recomputes from the last checkpoint (the scheme of Spark ML's periodic
+    checkpointer).
+    """
+
+    def __init__(self, every: int = 10):
+        self.every, self.n, self.prev = every, 0, None
+
+    def step(self, df):
+        from pyspark import StorageLevel
+        self.n += 1
+        if self.n % self.every == 0:
+            out = materialize(df)
+        else:
+            out = df.persist(StorageLevel.MEMORY_AND_DISK)
+            out.count()
+        self.release()
+        self.prev = out
+        return out
+
+    def release(self):
+        if self.prev is not None:
+            self.prev.unpersist()
+            self.prev = None
