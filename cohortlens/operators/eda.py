@@ -16,6 +16,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortlens.operators.profile import q
 
@@ -40,25 +41,98 @@ def _values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) -> list:
     return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
 
 
+def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequence[float],
+                      buckets: int = 256, accuracy: int = 1_000) -> DataFrame:
+    """Exact percentiles (linear interpolation) per class and column without
+    gathering a class's values in one task.
+
+      1. global approximate quantiles give `buckets` value ranges per column
+         (bounded statistics);
+      2. rows are counted per (class, column, range) - partial aggregation,
+         a tiny shuffle;
+      3. a running sum over the ranges finds, for every needed rank, its
+         range and the rank inside it;
+      4. only rows of those ranges are read again, reduced to distinct
+         (value, count) and ranked there.
+    Returns (by, column, p, value).
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    cols, probs = list(cols), [float(x) for x in probs]
+    grid = [i / buckets for i in range(1, buckets)]
+    cuts = df.agg(*[F.percentile_approx(q(c).cast("double"), grid, accuracy).alias(f"__s{i}")
+                    for i, c in enumerate(cols)]).first()
+    splits = []
+    for i in range(len(cols)):
+        inner = sorted(set(float(x) for x in (cuts[f"__s{i}"] or []) if x is not None and x == x))
+        splits.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
+    # value ranges by binary search on the JVM (Bucketizer), one index column per input column
+    base = df.select(q(by).alias("__by"), *[q(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    based = Bucketizer(splitsArray=splits, inputCols=[f"__v{i}" for i in range(len(cols))],
+                       outputCols=[f"__r{i}" for i in range(len(cols))], handleInvalid="keep").transform(base)
+    keyed = based.select("__by", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"__v{i}").alias("v"), F.col(f"__r{i}").cast("int").alias("__b"))
+        for i, c in enumerate(cols)]))).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = keyed.groupBy("__by", "column", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("__by", "column").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("__cum", F.sum("__n").over(w)).withColumn(
+        "__tot", F.sum("__n").over(Window.partitionBy("__by", "column")))
+    # ranks needed for each p: floor and ceil of (n - 1) * p (0-based)
+    pos = F.explode(F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
+    need = cum.select("__by", "column", "__tot").distinct().select("*", pos.alias("__pp")).select(
+        "__by", "column", "__tot", F.col("__pp.pi").alias("pi"), F.col("__pp.p").alias("p"),
+        ((F.col("__tot") - 1) * F.col("__pp.p")).alias("h"))
+    need = need.select("*", F.explode(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))).alias("rank"))
+    located = need.join(cum, ["__by", "column", "__tot"]).where(
+        (F.col("rank") < F.col("__cum")) & (F.col("rank") >= F.col("__cum") - F.col("__n"))) \
+        .select("__by", "column", "pi", "p", "h", "rank", "__b", (F.col("rank") - F.col("__cum") + F.col("__n"))
+                .alias("local"))
+    targets = located.select("__by", "column", "__b").distinct()
+    vals = (keyed.join(targets, ["__by", "column", "__b"], "left_semi")
+            .groupBy("__by", "column", "__b", "v").agg(F.count(F.lit(1)).alias("c")))
+    vw = Window.partitionBy("__by", "column", "__b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    vals = vals.withColumn("__hi", F.sum("c").over(vw)).withColumn("__lo", F.col("__hi") - F.col("c"))
+    picked = located.join(vals, ["__by", "column", "__b"]).where(
+        (F.col("local") >= F.col("__lo")) & (F.col("local") < F.col("__hi")))
+    out = picked.groupBy("__by", "column", "pi", "p", "h").agg(
+        F.min_by("v", "rank").alias("v_lo"), F.max_by("v", "rank").alias("v_hi"))
+    value = F.col("v_lo") + (F.col("h") - F.floor("h")) * (F.col("v_hi") - F.col("v_lo"))
+    return out.select(F.col("__by").alias(by), "column", "p", value.alias("value"))
+
+
 def box_stats(df: DataFrame, by: str, cols: Sequence[str], approx: bool = False,
               accuracy: int = 10_000) -> DataFrame:
     """Per class and column q1, median, q3 (linear interpolation),
     whiskers (most extreme data inside 1.5 IQR) and outlier count.
 
-    Pass 1: one grouped `percentile` per column (buffers hold value
-    counts and are merged map-side; `approx=True` uses bounded-memory
-    sketches for high-cardinality columns). Pass 2: the per-class fences
-    are joined back (broadcast: one row per class) and whiskers/outliers
-    are one more grouped aggregate.
+    Pass 1: exact quartiles by bucketed rank selection
+    (`exact_percentiles`; no class is gathered in one task), or bounded
+    sketches with `approx=True`. The per-class quartiles (one row per
+    class, count checked) are gathered once; pass 2 joins the fences back
+    (broadcast of that checked table) and whiskers and outliers are one
+    more grouped aggregate.
     """
     cols = list(cols)
-    pct = []
-    for i, c in enumerate(cols):
-        x = q(c).cast("double")
-        p = (F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(x, [0.25, 0.5, 0.75]))
-        pct.append(p.alias(f"__p{i}"))
-    stats = df.groupBy(q(by).alias("__by")).agg(*pct)
+    if approx:
+        stats = df.groupBy(q(by).alias("__by")).agg(*[
+            F.percentile_approx(q(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(f"__p{i}")
+            for i, c in enumerate(cols)])
+    else:
+        ex = exact_percentiles(df, by, cols, [0.25, 0.5, 0.75]).withColumnRenamed(by, "__by")
+        idx = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
+        stats = (ex.withColumn("__i", idx[F.col("column")]).groupBy("__by").pivot("__i", list(range(len(cols))))
+                 .agg(F.array_sort(F.collect_list(F.struct("p", "value"))).alias("a")))
+        stats = stats.select("__by", *[F.transform(F.col(f"`{i}`"), lambda s_: s_["value"]).alias(f"__p{i}")
+                                       for i in range(len(cols))])
+    # one row per class: gather the quartiles once (size checked) so the
+    # fences join and the final join reuse them instead of recomputing
+    rows = stats.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(rows) > MAX_BROADCAST_ROWS:
+        raise ValueError("too many classes for box statistics")
+    by_type = df.select(q(by)).schema.fields[0].dataType.simpleString()
+    stats = df.sparkSession.createDataFrame(
+        [tuple([r["__by"]] + [list(r[f"__p{i}"]) if r[f"__p{i}"] is not None else None for i in range(len(cols))])
+         for r in rows], f"__by {by_type}, " + ", ".join(f"__p{i} array<double>" for i in range(len(cols))))
     fences = stats.select("__by", *[
         x for i in range(len(cols)) for x in (
             (F.col(f"__p{i}")[0] - WHISKER_IQR * (F.col(f"__p{i}")[2] - F.col(f"__p{i}")[0]))
@@ -76,7 +150,7 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], approx: bool = False,
                  F.max(F.when(inside, x)).alias(f"__wh{i}"),
                  F.count_if((x < lo) | (x > hi)).alias(f"__o{i}"),
                  F.count(x).alias(f"__n{i}")]
-    whisk = joined.groupBy("__by").agg(*aggs).join(stats, "__by")
+    whisk = joined.groupBy("__by").agg(*aggs).join(F.broadcast(stats), "__by")
     entries = F.array(*[F.struct(
         F.lit(c).alias("column"),
         F.col(f"__p{i}")[0].alias("q1"), F.col(f"__p{i}")[1].alias("median"),

@@ -126,17 +126,30 @@ def binarize(preds: DataFrame, labels: Sequence, label: str = "label", id_cols=(
     return preds.select(*keys, *ids, F.inline(F.array(*entries)))
 
 
+def _score_ranges(agg: DataFrame, col: str, buckets: int, accuracy: int = 1_000) -> DataFrame:
+    """Order-preserving range index of `col` (Bucketizer = binary search on the
+    JVM) from global approximate quantiles; only balance depends on them."""
+    from pyspark.ml.feature import Bucketizer
+    grid = [i / buckets for i in range(1, buckets)]
+    cuts = agg.agg(F.percentile_approx(F.col(col), grid, accuracy)).first()[0] or []
+    inner = sorted(set(float(x) for x in cuts if x is not None and x == x))
+    splits = [float("-inf")] + (inner or [0.0]) + [float("inf")]
+    return Bucketizer(splits=splits, inputCol=col, outputCol="__b", handleInvalid="keep").transform(agg)
+
+
 def roc_curve(binarized: DataFrame, keys=("model",), drop_intermediate: bool = True,
-              score_bins: int | None = None) -> DataFrame:
+              score_bins: int | None = None, buckets: int = 256) -> DataFrame:
     """ROC points per (keys, class); tied scores share one point.
 
     Rows are first reduced to (keys, class, score) with positive and
-    negative counts; cumulative counts run over the distinct scores
-    (descending) per (keys, class). The origin point (threshold NULL) is
-    added, and with `drop_intermediate` the points whose second
-    differences in both fps and tps are zero are dropped, as in the
-    reference's metric library. `score_bins` floors scores to that grid
-    first when the distinct-score count is unbounded.
+    negative counts. Running counts over the distinct scores (descending)
+    are computed in two levels so no (keys, class) is ever sorted in one
+    task: scores are cut into order-preserving ranges, a small per-range
+    summary gives each range's offsets, and windows run per
+    (keys, class, range). Neighbour values for `drop_intermediate` (drop
+    points whose second differences in fps and tps are both zero) cross
+    range borders through the same summary. The origin point has a NULL
+    threshold. `score_bins` floors scores to a grid first (optional).
     """
     keys = _keys(keys)
     part = keys + ["class"]
@@ -144,32 +157,82 @@ def roc_curve(binarized: DataFrame, keys=("model",), drop_intermediate: bool = T
     if score_bins:
         score = F.floor(score * score_bins) / score_bins
     agg = binarized.groupBy(*part, score.alias("threshold")).agg(
-        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    w = Window.partitionBy(*part).orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    pts = agg.withColumn("tps", F.sum("pos").over(w)).withColumn("fps", F.sum("neg").over(w))
-    o = Window.partitionBy(*part).orderBy(F.desc("threshold"))
-    pts = pts.withColumn("idx", F.row_number().over(o))
+        F.sum("y").cast("long").alias("pos"), F.sum(1 - F.col("y")).cast("long").alias("neg"))
+    ranged = _score_ranges(agg, "threshold", buckets)
+    summary = ranged.groupBy(*part, "__b").agg(
+        F.sum("pos").alias("bp"), F.sum("neg").alias("bn"), F.count(F.lit(1)).alias("bc"),
+        F.max_by("pos", "threshold").alias("fp"), F.max_by("neg", "threshold").alias("fn"))
+    wb = Window.partitionBy(*part).orderBy(F.desc("__b"))
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*part)
+    summary = summary.select(
+        *part, "__b",
+        F.coalesce(F.sum("bp").over(before), F.lit(0)).alias("offp"),
+        F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("offn"),
+        F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("offc"),
+        F.lead("fp").over(wb).alias("nfp"), F.lead("fn").over(wb).alias("nfn"),
+        F.sum("bp").over(whole).alias("P"), F.sum("bn").over(whole).alias("N"))
+    wr = Window.partitionBy(*part, "__b").orderBy(F.desc("threshold"))
+    run = wr.rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.join(summary, part + ["__b"]).select(
+        *part, "__b", "threshold", "pos", "neg", "offc", "nfp", "nfn", "P", "N",
+        (F.col("offp") + F.sum("pos").over(run)).alias("tps"),
+        (F.col("offn") + F.sum("neg").over(run)).alias("fps"),
+        F.row_number().over(wr).alias("__li"))
     if drop_intermediate:
-        def d2(c):
-            return F.lead(c).over(o) - 2 * F.col(c) + F.lag(c).over(o)
-        keep = (F.lag("tps").over(o).isNull() | F.lead("tps").over(o).isNull()
-                | (d2("fps") != 0) | (d2("tps") != 0))
-        pts = pts.withColumn("__keep", keep).where("__keep").drop("__keep")
-    origin = pts.where(F.col("idx") == 1).select(
+        first = F.col("__li") == 1
+        prev_t = F.when(first, F.when(F.col("offc") > 0, F.col("tps") - F.col("pos"))).otherwise(
+            F.lag("tps").over(wr))
+        prev_f = F.when(first, F.when(F.col("offc") > 0, F.col("fps") - F.col("neg"))).otherwise(
+            F.lag("fps").over(wr))
+        nxt_t = F.coalesce(F.lead("tps").over(wr), F.col("tps") + F.col("nfp"))
+        nxt_f = F.coalesce(F.lead("fps").over(wr), F.col("fps") + F.col("nfn"))
+        rows = rows.withColumn("__pt", prev_t).withColumn("__pf", prev_f) \
+            .withColumn("__nt", nxt_t).withColumn("__nf", nxt_f)
+        keep = (F.col("__pt").isNull() | F.col("__nt").isNull()
+                | (F.col("__nf") - 2 * F.col("fps") + F.col("__pf") != 0)
+                | (F.col("__nt") - 2 * F.col("tps") + F.col("__pt") != 0))
+        rows = rows.where(keep)
+    # point numbers: kept rows per range -> offsets -> local numbering
+    kept = rows.groupBy(*part, "__b").agg(F.count(F.lit(1)).alias("kc"))
+    kept = kept.select(*part, "__b", F.coalesce(F.sum("kc").over(before), F.lit(0)).alias("offk"))
+    pts = rows.join(kept, part + ["__b"]).select(
+        *part, "threshold", "tps", "fps", "P", "N",
+        (F.col("offk") + F.row_number().over(wr)).cast("int").alias("point"))
+    origin = summary.where(F.col("offc") == 0).select(
         *part, F.lit(None).cast("double").alias("threshold"), F.lit(0).cast("long").alias("tps"),
-        F.lit(0).cast("long").alias("fps"), F.lit(0).alias("idx"))
-    allp = pts.select(*part, "threshold", F.col("tps").cast("long"), F.col("fps").cast("long"), "idx") \
-        .unionByName(origin)
-    tot = Window.partitionBy(*part)
-    return allp.select(
-        *part, "threshold",
-        F.try_divide(F.col("fps"), F.max("fps").over(tot)).alias("fpr"),
-        F.try_divide(F.col("tps"), F.max("tps").over(tot)).alias("tpr"),
-        (F.row_number().over(Window.partitionBy(*part).orderBy("idx")) - 1).alias("point"))
+        F.lit(0).cast("long").alias("fps"), "P", "N", F.lit(0).alias("point"))
+    allp = pts.unionByName(origin)
+    return allp.select(*part, "threshold", F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
+                       F.try_divide(F.col("tps"), F.col("P")).alias("tpr"), "point")
+
+
+def auc_from_scores(binarized: DataFrame, keys=("model",)) -> DataFrame:
+    """E09 without any window: over the full curve each distinct score adds
+    the trapezoid neg/N * (2 tps - pos) / (2 P), where tps counts positives
+    at or above it. Running counts come from `roc_curve`'s two-level plan."""
+    return _auc_full(binarized, _keys(keys))
+
+
+def _auc_full(binarized: DataFrame, keys) -> DataFrame:
+    part = keys + ["class"]
+    agg = binarized.groupBy(*part, F.col("score").alias("threshold")).agg(
+        F.sum("y").cast("long").alias("pos"), F.sum(1 - F.col("y")).cast("long").alias("neg"))
+    ranged = _score_ranges(agg, "threshold", 256)
+    summary = ranged.groupBy(*part, "__b").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    wb = Window.partitionBy(*part).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*part)
+    summary = summary.select(*part, "__b", F.coalesce(F.sum("bp").over(wb), F.lit(0)).alias("offp"),
+                             F.sum("bp").over(whole).alias("P"), F.sum("bn").over(whole).alias("N"))
+    wr = Window.partitionBy(*part, "__b").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.join(summary, part + ["__b"]).withColumn("tps", F.col("offp") + F.sum("pos").over(wr))
+    area = F.try_divide(F.col("neg") * (2 * F.col("tps") - F.col("pos")), 2.0 * F.col("N") * F.col("P"))
+    return rows.groupBy(*part).agg(F.sum(area).alias("auc"))
 
 
 def auc(roc: DataFrame, keys=("model",)) -> DataFrame:
-    """Trapezoid area under each ROC curve."""
+    """E09 from an ROC point table (a window per curve; use
+    `auc_from_scores` when the curve itself is unbounded)."""
     keys = _keys(keys)
     part = keys + ["class"]
     o = Window.partitionBy(*part).orderBy("point")

@@ -205,7 +205,7 @@ SELECT model, variant, class, sum(area) AS auc FROM (
   FROM roc WINDOW o AS (PARTITION BY model, variant, class ORDER BY point)) GROUP BY ALL"""),
     round_cols=["auc"], operators=["E09"])
 def q_rule_auc(spark, sf):
-    return metrics.auc(metrics.roc_curve(_binarized(spark, sf), KEYS), KEYS)
+    return metrics.auc_from_scores(_binarized(spark, sf), KEYS)
 
 
 def _results_sql(where: str = "", keys: str = "model, variant") -> str:

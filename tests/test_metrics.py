@@ -52,3 +52,32 @@ def test_rank_and_best(spark):
     ranked = {r["model"]: r["rank"] for r in metrics.rank_models(res).collect()}
     assert ranked == {"y": 1, "z": 2, "x": 3}
     assert metrics.best_model(res, "test_f1").first()["model"] == "y"
+
+
+def _roc_reference(y, s, drop=True):
+    """sklearn-style roc_curve written out: distinct thresholds descending,
+    cumulative tps/fps, optional collinear drop, origin prepended."""
+    order = np.argsort(-s, kind="stable")
+    y, s = y[order], s[order]
+    idx = np.r_[np.nonzero(np.diff(s))[0], len(s) - 1]
+    tps = np.cumsum(y)[idx]
+    fps = 1 + idx - tps
+    if drop and len(tps) > 2:
+        keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+        tps, fps = tps[keep], fps[keep]
+    tps, fps = np.r_[0, tps], np.r_[0, fps]
+    return list(zip(fps / fps[-1], tps / tps[-1]))
+
+
+def test_roc_two_level_matches_reference_across_range_borders(spark):
+    rng = np.random.default_rng(7)
+    s = np.round(rng.random(400), 2)                  # many ties
+    y = (rng.random(400) < s).astype(int)
+    rows = [("m", i, "k", int(y[i]), float(s[i])) for i in range(400)]
+    b = spark.createDataFrame(rows, "model string, row_id long, class string, y int, score double")
+    exp = _roc_reference(y, s)
+    for buckets in (1, 3, 17):
+        got = [(r["fpr"], r["tpr"]) for r in metrics.roc_curve(b, buckets=buckets).orderBy("point").collect()]
+        assert np.allclose(got, exp), buckets
+    auc_exp = sum((exp[i][0] - exp[i - 1][0]) * (exp[i][1] + exp[i - 1][1]) / 2 for i in range(1, len(exp)))
+    assert np.isclose(metrics.auc_from_scores(b).first()["auc"], auc_exp)
