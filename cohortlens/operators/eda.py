@@ -204,18 +204,17 @@ def crosstab(df: DataFrame, rows: Sequence[str] | str, col: str, normalize: str
 
 
 def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float = KDE_CUT,
-        bw_adjust: float = 1.0, prebin: int | None = None) -> DataFrame:
+        bw_adjust: float = 1.0) -> DataFrame:
     """Gaussian density per class on a grid (violin data).
 
     Bandwidth is Scott's rule: n^(-1/5) * sample std. The grid spans
     min - cut*bw .. max + cut*bw with `points` points per class.
 
-    Plan: rows are first reduced to distinct (class, value) counts
-    (map-side partial aggregation), then joined to the grid. The grid has
-    classes x points rows; the per-class statistics that define it are a
-    small statistics pass, so its size is known before it is broadcast.
-    `prebin` snaps values to that many bins per class first, for columns
-    whose distinct count is too high.
+    Plan: a statistics pass gives per-class n, std, min and max (one row
+    per class, count checked). The grid enters as literal maps keyed by
+    class, and all `points` kernel sums are accumulated in one grouped
+    aggregate: no join, no row expansion, and only classes x points
+    partial sums per map task are shuffled.
     """
     x = q(col).cast("double")
     stats = (df.where(x.isNotNull()).groupBy(q(by).alias("__by"))
@@ -223,34 +222,29 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
                   F.min(x).alias("lo"), F.max(x).alias("hi"))
              .limit(MAX_BROADCAST_ROWS // points + 1).collect())
     if len(stats) * points > MAX_BROADCAST_ROWS:
-        raise ValueError("too many classes for a broadcast grid")
-    grid = []
+        raise ValueError("too many classes for a density grid")
+    start, step, bws, ns = {}, {}, {}, {}
     for r in stats:
         sd = r["sd"] if r["sd"] is not None else 0.0
         bw = bw_adjust * sd * r["n"] ** (-0.2)
         g_lo, g_hi = r["lo"] - cut * bw, r["hi"] + cut * bw
-        step = (g_hi - g_lo) / (points - 1) if points > 1 else 0.0
-        for i in range(points):
-            grid.append((r["__by"], i, g_lo + i * step, bw, r["n"]))
-    spark = df.sparkSession
-    by_type = df.select(q(by)).schema.fields[0].dataType.simpleString()
-    grid_df = spark.createDataFrame(grid, f"__by {by_type}, point int, x double, bw double, n long")
-    base = df.where(x.isNotNull()).select(q(by).alias("__by"), x.alias("v"))
-    if prebin:
-        lo_hi = F.broadcast(spark.createDataFrame(
-            [(r["__by"], r["lo"], r["hi"]) for r in stats], f"__by {by_type}, lo double, hi double"))
-        w = (F.col("hi") - F.col("lo")) / prebin
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / w), F.lit(prebin - 1))
-        base = base.join(lo_hi, "__by").select(
-            "__by", F.when(w == 0, F.col("v")).otherwise(F.col("lo") + (b + 0.5) * w).alias("v"))
-    counts = base.groupBy("__by", "v").agg(F.count(F.lit(1)).alias("c"))
-    z = (F.col("x") - F.col("v")) / F.col("bw")
-    dens = (counts.join(F.broadcast(grid_df), "__by")
-            .groupBy("__by", "point", "x", "bw", "n")
-            .agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("s")))
-    return dens.select(
-        F.col("__by").alias(by), "point", "x",
-        (F.col("s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))).alias("density"))
+        start[r["__by"]], step[r["__by"]] = g_lo, (g_hi - g_lo) / (points - 1) if points > 1 else 0.0
+        bws[r["__by"]], ns[r["__by"]] = bw, r["n"]
+
+    def lit_map(d: dict) -> Column:
+        return F.create_map(*[v for k, val in d.items() for v in (F.lit(k), F.lit(float(val)))])
+
+    g0, gs, gb = lit_map(start), lit_map(step), lit_map(bws)
+    key = q(by)
+    sums = []
+    for i in range(points):
+        z = (g0[key] + F.lit(i) * gs[key] - x) / gb[key]
+        sums.append(F.sum(F.exp(-0.5 * z * z)).alias(f"__s{i}"))
+    agg = df.where(x.isNotNull()).groupBy(key.alias("__by")).agg(*sums)
+    norm = F.col("__n") * gb[F.col("__by")] * math.sqrt(2 * math.pi)
+    entries = F.array(*[F.struct(F.lit(i).alias("point"), (g0[F.col("__by")] + F.lit(i) * gs[F.col("__by")]).alias("x"),
+                                 (F.col(f"__s{i}") / norm).alias("density")) for i in range(points)])
+    return agg.withColumn("__n", lit_map(ns)[F.col("__by")]).select(F.col("__by").alias(by), F.inline(entries))
 
 
 def scatter(df: DataFrame, x: str, y: str, by: str, id_col: str | None = None,
