@@ -94,7 +94,7 @@ def q_model_forest_regressor_classes(spark, sf):
 @query("grid_search_tree", operators=["M12"])
 def q_grid_search_tree(spark, sf):
     train, _, *_ = prepared(spark, sf)
-    folded = prep.fold_column(train, "label", "id", folds=3)
+    folded = materialize(prep.fold_column(train, "label", "id", folds=3))
     est = models.decision_tree()
     g = models.grid(est, maxDepth=[5, 10], impurity=["gini", "entropy"])
     _, table = models.grid_search(est, g, folded, fold_col="fold", parallelism=4)
@@ -104,14 +104,14 @@ def q_grid_search_tree(spark, sf):
 @query("cv_scores_tree", operators=["M13"])
 def q_cv_scores_tree(spark, sf):
     train, _, *_ = prepared(spark, sf)
-    folded = prep.fold_column(train, "label", "id", folds=5)
+    folded = materialize(prep.fold_column(train, "label", "id", folds=5))
     return models.cv_scores(models.decision_tree(max_depth=10), folded, folds=5)
 
 
 @query("learning_curve_forest", operators=["M14"])
 def q_learning_curve_forest(spark, sf):
     train, _, *_ = prepared(spark, sf)
-    folded = prep.fold_column(train, "label", "id", folds=3)
+    folded = materialize(prep.fold_column(train, "label", "id", folds=3))
     return models.learning_curve(models.random_forest(n_estimators=10, max_depth=6), folded,
                                  [0.25, 0.5, 1.0], "id", folds=3)
 
@@ -128,16 +128,8 @@ def q_forest_importances(spark, sf):
 def q_k_sweep(spark, sf):
     train, _, *_ = prepared(spark, sf, engineered=True)
     folded = materialize(prep.fold_column(train, "label", "id", folds=3))
-    rows = []
-    for k in (5, 10, 20):
-        pipe = Pipeline(stages=[select.FScoreSelector(featuresCol="features", labelCol="label",
-                                                      outputCol="selected", k=k),
-                                models.decision_tree(max_depth=10, features="selected")])
-        scores = models.cv_scores(pipe, folded, folds=3)
-        rows += [(k, r["fold"], r["score"]) for r in scores.collect()]
-    sweep = spark.createDataFrame(rows, "k int, fold int, score double")
-    summary = models.summarize_scores(sweep, ["k"])
-    best = select.best_k(summary)
+    summary, best = select.sweep_k(folded, [5, 10, 20], lambda feat: models.decision_tree(max_depth=10, features=feat),
+                                   folds=3)
     best_k = best.first()["best_k"]
     return summary.withColumn("is_best", F.col("k") == best_k)
 
