@@ -29,6 +29,9 @@ from cohortlens.functions.columns import half_even_class
 
 MAX_DEPTH = 30
 DEFAULT_SEED = 42
+# node ids cached per row (fewer passes for deep trees; checkpointed every 10
+# iterations into the shared checkpoint folder) and a larger per-pass node budget
+TREE_TUNING = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
 
 
 def _depth(d):
@@ -41,7 +44,7 @@ def decision_tree(max_depth=None, min_samples_leaf: int = 1, criterion: str = "g
     """M01."""
     est = DecisionTreeClassifier(featuresCol=features, labelCol=label, impurity=criterion,
                                  maxDepth=_depth(max_depth), minInstancesPerNode=min_samples_leaf,
-                                 maxBins=max_bins, seed=seed)
+                                 maxBins=max_bins, seed=seed, **TREE_TUNING)
     if weight:
         est.setWeightCol(weight)
     return est
@@ -64,7 +67,7 @@ def random_forest(n_estimators: int = 100, max_depth=None, min_samples_leaf: int
     """Per-split feature subsets (`sqrt` / `log2`)."""
     est = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_estimators,
                                  maxDepth=_depth(max_depth), minInstancesPerNode=min_samples_leaf,
-                                 featureSubsetStrategy=max_features, maxBins=max_bins, seed=seed)
+                                 featureSubsetStrategy=max_features, maxBins=max_bins, seed=seed, **TREE_TUNING)
     if weight:
         est.setWeightCol(weight)
     return est
@@ -76,7 +79,7 @@ def random_forest_regressor(n_estimators: int = 100, max_depth=None, min_samples
     """Regression on class codes; `to_class` maps outputs back."""
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=n_estimators,
                                  maxDepth=_depth(max_depth), minInstancesPerNode=min_samples_leaf,
-                                 featureSubsetStrategy=max_features, maxBins=max_bins, seed=seed)
+                                 featureSubsetStrategy=max_features, maxBins=max_bins, seed=seed, **TREE_TUNING)
 
 
 def to_class(df: DataFrame, pred: str = "prediction", out: str = "class_prediction", lo: int = 0,

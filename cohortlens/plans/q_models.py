@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import metrics, models, prep, quality, select
 from cohortlens.operators.features import ENGINEERED, engineer_features
 from cohortlens.plans.registry import query
-from cohortlens.session import materialize
+from cohortlens.session import materialize, spread
 from cohortlens.sources.tables import CLASSES, FIXTURE_CATEGORICAL, FIXTURE_NUMERIC, outcomes
 
 
@@ -48,8 +48,8 @@ def _prepare(spark, sf, engineered):
     pm = pipe.fit(train)
     keep = ["id", "outcome", "label", "features"]
     # fitted repeatedly below: cut the lineage once (reliable checkpoint)
-    return (materialize(pm.transform(train).select(*keep)), materialize(pm.transform(test).select(*keep)),
-            pm, numeric, FIXTURE_CATEGORICAL)
+    return (materialize(spread(pm.transform(train).select(*keep))),
+            materialize(spread(pm.transform(test).select(*keep))), pm, numeric, FIXTURE_CATEGORICAL)
 
 
 def _decoded(scored, model_name):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import models, prep, score, select
 from cohortlens.operators.features import ENGINEERED
 from cohortlens.plans.registry import query
-from cohortlens.session import materialize, scratch_path
+from cohortlens.session import materialize, scratch_path, spread
 from cohortlens.sources.files import load_first, load_model, save_model
 from cohortlens.sources.tables import CLASSES, FIXTURE_CATEGORICAL, FIXTURE_NUMERIC, outcomes
 
@@ -28,7 +28,7 @@ def scoring_fixture(spark, sf):
         label_model = prep.label_indexer("outcome", "label").fit(train)
         pre = prep.build_preprocessor(FIXTURE_NUMERIC + ENGINEERED, FIXTURE_CATEGORICAL)
         staged = Pipeline(stages=[fe, *pre.getStages()]).fit(label_model.transform(train))
-        prepared = materialize(staged.transform(label_model.transform(train)).select("id", "label", "features"))
+        prepared = materialize(spread(staged.transform(label_model.transform(train)).select("id", "label", "features")))
         sel = select.FScoreSelector(featuresCol="features", labelCol="label", outputCol="selected", k=20).fit(prepared)
         clf = models.logistic(C=1.0, n=prepared.count(), features="selected", max_iter=200) \
             .fit(sel.transform(prepared))

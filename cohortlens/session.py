@@ -109,3 +109,11 @@ class IterativeFrame:
         if self.prev is not None:
             self.prev.unpersist()
             self.prev = None
+
+
+def spread(df, per_core: int = 1):
+    """Round-robin the rows over (cores x per_core) partitions before a
+    table is checkpointed for iterative fits: AQE may have coalesced a small
+    upstream stage into fewer partitions than there are cores."""
+    n = df.sparkSession.sparkContext.defaultParallelism * per_core
+    return df.repartition(n)
