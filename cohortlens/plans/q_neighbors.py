@@ -63,15 +63,17 @@ SELECT qid, label AS prediction, votes FROM (
 @query("knn_predict_uniform", _vote_sql(5, "euclidean", "uniform"), round_cols=["votes"], operators=["M03", "M16"])
 def q_knn_predict_uniform(spark, sf):
     train, test = _emb_split(spark, sf)
-    model = neighbors.KNNClassifier(5, "uniform", "euclidean", id_col="vec_id", vec="embedding").fit(train)
-    return model.transform(test)
+    model = neighbors.KNNClassifier(k=5, weights="uniform", metric="euclidean", idCol="vec_id",
+                                    vecCol="embedding").fit(train)
+    return model.transform(test).select(F.col("vec_id").alias("qid"), "prediction", "votes")
 
 
 @query("knn_predict_distance_l1", _vote_sql(7, "manhattan", "distance"), round_cols=["votes"], operators=["M03"])
 def q_knn_predict_distance_l1(spark, sf):
     train, test = _emb_split(spark, sf)
-    model = neighbors.KNNClassifier(7, "distance", "manhattan", id_col="vec_id", vec="embedding").fit(train)
-    return model.transform(test)
+    model = neighbors.KNNClassifier(k=7, weights="distance", metric="manhattan", idCol="vec_id",
+                                    vecCol="embedding").fit(train)
+    return model.transform(test).select(F.col("vec_id").alias("qid"), "prediction", "votes")
 
 
 SMOTE_SQL = """WITH ev AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(len(embedding))) AS i FROM embeddings),
