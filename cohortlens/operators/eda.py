@@ -294,16 +294,19 @@ def corr_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 
 
 def rank_corr(corr: DataFrame, n: int = 10) -> DataFrame:
-    """N highest and n lowest correlations (a small per-column table)."""
-    top = corr.where(F.col("corr").isNotNull()).orderBy(F.desc("corr"), "column").limit(n) \
-        .withColumn("side", F.lit("top"))
-    bottom = corr.where(F.col("corr").isNotNull()).orderBy(F.asc("corr"), "column").limit(n) \
-        .withColumn("side", F.lit("bottom"))
+    """N highest and n lowest correlations.
+
+    Both rankings are windows over the small per-column table, evaluated
+    once; each row is emitted as 'top' and/or 'bottom' with `inline`, so
+    the correlation aggregate upstream runs a single time.
+    """
     from pyspark.sql.window import Window
-    # rank within the <= 2n selected rows
-    w = Window.partitionBy("side").orderBy(
-        F.when(F.col("side") == "top", -F.col("corr")).otherwise(F.col("corr")), "column")
-    return top.unionByName(bottom).withColumn("rank", F.row_number().over(w))
+    valid = corr.where(F.col("corr").isNotNull())
+    ranked = (valid.withColumn("__top", F.row_number().over(Window.orderBy(F.desc("corr"), "column")))
+              .withColumn("__bottom", F.row_number().over(Window.orderBy(F.asc("corr"), "column"))))
+    both = F.array(F.struct(F.lit("top").alias("side"), F.col("__top").alias("rank")),
+                   F.struct(F.lit("bottom").alias("side"), F.col("__bottom").alias("rank")))
+    return ranked.select("column", "corr", F.inline(F.filter(both, lambda e: e["rank"] <= n)))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
