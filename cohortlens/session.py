@@ -117,3 +117,21 @@ def spread(df, per_core: int = 1):
     upstream stage into fewer partitions than there are cores."""
     n = df.sparkSession.sparkContext.defaultParallelism * per_core
     return df.repartition(n)
+
+
+def cluster_settings(total_cores: int, input_bytes: int) -> dict:
+    """Suggested settings for a cluster run (applied by the caller at
+    session build time): about 3 shuffle partitions per core but at least
+    one per 256 MB of input, 256 MB scan splits, AQE coalescing to 128 MB
+    and skew-join splitting."""
+    parts = max(3 * total_cores, input_bytes // (256 * 1024 * 1024))
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
