@@ -177,8 +177,8 @@ class PopulationScalerModel(Model, _ColumnsParams, DefaultParamsReadable, Defaul
 class ModeImputer(Estimator, _ColumnsParams, DefaultParamsReadable, DefaultParamsWritable):
     """Fill NULL with the most frequent value; a tie takes the smallest.
 
-    Works for string and numeric columns; all modes come from one
-    aggregate (`mode(.., deterministic=True)`).
+    Works for string and numeric columns; all columns are counted in one
+    grouped aggregate.
     """
 
     @keyword_only
@@ -187,10 +187,36 @@ class ModeImputer(Estimator, _ColumnsParams, DefaultParamsReadable, DefaultParam
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "ModeImputerModel":
+        """Value counts per (column, value) are a grouped aggregate (partial
+        counts map-side, values spread over tasks by hash); the pick per
+        column keeps only a running best, so no task ever holds a column's
+        whole value->count map."""
+        from pyspark.sql.types import NumericType
         pairs = self._pairs()
-        row = df.agg(*[F.mode(q(c), True).alias(f"m{i}") for i, (c, _) in enumerate(pairs)]).first()
+        types = {f.name: f.dataType for f in df.schema.fields}
+        entries = []
+        for i, (c, _) in enumerate(pairs):
+            numeric = isinstance(types[c], NumericType)
+            entries.append(F.struct(F.lit(i).alias("i"),
+                                    (q(c).cast("double") if numeric else F.lit(None).cast("double")).alias("num"),
+                                    (F.lit(None).cast("string") if numeric else q(c).cast("string")).alias("txt")))
+        long = df.select(F.inline(F.array(*entries))).where(F.col("num").isNotNull() | F.col("txt").isNotNull())
+        counts = long.groupBy("i", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("i").agg(F.min_by(F.struct("num", "txt"), F.struct(-F.col("n"), "num", "txt"))
+                                       .alias("m")).collect()
+        picked = {r["i"]: r["m"] for r in best}
+        fills = []
+        for i, (c, _) in enumerate(pairs):
+            m = picked.get(i)
+            if m is None:
+                fills.append(None)
+            elif m["num"] is not None:
+                v = m["num"]
+                fills.append(int(v) if float(v).is_integer() and not types[c].typeName() in ("double", "float") else v)
+            else:
+                fills.append(m["txt"])
         return ModeImputerModel(inputCols=[p[0] for p in pairs], outputCols=[p[1] for p in pairs],
-                                fills=json.dumps([row[f"m{i}"] for i in range(len(pairs))]))
+                                fills=json.dumps(fills))
 
 
 class ModeImputerModel(Model, _ColumnsParams, DefaultParamsReadable, DefaultParamsWritable):
