@@ -137,6 +137,19 @@ def missing_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             .groupBy("pattern", "n_missing").agg(F.count(F.lit(1)).alias("rows")))
 
 
+def missing_matrix(df: DataFrame, id_col: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The row x column presence matrix itself (1 = present), one
+    narrow projection per row, no shuffle."""
+    columns = [c for c in (list(columns) if columns is not None else df.columns) if c != id_col]
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+
+    def present(c: str) -> Column:
+        m = q(c).isNotNull()
+        return m & ~F.isnan(q(c)) if types[c] in ("double", "float") else m
+
+    return df.select(q(id_col).alias(id_col), *[present(c).cast("int").alias(c) for c in columns])
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """P10: count and percent of rows per value, most frequent first.
 

@@ -154,6 +154,13 @@ def q_missing_patterns_raw(spark, sf):
     return profile.missing_patterns(outcomes_raw(spark, sf))
 
 
+@query("missing_matrix_raw", with_raw(
+    "SELECT id, " + ", ".join(f"CAST(NOT ({_absent(c)}) AS INTEGER) AS {c}" for c in RAW_COLUMNS if c != "id")
+    + " FROM raw"), operators=["P09"])
+def q_missing_matrix_raw(spark, sf):
+    return profile.missing_matrix(outcomes_raw(spark, sf), "id")
+
+
 @query("outcome_value_counts", with_outcomes(
     "SELECT outcome AS value, count(*) AS count, count(*) * 100.0 / sum(count(*)) OVER () AS percent "
     "FROM outcomes GROUP BY outcome"), round_cols=["percent"], operators=["P10"])
