@@ -169,8 +169,9 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = HIST_B
     grouped aggregate.
     """
     x = q(col).cast("double")
-    lo = df.select(F.min(x)).scalar()
-    hi = df.select(F.max(x)).scalar()
+    # one scalar subquery (computed once, reused by every reference)
+    bounds = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = (hi - lo) / bins
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((x - lo) / width), F.lit(bins - 1))).cast("int")
@@ -256,8 +257,9 @@ def scatter(df: DataFrame, x: str, y: str, by: str, id_col: str | None = None,
             q(by).alias(by), q(x).alias(x), q(y).alias(y)]
         return df.where(q(x).isNotNull() & q(y).isNotNull()).select(*keep)
     xs, ys = q(x).cast("double"), q(y).cast("double")
-    xlo, xhi = df.select(F.min(xs)).scalar(), df.select(F.max(xs)).scalar()
-    ylo, yhi = df.select(F.min(ys)).scalar(), df.select(F.max(ys)).scalar()
+    b4 = df.select(F.struct(F.min(xs).alias("a"), F.max(xs).alias("b"), F.min(ys).alias("c"),
+                            F.max(ys).alias("d"))).scalar()
+    xlo, xhi, ylo, yhi = (b4.getField(f) for f in "abcd")
 
     def b(v, lo, hi):
         return F.when(hi == lo, F.lit(0)).otherwise(
