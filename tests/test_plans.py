@@ -41,3 +41,9 @@ def test_crosstab_with_values_is_one_aggregation(spark):
     ct = eda.crosstab(df, "priority", "outcome", values=["Dropout", "Enrolled", "Graduate"])
     plan = _plan(ct)
     assert "pivotfirst" in plan.lower() or "PivotFirst" in plan or "HashAggregate" in plan
+
+
+def test_prediction_filter_prunes_partitions(spark):
+    plan = _plan(all_queries()["predictions_partitioned"].run(spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(model" in plan and "= rule_full)" in plan
+    assert "ReadSchema: struct<row_id:bigint,prediction:string>" in plan
