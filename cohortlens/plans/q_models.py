@@ -101,6 +101,18 @@ def q_grid_search_tree(spark, sf):
     return table
 
 
+@query("grid_search_logistic", operators=["M02", "M12"])
+def q_grid_search_logistic(spark, sf):
+    """The reference's C grid mapped to Spark's regParam = 1 / (C * n)."""
+    train, _, *_ = prepared(spark, sf)
+    folded = materialize(prep.fold_column(train, "label", "id", folds=3))
+    n = folded.count()
+    est = models.logistic(C=1.0, n=n, max_iter=100)
+    g = models.grid(est, regParam=[1.0 / (c * n) for c in (0.01, 0.1, 1.0, 10.0)])
+    _, table = models.grid_search(est, g, folded, fold_col="fold", parallelism=4)
+    return table
+
+
 @query("cv_scores_tree", operators=["M13"])
 def q_cv_scores_tree(spark, sf):
     train, _, *_ = prepared(spark, sf)
