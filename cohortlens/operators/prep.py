@@ -117,8 +117,11 @@ def fold_column(df: DataFrame, label: str | None, id_col: str, folds: int = 5, s
     w = Window.partitionBy("__g").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     within = Window.partitionBy("__g", "__bucket").orderBy("__key", q(id_col))
-    numbered = (keyed.withColumn("__g", g)
-                .join(offsets.drop("__n"), ["__g", "__bucket"])
+    left = keyed.withColumn("__g", g)
+    right = offsets.drop("__n").withColumnsRenamed({"__g": "__g2", "__bucket": "__bucket2"})
+    # null-safe on the class so rows without a label still get a fold
+    numbered = (left.join(right, left["__g"].eqNullSafe(right["__g2"]) & (left["__bucket"] == right["__bucket2"]))
+                .drop("__g2", "__bucket2")
                 .withColumn("__pos", F.col("__off") + F.row_number().over(within) - 1))
     return numbered.withColumn(out, (F.col("__pos") % folds).cast("int")) \
         .drop("__g", "__bucket", "__off", "__pos", "__key")

@@ -85,3 +85,9 @@ def test_preprocessor_persists(spark, tmp_path):
     a = [r["features"].toArray().tolist() for r in model.transform(df).collect()]
     b = [r["features"].toArray().tolist() for r in back.transform(df).collect()]
     assert a == b and len(a[0]) == 3
+
+
+def test_fold_column_keeps_null_labels(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else "a") for i in range(50)], "id long, y string")
+    f = prep.fold_column(df, "y", "id", folds=5)
+    assert f.count() == 50 and f.where("fold IS NULL").count() == 0
