@@ -141,3 +141,14 @@ FIXTURE_NUMERIC = [
 FIXTURE_LABEL = "outcome"
 FIXTURE_ID = "id"
 CLASSES = ["Dropout", "Enrolled", "Graduate"]
+
+
+def write_outcomes_table(spark: SparkSession, sf_dir: str, path: str, partition_by: str | None = "outcome") -> str:
+    """Build the entity table once and write it (Parquet, partitioned by
+    outcome) so that multi-pass analyses read it instead of re-aggregating
+    lineitem each pass; at 100 TB this is the intended deployment."""
+    w = outcomes(spark, sf_dir).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return path
