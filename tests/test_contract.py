@@ -65,3 +65,11 @@ def test_stream_restart_scores_each_row_once(spark, tmp_path):
     out = spark.read.parquet(sink)
     assert n1 == first.count()
     assert out.count() == test.count() and out.select("id").distinct().count() == test.count()
+
+
+def test_outcomes_table_written_once(spark, tmp_path):
+    from cohortlens.sources.tables import write_outcomes_table
+    path = write_outcomes_table(spark, SF_SMALL, str(tmp_path / "outcomes"))
+    back = spark.read.parquet(path)
+    assert back.count() == 1500 and set(back.select("outcome").distinct().toPandas()["outcome"]) == {
+        "Dropout", "Enrolled", "Graduate"}
