@@ -200,3 +200,29 @@ def predict_proba(scored: DataFrame, classes: Sequence[str], prob_col: str = "pr
 
 def param_grid_size(**grid_lists) -> int:
     return len(list(itertools.product(*grid_lists.values())))
+
+
+def compare_models(train: DataFrame, test: DataFrame, candidates: dict, classes: Sequence[str],
+                   fold_col: str = "fold", label: str = "label", id_col: str = "id", parallelism: int = 4,
+                   variant: str | None = None) -> DataFrame:
+    """For each named (estimator, param grid), k-fold grid search on
+    the training rows (best mean weighted F1 = CV F1), refit on all training
+    rows, then test accuracy and weighted F1. One row per model."""
+    from cohortlens.operators.metrics import results_table
+
+    spark = train.sparkSession
+    preds, cv_rows = None, []
+    names = F.array(*[F.lit(c) for c in classes])
+    for name, (est, param_grid) in candidates.items():
+        model, table = grid_search(est, param_grid, train, fold_col=fold_col, label=label, parallelism=parallelism)
+        cv_rows.append((name, float(max(model.avgMetrics))))
+        scored = model.bestModel.transform(test).select(
+            F.lit(name).alias("model"), F.col(id_col).alias("row_id"),
+            F.element_at(names, F.col(label).cast("int") + 1).alias("label"),
+            F.element_at(names, F.col("prediction").cast("int") + 1).alias("prediction"))
+        preds = scored if preds is None else preds.unionByName(scored)
+    cv = spark.createDataFrame(cv_rows, "model string, cv_f1 double")
+    out = results_table(preds, ["model"], cv=cv)
+    if variant is not None:
+        out = out.withColumn("variant", F.lit(variant))
+    return out

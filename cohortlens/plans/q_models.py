@@ -113,6 +113,39 @@ def q_grid_search_logistic(spark, sf):
     return table
 
 
+def _baseline_candidates(n: int) -> dict:
+    """The reference's three model families with small grids (its full grids
+    are 90 / 8 / 20 candidates; the operators take any grid)."""
+    from cohortlens.operators.neighbors import KNNClassifier
+    dt = models.decision_tree()
+    lr = models.logistic(C=1.0, n=n, max_iter=100)
+    knn = KNNClassifier(k=5, vecCol="features", idCol="id", labelCol="label")
+    return {
+        "Decision Tree": (dt, models.grid(dt, maxDepth=[5, 10], impurity=["gini", "entropy"])),
+        "Logistic Regression": (lr, models.grid(lr, regParam=[1.0 / (c * n) for c in (0.1, 1.0)])),
+        "KNN": (knn, models.grid(knn, k=[5, 9], weights=["uniform", "distance"])),
+    }
+
+
+@query("baseline_results", operators=["E10", "E16", "M01", "M02", "M03", "M12"])
+def q_baseline_results(spark, sf):
+    train, test, *_ = prepared(spark, sf)
+    folded = materialize(prep.fold_column(train, "label", "id", folds=3))
+    return models.compare_models(folded, test, _baseline_candidates(folded.count()), CLASSES)
+
+
+@query("engineered_comparison", operators=["E11", "E13", "F01", "F09"])
+def q_engineered_comparison(spark, sf):
+    out = None
+    for engineered, variant in ((False, "baseline"), (True, "FE")):
+        train, test, *_ = prepared(spark, sf, engineered=engineered)
+        folded = materialize(prep.fold_column(train, "label", "id", folds=3))
+        cands = {k: v for k, v in _baseline_candidates(folded.count()).items() if k != "KNN"}
+        part = models.compare_models(folded, test, cands, CLASSES, variant=variant)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("cv_scores_tree", operators=["M13"])
 def q_cv_scores_tree(spark, sf):
     train, _, *_ = prepared(spark, sf)
