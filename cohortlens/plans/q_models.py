@@ -146,6 +146,33 @@ def q_engineered_comparison(spark, sf):
     return out
 
 
+@query("balancing_comparison", operators=["E12", "B01", "B02", "B03", "B04"])
+def q_balancing_comparison(spark, sf):
+    """Forest trained as is, with balanced class weights, and on the
+    training rows plus SMOTE rows (feature vectors interpolated between
+    same-class neighbours); evaluated on the untouched test rows."""
+    from pyspark.ml.functions import array_to_vector
+    from cohortlens.operators import balance, neighbors
+    train, test, *_ = prepared(spark, sf)
+    syn = neighbors.smote(train, "label", "id", "features")
+    # synthetic rows get negative ids, -(base_id * 2^20 + j + 1): disjoint from the real (non-negative)
+    # ids and unique while a row yields fewer than 2^20 synthetic rows
+    synth = syn.select((-(F.col("base_id") * (1 << 20) + F.col("j") + 1)).alias("id"), "label",
+                       array_to_vector("features").alias("features"))
+    augmented = materialize(spread(train.select("id", "label", "features").unionByName(synth)))
+    weighted = balance.with_weights(train, "label", "weight")
+    fits = {
+        "none": models.random_forest(n_estimators=20, max_depth=8).fit(train),
+        "class_weight": models.random_forest(n_estimators=20, max_depth=8, weight="weight").fit(weighted),
+        "smote": models.random_forest(n_estimators=20, max_depth=8).fit(augmented),
+    }
+    preds = None
+    for balancing, m in fits.items():
+        p = _decoded(m.transform(test), "Random Forest").withColumn("balancing", F.lit(balancing))
+        preds = p if preds is None else preds.unionByName(p)
+    return metrics.results_table(preds, ["model", "balancing"])
+
+
 @query("cv_scores_tree", operators=["M13"])
 def q_cv_scores_tree(spark, sf):
     train, _, *_ = prepared(spark, sf)
