@@ -15,12 +15,11 @@ from __future__ import annotations
 import itertools
 from typing import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

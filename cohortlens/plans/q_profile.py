@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cohortlens.operators import eda, features, profile
 from cohortlens.plans.oracle import with_outcomes

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.sql import functions as F
 
 from cohortlens.operators import models, prep, score, select
 from cohortlens.operators.features import ENGINEERED

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortlens.operators import prep
 from cohortlens.plans.oracle import with_outcomes
-from cohortlens.plans.q_metrics import RP_CTE, rule_predictions, with_rules
+from cohortlens.plans.q_metrics import rule_predictions, with_rules
 from cohortlens.plans.q_prep import with_split
 from cohortlens.plans.q_profile import DOUBLE_OUTCOME
 from cohortlens.plans.registry import query
