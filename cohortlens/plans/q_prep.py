@@ -44,6 +44,13 @@ def q_stratified_split(spark, sf):
     return split_outcomes(spark, sf).select("id", "outcome", "split")
 
 
+@query("stratified_folds", with_outcomes(
+    "SELECT id, outcome, CAST((row_number() OVER (PARTITION BY outcome ORDER BY md5(CAST(id AS VARCHAR) || '|43'), id)"
+    " - 1) % 5 AS INTEGER) AS fold FROM outcomes"), operators=["M12", "M13"])
+def q_stratified_folds(spark, sf):
+    return prep.fold_column(outcomes(spark, sf), "outcome", "id", folds=5).select("id", "outcome", "fold")
+
+
 @query("split_class_counts", with_split(
     "SELECT split AS stage, outcome AS value, count(*) AS count FROM sp GROUP BY ALL"),
     operators=["P20", "B04"])

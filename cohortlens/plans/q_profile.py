@@ -196,6 +196,17 @@ def q_grade_box_stats(spark, sf):
     return eda.box_stats(outcomes(spark, sf), "outcome", BOX_COLUMNS)
 
 
+DECILE_COLUMNS = ["p1_grade", "admission", "balance"]
+
+
+@query("exact_deciles", with_outcomes("\nUNION ALL\n".join(
+    f"SELECT outcome, '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, quantile_cont(CAST({c} AS DOUBLE), {p}) AS value "
+    f"FROM outcomes WHERE {c} IS NOT NULL GROUP BY outcome" for c in DECILE_COLUMNS for p in (0.1, 0.5, 0.9))),
+    round_cols=["value"], operators=["P12"])
+def q_exact_deciles(spark, sf):
+    return eda.exact_percentiles(outcomes(spark, sf), "outcome", DECILE_COLUMNS, [0.1, 0.5, 0.9])
+
+
 @query("age_histogram", with_outcomes("""
 SELECT outcome, bin, count(*) AS count, lo + bin * w AS bin_lo,
   CASE WHEN bin = 19 THEN hi ELSE lo + (bin + 1) * w END AS bin_hi
