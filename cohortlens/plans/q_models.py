@@ -59,6 +59,25 @@ def _decoded(scored, model_name):
                          F.element_at(labels, F.col("prediction").cast("int") + 1).alias("prediction"))
 
 
+def _feature_names_sql() -> str:
+    from cohortlens.plans.q_prep import with_split
+    nums = [f"SELECT {i} AS position, 'num__{c}' AS feature" for i, c in enumerate(FIXTURE_NUMERIC)]
+    ctes, parts, offset = [], [], str(len(FIXTURE_NUMERIC))
+    for c in FIXTURE_CATEGORICAL:
+        ctes.append(f"v_{c} AS (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM sp WHERE split = 'train')")
+        parts.append(f"SELECT CAST({offset} + row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS position, "
+                     f"'cat__{c}_' || v AS feature FROM v_{c}")
+        offset += f" + (SELECT count(*) FROM v_{c})"
+    return with_split("WITH " + ", ".join(ctes) + "\n" + "\nUNION ALL\n".join(nums + parts))
+
+
+@query("feature_names_train", _feature_names_sql(), operators=["T10", "T06", "T07"])
+def q_feature_names_train(spark, sf):
+    _, _, pm, numeric, categorical = prepared(spark, sf)
+    names = prep.feature_names(pm, numeric, categorical)
+    return spark.createDataFrame(list(enumerate(names)), "position int, feature string")
+
+
 @query("model_tree_predictions", operators=["M01", "M16", "M17"])
 def q_model_tree_predictions(spark, sf):
     train, test, *_ = prepared(spark, sf)
