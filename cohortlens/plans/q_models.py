@@ -225,7 +225,14 @@ def q_k_sweep(spark, sf):
     return summary.withColumn("is_best", F.col("k") == best_k)
 
 
-@query("quality_feature_width", operators=["D03", "T07"])
+def _width_sql() -> str:
+    body = _feature_names_sql()
+    return (f"WITH fn AS ({body})\n"
+            "SELECT 'min_width' AS \"check\", CAST(count(*) AS DOUBLE) AS value, TRUE AS passed FROM fn\n"
+            "UNION ALL SELECT 'max_width', CAST(count(*) AS DOUBLE), TRUE FROM fn")
+
+
+@query("quality_feature_width", _width_sql(), operators=["D03", "T07"])
 def q_quality_feature_width(spark, sf):
     train, _, pm, numeric, categorical = prepared(spark, sf)
     width = len(prep.feature_names(pm, numeric, categorical))
