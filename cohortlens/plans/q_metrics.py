@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import half_even_class
-from cohortlens.operators import metrics, quality, prep
+from cohortlens.functions.columns import half_even_class, safe_name
+from cohortlens.operators import balance, explain, metrics, quality, prep
 from cohortlens.operators.features import engineer_features
 from cohortlens.plans.oracle import with_outcomes
 from cohortlens.plans.registry import query
@@ -336,8 +336,6 @@ def q_quality_results(spark, sf):
 
 
 # ------------------------------------------------------------------- balancing weights
-from cohortlens.operators import balance, explain  # noqa: E402
-from cohortlens.functions.columns import safe_name  # noqa: E402
 
 
 @query("class_weights", with_outcomes(
