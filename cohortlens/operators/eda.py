@@ -331,3 +331,19 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                     F.col(f"__r{lo}_{hi}").alias("corr")))
     return row.select(F.inline(F.array(*entries)))
+
+
+def corr_matrix_vector(df: DataFrame, features_col: str, names: Sequence[str] | None = None) -> DataFrame:
+    """P23 for wide assembled vectors (hundreds of slots): Spark ML's
+    `Correlation` computes the Gram matrix in one tree aggregation; the
+    d x d result (statistics) is returned in long form. Constant slots give
+    NULL, as in `corr_matrix`."""
+    from pyspark.ml.stat import Correlation
+    m = Correlation.corr(df.select(features_col), features_col).first()[0].toArray()
+    d = m.shape[0]
+    names = list(names) if names is not None else [str(i) for i in range(d)]
+    # a constant slot has NaN off the diagonal; its diagonal is reported NULL too
+    const = {i for i in range(d) if d > 1 and all(m[i, j] != m[i, j] for j in range(d) if j != i)}
+    rows = [(names[i], names[j], None if (i in const or j in const or m[i, j] != m[i, j]) else float(m[i, j]))
+            for i in range(d) for j in range(d)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")

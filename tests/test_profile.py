@@ -74,3 +74,18 @@ def test_crosstab_normalized_rows_sum_to_100(spark):
     rows = {r["g"]: r for r in eda.crosstab(df, "g", "y", normalize="index").collect()}
     assert rows["f"]["A"] == 100.0 and rows["f"]["B"] == 0.0
     assert rows["m"]["A"] + rows["m"]["B"] == 100.0
+
+
+def test_vector_correlation_matches_column_correlation(spark):
+    from pyspark.ml.feature import VectorAssembler
+    rng = np.random.default_rng(3)
+    rows = [(float(a), float(a * 0.5 + b), float(b), 1.0) for a, b in rng.normal(size=(200, 2))]
+    df = spark.createDataFrame(rows, "x double, y double, z double, c double")
+    vec = VectorAssembler(inputCols=["x", "y", "z", "c"], outputCol="v").transform(df)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in eda.corr_matrix_vector(vec, "v", ["x", "y", "z", "c"]).collect()}
+    exp = {(r["col_a"], r["col_b"]): r["corr"] for r in eda.corr_matrix(df, ["x", "y", "z", "c"]).collect()}
+    for k, v in exp.items():
+        if v is None:
+            assert got[k] is None
+        else:
+            assert abs(got[k] - v) < 1e-9
