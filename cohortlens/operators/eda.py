@@ -212,10 +212,10 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
     min - cut*bw .. max + cut*bw with `points` points per class.
 
     Plan: a statistics pass gives per-class n, std, min and max (one row
-    per class, count checked). The grid enters as literal maps keyed by
-    class, and all `points` kernel sums are accumulated in one grouped
-    aggregate: no join, no row expansion, and only classes x points
-    partial sums per map task are shuffled.
+    per class, count checked). That table is broadcast (proven size) and
+    all `points` kernel sums are accumulated in one grouped aggregate: no
+    row expansion, and only classes x points partial sums per map task
+    are shuffled.
     """
     x = q(col).cast("double")
     stats = (df.where(x.isNotNull()).groupBy(q(by).alias("__by"))
@@ -224,28 +224,26 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
              .limit(MAX_BROADCAST_ROWS // points + 1).collect())
     if len(stats) * points > MAX_BROADCAST_ROWS:
         raise ValueError("too many classes for a density grid")
-    start, step, bws, ns = {}, {}, {}, {}
+    params = []
     for r in stats:
         sd = r["sd"] if r["sd"] is not None else 0.0
         bw = bw_adjust * sd * r["n"] ** (-0.2)
         g_lo, g_hi = r["lo"] - cut * bw, r["hi"] + cut * bw
-        start[r["__by"]], step[r["__by"]] = g_lo, (g_hi - g_lo) / (points - 1) if points > 1 else 0.0
-        bws[r["__by"]], ns[r["__by"]] = bw, r["n"]
-
-    def lit_map(d: dict) -> Column:
-        return F.create_map(*[v for k, val in d.items() for v in (F.lit(k), F.lit(float(val)))])
-
-    g0, gs, gb = lit_map(start), lit_map(step), lit_map(bws)
-    key = q(by)
+        params.append((r["__by"], float(g_lo), float((g_hi - g_lo) / (points - 1) if points > 1 else 0.0),
+                       float(bw), int(r["n"])))
+    by_type = df.select(q(by)).schema.fields[0].dataType.simpleString()
+    # one row per class, count checked above: a proven-size broadcast side
+    grid = df.sparkSession.createDataFrame(params, f"__by {by_type}, g0 double, gs double, bw double, n long")
+    rows = df.where(x.isNotNull()).select(q(by).alias("__by"), x.alias("__x")).join(F.broadcast(grid), "__by")
     sums = []
     for i in range(points):
-        z = (g0[key] + F.lit(i) * gs[key] - x) / gb[key]
+        z = (F.col("g0") + F.lit(i) * F.col("gs") - F.col("__x")) / F.col("bw")
         sums.append(F.sum(F.exp(-0.5 * z * z)).alias(f"__s{i}"))
-    agg = df.where(x.isNotNull()).groupBy(key.alias("__by")).agg(*sums)
-    norm = F.col("__n") * gb[F.col("__by")] * math.sqrt(2 * math.pi)
-    entries = F.array(*[F.struct(F.lit(i).alias("point"), (g0[F.col("__by")] + F.lit(i) * gs[F.col("__by")]).alias("x"),
+    agg = rows.groupBy("__by", "g0", "gs", "bw", "n").agg(*sums)
+    norm = F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)
+    entries = F.array(*[F.struct(F.lit(i).alias("point"), (F.col("g0") + F.lit(i) * F.col("gs")).alias("x"),
                                  (F.col(f"__s{i}") / norm).alias("density")) for i in range(points)])
-    return agg.withColumn("__n", lit_map(ns)[F.col("__by")]).select(F.col("__by").alias(by), F.inline(entries))
+    return agg.select(F.col("__by").alias(by), F.inline(entries))
 
 
 def scatter(df: DataFrame, x: str, y: str, by: str, id_col: str | None = None,
