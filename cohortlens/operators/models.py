@@ -225,3 +225,12 @@ def compare_models(train: DataFrame, test: DataFrame, candidates: dict, classes:
     if variant is not None:
         out = out.withColumn("variant", F.lit(variant))
     return out
+
+
+def promote_best(results: DataFrame, fitted: dict, path: str, metric: str = "cv_f1", key: str = "model") -> str:
+    """E15 + A08: pick the arg-max row of a result table (ties by name) and
+    save that model; every winner is promoted, whatever its kind."""
+    from cohortlens.operators.metrics import best_model
+    name = best_model(results, metric, key).first()[key]
+    fitted[name].write().overwrite().save(path)
+    return name

@@ -81,3 +81,15 @@ def test_roc_two_level_matches_reference_across_range_borders(spark):
         assert np.allclose(got, exp), buckets
     auc_exp = sum((exp[i][0] - exp[i - 1][0]) * (exp[i][1] + exp[i - 1][1]) / 2 for i in range(1, len(exp)))
     assert np.isclose(metrics.auc_from_scores(b).first()["auc"], auc_exp)
+
+
+def test_promote_best_saves_the_argmax_model(spark, tmp_path):
+    from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
+    from pyspark.ml.linalg import Vectors
+    from cohortlens.operators.models import promote_best
+    df = spark.createDataFrame([(Vectors.dense([float(i % 3)]), float(i % 3)) for i in range(30)], ["features", "label"])
+    a = DecisionTreeClassifier(maxDepth=1).fit(df)
+    b = DecisionTreeClassifier(maxDepth=3).fit(df)
+    res = spark.createDataFrame([("a", 0.5), ("b", 0.9)], "model string, cv_f1 double")
+    name = promote_best(res, {"a": a, "b": b}, str(tmp_path / "best"))
+    assert name == "b" and DecisionTreeClassificationModel.load(str(tmp_path / "best")).depth == b.depth
