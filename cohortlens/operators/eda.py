@@ -237,12 +237,13 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
     rows = df.where(x.isNotNull()).select(q(by).alias("__by"), x.alias("__x")).join(F.broadcast(grid), "__by")
     sums = []
     for i in range(points):
-        z = (F.col("g0") + F.lit(i) * F.col("gs") - F.col("__x")) / F.col("bw")
+        # a zero bandwidth (constant or one-row class) gives NULL densities, not an ANSI error
+        z = F.try_divide(F.col("g0") + F.lit(i) * F.col("gs") - F.col("__x"), F.col("bw"))
         sums.append(F.sum(F.exp(-0.5 * z * z)).alias(f"__s{i}"))
     agg = rows.groupBy("__by", "g0", "gs", "bw", "n").agg(*sums)
     norm = F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)
     entries = F.array(*[F.struct(F.lit(i).alias("point"), (F.col("g0") + F.lit(i) * F.col("gs")).alias("x"),
-                                 (F.col(f"__s{i}") / norm).alias("density")) for i in range(points)])
+                                 F.try_divide(F.col(f"__s{i}"), norm).alias("density")) for i in range(points)])
     return agg.select(F.col("__by").alias(by), F.inline(entries))
 
 

@@ -94,7 +94,8 @@ def check_class_share(df: DataFrame, label: str, classes: Sequence[str],
     """Every expected class is present with more than `min_share` of rows."""
     total = F.count(F.lit(1))
     row = df.agg(total.alias("n"), *[F.count_if(q(label) == c).alias(f"c{i}") for i, c in enumerate(classes)])
-    return _checks(row, [(f"share_{c}", F.col(f"c{i}") / F.col("n"), F.col(f"c{i}") / F.col("n") > min_share)
+    share = [F.try_divide(F.col(f"c{i}"), F.col("n")) for i in range(len(classes))]
+    return _checks(row, [(f"share_{c}", share[i], F.coalesce(share[i] > min_share, F.lit(False)))
                          for i, c in enumerate(classes)])
 
 

@@ -89,3 +89,16 @@ def test_vector_correlation_matches_column_correlation(spark):
             assert got[k] is None
         else:
             assert abs(got[k] - v) < 1e-9
+
+
+def test_anova_single_class_is_null(spark):
+    from cohortlens.operators.select import anova_f
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "y string, x double")
+    assert anova_f(df, ["x"], "y").first()["f_score"] is None
+
+
+def test_kde_constant_class_gives_null_density(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 0.0), ("b", 2.0), ("b", 3.0)], "g string, x double")
+    rows = eda.kde(df, "x", "g", points=5).collect()
+    assert all(r["density"] is None for r in rows if r["g"] == "a")
+    assert all(r["density"] is not None and r["density"] > 0 for r in rows if r["g"] == "b")
