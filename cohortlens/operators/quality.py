@@ -74,10 +74,10 @@ def check_split(train: DataFrame, test: DataFrame, lo: float = TRAIN_SHARE_RANGE
     """Train share inside (lo, hi); both sides non-empty."""
     n_train = train.select(F.count(F.lit(1))).scalar()
     n_test = test.select(F.count(F.lit(1))).scalar()
-    share = n_train / (n_train + n_test)
+    share = F.try_divide(n_train, n_train + n_test)
     row = train.sparkSession.range(1)
     return _checks(row, [("train_rows", n_train, n_train > 0), ("test_rows", n_test, n_test > 0),
-                         ("train_share", share, (share > lo) & (share < hi))])
+                         ("train_share", share, F.coalesce((share > lo) & (share < hi), F.lit(False)))])
 
 
 def check_width(df: DataFrame, features_col: str, n: int) -> DataFrame:
