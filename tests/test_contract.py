@@ -73,3 +73,12 @@ def test_outcomes_table_written_once(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 1500 and set(back.select("outcome").distinct().toPandas()["outcome"]) == {
         "Dropout", "Enrolled", "Graduate"}
+
+
+def test_compare_models_result_table(spark):
+    from cohortlens.plans.registry import all_queries
+    rows = {r["model"]: r for r in all_queries()["baseline_results"].run(spark, SF_SMALL).collect()}
+    assert set(rows) == {"Decision Tree", "Logistic Regression", "KNN"}
+    for r in rows.values():
+        assert 0 < r["cv_f1"] <= 1 and 0 < r["test_f1"] <= 1 and 0 < r["test_accuracy"] <= 1
+    assert rows["Logistic Regression"]["test_f1"] > 0.6
