@@ -6,7 +6,10 @@ fill in settings that are missing (local runs and tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -43,8 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster `spark.checkpoint.dir` names a shared folder and is used
-    as is. Only when it is unset (local runs, tests) a scratch folder is
-    created and registered with the SparkContext.
+    as is. Only when it is unset and the master is local (tests, single
+    machine) a scratch folder is created and registered with the
+    SparkContext; any other master needs the setting.
     """
     sc = spark.sparkContext
     conf = sc.getConf().get("spark.checkpoint.dir", None)
@@ -56,17 +60,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application folder; use its parent
         return current.rsplit("/", 1)[0]
-    base = tempfile.mkdtemp(prefix="cohortlens-ckpt-", dir="/tmp")
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
     sc.setCheckpointDir(base)
     return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared checkpoint folder for written tables.
+    The folder's scheme stays, so file:, hdfs: and the like all work."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, eager: bool = True):
