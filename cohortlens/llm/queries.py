@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import line_bloom
-from cohortlens.llm.common import table
+from cohortlens.llm import cross_parse, line_bloom, packing
+from cohortlens.llm.common import remainder_is_one, table
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str, size: int = 2048) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), size=size)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", remainder_is_one("doc_id", 3))
+    model = cross_parse.sample(docs.where(~F.col("held_out")))
+    out = docs.withColumn("found", cross_parse.identify(F.col("text"), model))
+    return out.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.phrases").alias("phrases"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +51,8 @@ FROM judged GROUP BY doc_id
 """
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_language_id": op5_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
 
