@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import cross_parse, line_bloom, packing
+from cohortlens.llm import cross_parse, line_bloom, nra_topk, packing, simhash_bk, warc_revisit
 from cohortlens.llm.common import remainder_is_one, table
+from cohortlens.session import scratch_path
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str, size: int = 2048) -> DataFrame:
@@ -23,6 +24,52 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.phrases").alias("phrases"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash_bk.near_duplicates(docs, carried=["doc_id"])
+    return out.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    warc_revisit.write_archives(warc_revisit.resolved(pages), path)
+    out = warc_revisit.resolve_revisits(warc_revisit.read_archives(spark, path))
+    return out.select(F.col("source_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def op8_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nra_topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_bloom.dedup_lines(docs)
@@ -51,11 +98,16 @@ FROM judged GROUP BY doc_id
 """
 
 QUERIES = {
+    "op6_simhash": op6_simhash,
+    "op7_warc_revisit": op7_warc_revisit,
+    "op8_top_k_search": op8_top_k_search,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_language_id": op5_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
+    "op7_warc_revisit": OP7_SQL,
+    "op8_top_k_search": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
 }
