@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import cross_parse, line_bloom, nra_topk, packing, simhash_bk, warc_revisit
+from cohortlens.llm import cross_parse, line_bloom, nra_topk, packing, simhash_bk, warc_revisit, winnowing
 from cohortlens.llm.common import remainder_is_one, table
 from cohortlens.session import scratch_path
 
@@ -17,6 +17,34 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str, size: int = 2048) ->
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), size=size)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    listed = F.array_join(F.array_sort(F.transform("item_ids", lambda x: x.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bs AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM bs),
+ds AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM ds),
+hits AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
+hw AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+       FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(hw.n_hit, 0) AS n_hit, coalesce(hi.n_items, 0) AS n_items,
+       sha256(coalesce(hi.ids, '')) AS items_sha256, coalesce(hw.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+"""
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", remainder_is_one("doc_id", 3))
     model = cross_parse.sample(docs.where(~F.col("held_out")))
@@ -102,11 +130,13 @@ QUERIES = {
     "op7_warc_revisit": op7_warc_revisit,
     "op8_top_k_search": op8_top_k_search,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
+    "op4_decontamination": OP4_SQL,
     "op7_warc_revisit": OP7_SQL,
     "op8_top_k_search": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
