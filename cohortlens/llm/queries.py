@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import cross_parse, line_bloom, nra_topk, packing, simhash_bk, warc_revisit, winnowing
+from cohortlens.llm import cross_parse, line_bloom, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
 from cohortlens.llm.common import remainder_is_one, table
 from cohortlens.session import scratch_path
 
 
+def op2_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = prefix_free.remove_repeats(docs)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str, size: int = 2048) -> DataFrame:
     import public_tokenizers
 
@@ -126,6 +132,7 @@ FROM judged GROUP BY doc_id
 """
 
 QUERIES = {
+    "op2_repeated_substrings": op2_repeated_substrings,
     "op6_simhash": op6_simhash,
     "op7_warc_revisit": op7_warc_revisit,
     "op8_top_k_search": op8_top_k_search,
