@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import cross_parse, line_bloom, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
+from cohortlens.llm import cross_parse, lattice_lm, line_bloom, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
 from cohortlens.llm.common import remainder_is_one, table
 from cohortlens.session import scratch_path
 
 
+def op1_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lattice_lm.score_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), remainder_is_one("doc_id", 5))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op2_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = prefix_free.remove_repeats(docs)
@@ -132,6 +140,7 @@ FROM judged GROUP BY doc_id
 """
 
 QUERIES = {
+    "op1_lattice_score": op1_lattice_score,
     "op2_repeated_substrings": op2_repeated_substrings,
     "op6_simhash": op6_simhash,
     "op7_warc_revisit": op7_warc_revisit,
