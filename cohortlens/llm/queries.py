@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import cross_parse, lattice_lm, line_bloom, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
+from cohortlens.llm import cross_parse, html_layout, lattice_lm, line_bloom, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
 from cohortlens.llm.common import remainder_is_one, table
 from cohortlens.session import scratch_path
 
@@ -112,6 +112,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return pages.select("page_id", html_layout.rendered(F.col("html")).alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_bloom.dedup_lines(docs)
@@ -148,6 +153,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
+    "op9_html_text": op9_html_text,
     "op10_line_dedup": op10_line_dedup,
 }
 
