@@ -214,3 +214,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     smallest = of.groupBy(F.col("simhash_root").alias("r")).agg(F.min("least").alias("component_id"))
     named = of.join(smallest, F.col("simhash_root") == F.col("r")).select("f", "simhash_root", "component_id")
     return held.join(named, F.col("simhash") == F.col("f")).select(*held.columns, "simhash_root", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of docs with the smallest id of their component, one for each
+    component."""
+    own = docs.columns
+    found = near_duplicates(docs, doc_id, text, shingle, radius)
+    first = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    # several rows with the smallest id can only come from repeated ids
+    if docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        first = first.dropDuplicates(["simhash_root"])
+    return first.select(*own)

@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.common import kept, table
-from cohortlens.llm.stages import drop_repeated_lines
+from cohortlens.llm.stages import drop_contaminated, drop_repeated_lines, known_language, one_of_near_duplicates, pack
 
 STAGES = [
+    ("language_id", known_language),
     ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", one_of_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("best_fit_packing", pack),
 ]
 
 #: language ID, SimHash and packing have no SQL form
