@@ -28,6 +28,12 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def others(df: DataFrame, new: list[str]) -> list[str]:
+    """The columns of df that new ones of these names don't replace."""
+    taken = {c.lower() for c in new}
+    return [f"`{c}`" for c in df.columns if c.lower() not in taken]
+
+
 def blobs(arr: pa.Array, rows: int = 256) -> Iterator[bytes | None]:
     """The UTF-8 bytes of a string array, a few rows at a time (so that a
     batch of long texts is never held twice)."""

@@ -161,8 +161,9 @@ def without(texts: pa.Array, keys: pa.Array) -> pa.Array:
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 20, documents: int = 3,
                 kept: str = "kept_text", n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
-    """All columns of `docs` plus the remaining text, the number of lines
-    before, and the number of lines dropped."""
+    """The columns of `docs` plus the remaining text, the number of lines
+    before, and the number of lines dropped; they take the place of columns of
+    these names."""
     lost = repeated_lines(docs, doc_id, text, least, documents).select(F.col("id").alias("__lost_id"), F.col("keys").alias("__lost_keys"))
     both = docs.join(lost, docs[doc_id].eqNullSafe(F.col("__lost_id")), "left")
     result = F.arrow_udf(without, "struct<kept: string, n_dropped: bigint>")(F.when(F.col("__lost_keys").isNotNull(), docs[text]), F.col("__lost_keys"))

@@ -9,7 +9,7 @@ qualify has an upper bound above the k-th lower bound; these are then resolved
 to exact integer scores. Queries come in blocks; a block meets each shard
 once, and the shards' best are merged by Spark.
 
-Vectors that are null or hold null or non-finite components take no part; a
+Vectors that are null, empty, or hold null or non-finite components take no part; a
 query meets only candidates of its own length. Ties go to the smaller id; rows
 that repeat an id are candidates of their own, but never for their own id.
 Scores are 64-bit integers.
@@ -77,7 +77,7 @@ def whole_numbers(vectors: Column, scale: float = 256.0) -> Column:
 
 def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query row's k best candidates."""
-    rows = vectors.select(F.col(vec_id).alias("id"), whole_numbers(F.col(embedding)).alias("v"), is_query.alias("q")).where(F.col("v").isNotNull() & F.col("id").isNotNull()).withColumn("dims", F.size("v"))
+    rows = vectors.select(F.col(vec_id).alias("id"), whole_numbers(F.col(embedding)).alias("v"), is_query.alias("q")).where((F.size("v") > 0) & F.col("id").isNotNull()).withColumn("dims", F.size("v"))
     sizes = rows.groupBy("dims").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("q"), 1)).alias("nq"))
     sizes = sizes.select(F.col("dims").alias("d"), F.ceil(F.col("n") / SHARD).cast("int").alias("shards"), F.ceil(F.col("nq") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.join(F.broadcast(sizes), F.col("dims") == F.col("d"))  # a row for each length of vector

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cohortlens.llm.common import PrefixHash, blobs, mixed, signed
+from cohortlens.llm.common import PrefixHash, blobs, mixed, others, signed
 
 LOOK = 64
 GRAM = 16
@@ -197,13 +197,13 @@ def repeats(held: DataFrame, span: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = 100) -> DataFrame:
-    """All columns of docs plus `kept` (the remaining bytes), `n_bytes`,
-    `n_removed` and `n_spans`."""
+    """The columns of docs plus `kept` (the remaining bytes), `n_bytes`,
+    `n_removed` and `n_spans`, which take the place of columns of these names."""
     # only where ids repeat is a second part of the document's key needed
     repeated = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
     own = {"__id": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63))), "__row": F.xxhash64(text) if repeated else F.lit(0).cast("bigint")}
     held = docs.withColumns(own)
     texts = held.select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(text).alias("text"))
-    found = repeats(texts, span)
-    both = held.join(found, (F.col("__id") == F.col("i")) & (F.col("__row") == F.col("r")), "left")
-    return both.withColumn("__cut", cut_out(F.col(text), F.col("spans"))).select(*docs.columns, "__cut.kept", "__cut.n_bytes", "__cut.n_removed", "__cut.n_spans")
+    found = repeats(texts, span).toDF("__i", "__r", "__spans")
+    both = held.join(found, (F.col("__id") == F.col("__i")) & (F.col("__row") == F.col("__r")), "left")
+    return both.withColumn("__cut", cut_out(F.col(text), F.col("__spans"))).select(*others(docs, ["kept", "n_bytes", "n_removed", "n_spans"]), "__cut.kept", "__cut.n_bytes", "__cut.n_removed", "__cut.n_spans")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cohortlens.llm.common import blobs, kept
+from cohortlens.llm.common import blobs, kept, others
 from cohortlens.session import materialize
 
 SEED = 42
@@ -204,25 +204,27 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, carried: list[str] | None = None) -> DataFrame:
     """The columns `carried` of docs (all by default) plus `simhash` (signed
     64-bit), `simhash_root` (equal for all rows of a component) and
-    `component_id` (the smallest doc_id of it)."""
-    own = docs.columns if carried is None else carried
-    held = kept(docs.select(*own, fingerprints(F.col(text), shingle).alias("simhash")), "fingerprints")
-    per = held.groupBy(F.col("simhash").alias("f")).agg(F.min(doc_id).alias("least"))
+    `component_id` (the smallest doc_id of it), which take the place of columns
+    of these names."""
+    own = others(docs if carried is None else docs.select(*carried), ["simhash", "simhash_root", "component_id"])
+    held = kept(docs.select(*own, fingerprints(F.col(text), shingle).alias("simhash"), F.col(doc_id).alias("__id")), "fingerprints")
+    per = held.groupBy(F.col("simhash").alias("f")).agg(F.min("__id").alias("least"))
     per = kept(per, "distinct-fingerprints")
     roots = components(links(per.select("f"), radius, per.count()))
     of = per.join(roots, F.col("f") == F.col("node"), "left").select("f", "least", F.coalesce("root", "f").alias("simhash_root"))
     smallest = of.groupBy(F.col("simhash_root").alias("r")).agg(F.min("least").alias("component_id"))
-    named = of.join(smallest, F.col("simhash_root") == F.col("r")).select("f", "simhash_root", "component_id")
-    return held.join(named, F.col("simhash") == F.col("f")).select(*held.columns, "simhash_root", "component_id")
+    named = of.join(smallest, F.col("simhash_root") == F.col("r")).select(F.col("f").alias("__f"), "simhash_root", "component_id")
+    return held.join(named, F.col("simhash") == F.col("__f")).select(*own, "simhash", "simhash_root", "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of docs with the smallest id of their component, one for each
     component."""
-    own = docs.columns
-    found = near_duplicates(docs, doc_id, text, shingle, radius)
-    first = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # whatever they are called
+    at = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
+    found = near_duplicates(named, at[doc_id.lower()], at[text.lower()], shingle, radius)
+    first = found.where(F.col(at[doc_id.lower()]).eqNullSafe(F.col("component_id")))
     # several rows with the smallest id can only come from repeated ids
     if docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
         first = first.dropDuplicates(["simhash_root"])
-    return first.select(*own)
+    return first.select(*named.columns).toDF(*docs.columns)

@@ -43,7 +43,7 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents with a hit word go."""
     benchmark = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    return winnowing.decontaminate(docs, benchmark).where("n_hit = 0").select(docs.columns)
+    return winnowing.decontaminate(docs, benchmark, prefix="__").where("__n_hit = 0").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

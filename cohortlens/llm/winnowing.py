@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cohortlens.llm.common import blobs, kept, lists, mixed, signed
+from cohortlens.llm.common import blobs, kept, lists, mixed, others, signed
 
 MAX_BITS = 1 << 26
 GRAM = 5
@@ -136,10 +136,13 @@ def covered(hashes: np.ndarray, found: list[bytes], items: list[tuple[int | None
     return hit, met
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10) -> DataFrame:
-    """All columns of `docs` plus `n_words`, `n_hit`, `hit_spans` (array of
-    from, to in words) and `item_ids` (array of the occurring items' ids)."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10, prefix: str = "") -> DataFrame:
+    """The columns of `docs` plus `n_words`, `n_hit`, `hit_spans` (array of
+    from, to in words) and `item_ids` (array of the occurring items' ids), each
+    with the prefix; they take the place of columns of the same names."""
     spark = docs.sparkSession
+    new = [prefix + c for c in ("n_words", "n_hit", "hit_spans", "item_ids")]
+    own = others(docs, [c for c in new if c.lower() != text.lower()])
 
     def item_words(arr: pa.Array) -> pa.Array:
         counts, values, lengths = [], [], []
@@ -175,7 +178,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         return pa.StructArray.from_arrays([pa.array(lengths, pa.int64()), fps], names=["n", "fps"])
 
     judged = docs.withColumn("__j", F.arrow_udf(judge, "struct<n: bigint, fps: array<bigint>>")(F.col(text))).withColumn("__row", F.monotonically_increasing_id())
-    judged = kept(judged.select(*docs.columns, "__row", F.col("__j.n").alias("n_words"), F.col("__j.fps").alias("__fps")), "winnowed")
+    judged = kept(judged.select(*own, "__row", F.col("__j.n").alias("__n"), F.col("__j.fps").alias("__fps")), "winnowed")
     suspects = judged.where(F.size("__fps") > 0)
     pairs = suspects.select("__row", F.explode("__fps").alias("fp")).join(bench.select("fp", "item", "item_text"), "fp").select("__row", "item", "item_text").distinct()
     listed = pairs.groupBy(F.col("__row").alias("__r")).agg(F.collect_list(F.struct("item", "item_text")).alias("__items"))
@@ -197,5 +200,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                .where("__hit.n > 0"))
     none = F.array().cast("array<struct<from: bigint, to: bigint>>")
     return (judged.join(checked, F.col("__row") == F.col("__r"), "left")
-            .select(*docs.columns, "n_words", F.coalesce("__hit.n", F.lit(0)).cast("bigint").alias("n_hit"), F.coalesce("__hit.spans", none).alias("hit_spans"),
-                    F.coalesce("__hit.ids", F.array().cast("array<bigint>")).alias("item_ids")))
+            .select(*own, F.col("__n").alias(new[0]), F.coalesce("__hit.n", F.lit(0)).cast("bigint").alias(new[1]), F.coalesce("__hit.spans", none).alias(new[2]),
+                    F.coalesce("__hit.ids", F.array().cast("array<bigint>")).alias(new[3])))
