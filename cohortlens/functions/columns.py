@@ -16,6 +16,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def present(x) -> Column:
+    """A numeric column as double with NaN read as missing (NULL)."""
+    v = _c(x).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def safe_div(num, den) -> Column:
     """num / den, NULL when den is 0 (ANSI mode would raise)."""
     return F.try_divide(_c(num), _c(den))

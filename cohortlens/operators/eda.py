@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortlens.functions.columns import present
 from cohortlens.operators.profile import q
+from cohortlens.session import materialize
 
 # fixed values: box-plot whisker factor, histogram bins, KDE grid, KDE support cut
 WHISKER_IQR = 1.5
@@ -26,7 +28,6 @@ HIST_BINS = 20
 KDE_POINTS = 100
 KDE_CUT = 2.0
 MAX_PIVOT_VALUES = 10_000
-MAX_BROADCAST_ROWS = 1_000_000
 
 
 def _values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) -> list:
@@ -60,19 +61,19 @@ def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequen
 
     cols, probs = list(cols), [float(x) for x in probs]
     grid = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(*[F.percentile_approx(q(c).cast("double"), grid, accuracy).alias(f"__s{i}")
+    cuts = df.agg(*[F.percentile_approx(present(q(c)), grid, accuracy).alias(f"__s{i}")
                     for i, c in enumerate(cols)]).first()
     splits = []
     for i in range(len(cols)):
         inner = sorted(set(float(x) for x in (cuts[f"__s{i}"] or []) if x is not None and x == x))
         splits.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
     # value ranges by binary search on the JVM (Bucketizer), one index column per input column
-    base = df.select(q(by).alias("__by"), *[q(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    base = df.select(q(by).alias("__by"), *[present(q(c)).alias(f"__v{i}") for i, c in enumerate(cols)])
     based = Bucketizer(splitsArray=splits, inputCols=[f"__v{i}" for i in range(len(cols))],
                        outputCols=[f"__r{i}" for i in range(len(cols))], handleInvalid="keep").transform(base)
     keyed = based.select("__by", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"__v{i}").alias("v"), F.col(f"__r{i}").cast("int").alias("__b"))
-        for i, c in enumerate(cols)]))).where(F.col("v").isNotNull() & ~F.isnan("v"))
+        for i, c in enumerate(cols)]))).where(F.col("v").isNotNull())
     counts = keyed.groupBy("__by", "column", "__b").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy("__by", "column").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     cum = counts.withColumn("__cum", F.sum("__n").over(w)).withColumn(
@@ -108,14 +109,14 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], approx: bool = False,
     Pass 1: exact quartiles by bucketed rank selection
     (`exact_percentiles`; no class is gathered in one task), or bounded
     sketches with `approx=True`. The per-class quartiles (one row per
-    class, count checked) are gathered once; pass 2 joins the fences back
-    (broadcast of that checked table) and whiskers and outliers are one
-    more grouped aggregate.
+    class) are kept; pass 2 joins the fences back and whiskers and outliers
+    are one more grouped aggregate. NULL and NaN values take no part; rows
+    without a class form a class of their own.
     """
     cols = list(cols)
     if approx:
         stats = df.groupBy(q(by).alias("__by")).agg(*[
-            F.percentile_approx(q(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(f"__p{i}")
+            F.percentile_approx(present(q(c)), [0.25, 0.5, 0.75], accuracy).alias(f"__p{i}")
             for i, c in enumerate(cols)])
     else:
         ex = exact_percentiles(df, by, cols, [0.25, 0.5, 0.75]).withColumnRenamed(by, "__by")
@@ -124,24 +125,17 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], approx: bool = False,
                  .agg(F.array_sort(F.collect_list(F.struct("p", "value"))).alias("a")))
         stats = stats.select("__by", *[F.transform(F.col(f"`{i}`"), lambda s_: s_["value"]).alias(f"__p{i}")
                                        for i in range(len(cols))])
-    # one row per class: gather the quartiles once (size checked) so the
-    # fences join and the final join reuse them instead of recomputing
-    rows = stats.limit(MAX_BROADCAST_ROWS + 1).collect()
-    if len(rows) > MAX_BROADCAST_ROWS:
-        raise ValueError("too many classes for box statistics")
-    by_type = df.select(q(by)).schema.fields[0].dataType.simpleString()
-    stats = df.sparkSession.createDataFrame(
-        [tuple([r["__by"]] + [list(r[f"__p{i}"]) if r[f"__p{i}"] is not None else None for i in range(len(cols))])
-         for r in rows], f"__by {by_type}, " + ", ".join(f"__p{i} array<double>" for i in range(len(cols))))
+    # one row per class, kept so that the fences and the final join reuse it
+    stats = materialize(stats)
     fences = stats.select("__by", *[
         x for i in range(len(cols)) for x in (
             (F.col(f"__p{i}")[0] - WHISKER_IQR * (F.col(f"__p{i}")[2] - F.col(f"__p{i}")[0]))
             .alias(f"__lo{i}"),
             (F.col(f"__p{i}")[2] + WHISKER_IQR * (F.col(f"__p{i}")[2] - F.col(f"__p{i}")[0]))
             .alias(f"__hi{i}"))])
-    joined = df.select(q(by).alias("__by"), *[q(c).cast("double").alias(f"__x{i}")
+    joined = df.select(q(by).alias("__by"), *[present(q(c)).alias(f"__x{i}")
                                                 for i, c in enumerate(cols)]) \
-        .join(F.broadcast(fences), "__by")
+        .join(fences.withColumnRenamed("__by", "__fby"), F.col("__by").eqNullSafe(F.col("__fby")))
     aggs = []
     for i in range(len(cols)):
         x, lo, hi = F.col(f"__x{i}"), F.col(f"__lo{i}"), F.col(f"__hi{i}")
@@ -150,7 +144,8 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], approx: bool = False,
                  F.max(F.when(inside, x)).alias(f"__wh{i}"),
                  F.count_if((x < lo) | (x > hi)).alias(f"__o{i}"),
                  F.count(x).alias(f"__n{i}")]
-    whisk = joined.groupBy("__by").agg(*aggs).join(F.broadcast(stats), "__by")
+    whisk = joined.groupBy("__by").agg(*aggs).join(stats.withColumnRenamed("__by", "__sby"),
+                                                   F.col("__by").eqNullSafe(F.col("__sby")))
     entries = F.array(*[F.struct(
         F.lit(c).alias("column"),
         F.col(f"__p{i}")[0].alias("q1"), F.col(f"__p{i}")[1].alias("median"),
@@ -168,7 +163,7 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = HIST_B
     literals); the bin index is a native expression and the counts one
     grouped aggregate.
     """
-    x = q(col).cast("double")
+    x = present(q(col))
     # one scalar subquery (computed once, reused by every reference)
     bounds = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
@@ -176,7 +171,7 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = HIST_B
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((x - lo) / width), F.lit(bins - 1))).cast("int")
     keys = ([q(by).alias(by)] if by else []) + [idx.alias("bin")]
-    out = (df.where(q(col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    out = (df.where(x.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
            .withColumn("bin_lo", lo + F.col("bin") * width)
            .withColumn("bin_hi", F.when(F.col("bin") == bins - 1, hi)
                        .otherwise(lo + (F.col("bin") + 1) * width)))
@@ -212,29 +207,22 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
     min - cut*bw .. max + cut*bw with `points` points per class.
 
     Plan: a statistics pass gives per-class n, std, min and max (one row
-    per class, count checked). That table is broadcast (proven size) and
-    all `points` kernel sums are accumulated in one grouped aggregate: no
-    row expansion, and only classes x points partial sums per map task
-    are shuffled.
+    per class). That table is joined back (Spark picks the join from its
+    size) and all `points` kernel sums are accumulated in one grouped
+    aggregate: no row expansion, and only classes x points partial sums per
+    map task are shuffled. NULL and NaN values take no part.
     """
-    x = q(col).cast("double")
-    stats = (df.where(x.isNotNull()).groupBy(q(by).alias("__by"))
+    x = present(q(col))
+    stats = (df.where(x.isNotNull()).groupBy(q(by).alias("__gby"))
              .agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"),
-                  F.min(x).alias("lo"), F.max(x).alias("hi"))
-             .limit(MAX_BROADCAST_ROWS // points + 1).collect())
-    if len(stats) * points > MAX_BROADCAST_ROWS:
-        raise ValueError("too many classes for a density grid")
-    params = []
-    for r in stats:
-        sd = r["sd"] if r["sd"] is not None else 0.0
-        bw = bw_adjust * sd * r["n"] ** (-0.2)
-        g_lo, g_hi = r["lo"] - cut * bw, r["hi"] + cut * bw
-        params.append((r["__by"], float(g_lo), float((g_hi - g_lo) / (points - 1) if points > 1 else 0.0),
-                       float(bw), int(r["n"])))
-    by_type = df.select(q(by)).schema.fields[0].dataType.simpleString()
-    # one row per class, count checked above: a proven-size broadcast side
-    grid = df.sparkSession.createDataFrame(params, f"__by {by_type}, g0 double, gs double, bw double, n long")
-    rows = df.where(x.isNotNull()).select(q(by).alias("__by"), x.alias("__x")).join(F.broadcast(grid), "__by")
+                  F.min(x).alias("lo"), F.max(x).alias("hi")))
+    bw = F.coalesce("sd", F.lit(0.0)) * F.pow("n", F.lit(-0.2)) * F.lit(float(bw_adjust))
+    steps = float(points - 1) if points > 1 else None
+    grid = stats.withColumn("bw", bw).select(
+        "__gby", (F.col("lo") - cut * F.col("bw")).alias("g0"),
+        ((F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / steps if steps else F.lit(0.0)).alias("gs"), "bw", "n")
+    rows = df.where(x.isNotNull()).select(q(by).alias("__by"), x.alias("__x")).join(
+        grid, F.col("__by").eqNullSafe(F.col("__gby")))
     sums = []
     for i in range(points):
         # a zero bandwidth (constant or one-row class) gives NULL densities, not an ANSI error
@@ -255,7 +243,7 @@ def scatter(df: DataFrame, x: str, y: str, by: str, id_col: str | None = None,
         keep = ([q(id_col).alias(id_col)] if id_col else []) + [
             q(by).alias(by), q(x).alias(x), q(y).alias(y)]
         return df.where(q(x).isNotNull() & q(y).isNotNull()).select(*keep)
-    xs, ys = q(x).cast("double"), q(y).cast("double")
+    xs, ys = present(q(x)), present(q(y))
     b4 = df.select(F.struct(F.min(xs).alias("a"), F.max(xs).alias("b"), F.min(ys).alias("c"),
                             F.max(ys).alias("d"))).scalar()
     xlo, xhi, ylo, yhi = (b4.getField(f) for f in "abcd")
@@ -264,7 +252,7 @@ def scatter(df: DataFrame, x: str, y: str, by: str, id_col: str | None = None,
         return F.when(hi == lo, F.lit(0)).otherwise(
             F.least(F.floor((v - lo) * bins / (hi - lo)), F.lit(bins - 1))).cast("int")
 
-    return (df.where(q(x).isNotNull() & q(y).isNotNull())
+    return (df.where(xs.isNotNull() & ys.isNotNull())
             .groupBy(q(by).alias(by), b(xs, xlo, xhi).alias("x_bin"), b(ys, ylo, yhi).alias("y_bin"))
             .agg(F.count(F.lit(1)).alias("count")))
 
@@ -280,8 +268,12 @@ def compare_counts(frames: dict[str, DataFrame], col: str) -> DataFrame:
 
 
 def _pearson(x: Column, y: Column) -> Column:
-    """Pearson r from stable central-moment aggregates; NULL for a constant
+    """Pearson r over the rows that have both values (NULL and NaN are
+    missing), from stable central-moment aggregates; NULL for a constant
     column (ANSI `corr` would raise a division by zero)."""
+    x, y = present(x), present(y)
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 

@@ -34,7 +34,10 @@ TREE_TUNING = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval"
 
 
 def _depth(d):
-    return MAX_DEPTH if d is None else min(int(d), MAX_DEPTH)
+    """None (no bound) is the deepest tree that Spark grows; deeper ones are refused."""
+    if d is not None and int(d) > MAX_DEPTH:
+        raise ValueError(f"trees of depth {d} are beyond Spark's limit of {MAX_DEPTH}")
+    return MAX_DEPTH if d is None else int(d)
 
 
 def decision_tree(max_depth=None, min_samples_leaf: int = 1, criterion: str = "gini", seed: int = DEFAULT_SEED,

@@ -23,14 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.functions.columns import hash_order_key
+from cohortlens.functions.columns import hash_order_key, present
 from cohortlens.operators.profile import q
 
 # fixed values: test share and seed of the split; hex digits of the hash bucket
 TEST_SHARE = 0.2
 SPLIT_SEED = 42
 BUCKET_HEX_DIGITS = 5
-MAX_GROUPS = 100_000
 
 
 def features_target(df: DataFrame, label: str, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -52,35 +51,31 @@ def smallest_per_group(df: DataFrame, group: str, key: Column, tiebreak: str,
       3. rows in earlier buckets are selected, rows in later ones are
          not, and only the boundary bucket (about n / 16^digits rows of
          a group) is ranked with a window.
+    Rows without a group are a group of their own; a quota of at least the
+    group's size selects all of it, a group without a quota nothing.
     Returns df with a boolean column `__selected`.
     """
     keyed = df.withColumn("__key", key).withColumn("__bucket", F.substring("__key", 1, digits))
     counts = keyed.groupBy(q(group).alias("__g"), "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy("__g").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("__cum", F.sum("__n").over(w)).join(
-        quota.select(q(group).alias("__g"), F.col(quota_col).alias("__quota")), "__g")
-    # boundary: the first bucket whose running count reaches the quota
-    boundary = (cum.where(F.col("__cum") >= F.col("__quota"))
-                .groupBy("__g", "__quota")
-                .agg(F.min_by(F.struct("__bucket", (F.col("__quota") - F.col("__cum") + F.col("__n"))
-                                       .alias("__need")), F.col("__bucket")).alias("__b"))
-                .select("__g", F.col("__b.__bucket").alias("__bb"), F.col("__b.__need").alias("__need")))
-    # one row per group: a bounded broadcast side (checked)
-    plan_rows = boundary.limit(MAX_GROUPS + 1).collect()
-    if len(plan_rows) > MAX_GROUPS:
-        raise ValueError("too many groups for a stratified split")
-    spark = df.sparkSession
-    gtype = df.select(q(group)).schema.fields[0].dataType.simpleString()
-    plan = spark.createDataFrame([(r["__g"], r["__bb"], r["__need"]) for r in plan_rows],
-                                 f"__g {gtype}, __bb string, __need long")
-    tagged = keyed.join(F.broadcast(plan), keyed[f"`{group}`"].eqNullSafe(plan["__g"]), "left")
-    at_boundary = F.col("__bucket") == F.col("__bb")
-    rest = tagged.where(~at_boundary | F.col("__bb").isNull()).withColumn(
-        "__selected", F.coalesce(F.col("__bucket") < F.col("__bb"), F.lit(False)))
+    quotas = quota.select(q(group).alias("__qg"), F.col(quota_col).cast("long").alias("__quota"))
+    cum = counts.withColumn("__cum", F.sum("__n").over(w)).join(quotas, F.col("__g").eqNullSafe(F.col("__qg")))
+    # cut: the first bucket whose running count reaches the quota; none where the quota takes the whole group
+    cut = F.when(F.col("__cum") >= F.col("__quota"),
+                 F.struct("__bucket", (F.col("__quota") - F.col("__cum") + F.col("__n")).alias("__need")))
+    plan = (cum.groupBy("__g", "__quota").agg(F.min(cut).alias("__cut"))
+            .select(F.col("__g").alias("__gp"), F.lit(True).alias("__known"), F.col("__cut.__bucket").alias("__bb"),
+                    F.col("__cut.__need").alias("__need")))
+    # one row per group; Spark picks the join from its size
+    tagged = keyed.join(plan, q(group).eqNullSafe(F.col("__gp")), "left")
+    at_boundary = F.col("__bucket").eqNullSafe(F.col("__bb"))
+    rest = tagged.where(~at_boundary).withColumn(
+        "__selected", F.when(F.col("__known").isNull(), False).when(F.col("__bb").isNull(), True)
+        .otherwise(F.col("__bucket") < F.col("__bb")))
     edge = tagged.where(at_boundary)
-    rank = F.row_number().over(Window.partitionBy("__g").orderBy("__key", q(tiebreak)))
+    rank = F.row_number().over(Window.partitionBy("__gp").orderBy("__key", q(tiebreak)))
     edge = edge.withColumn("__selected", rank <= F.col("__need"))
-    return rest.unionByName(edge).drop("__g", "__bb", "__need", "__bucket")
+    return rest.unionByName(edge).drop("__gp", "__known", "__bb", "__need", "__bucket")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test: float = TEST_SHARE,
@@ -150,7 +145,7 @@ class PopulationScaler(Estimator, _ColumnsParams, DefaultParamsReadable, Default
         pairs = self._pairs()
         aggs = []
         for i, (c, _) in enumerate(pairs):
-            x = q(c).cast("double")
+            x = present(q(c))
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
         row = df.agg(*aggs).first()
         means = [float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0 for i in range(len(pairs))]

@@ -7,6 +7,7 @@ a fallback. Writers never route rows through the driver.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field, asdict
 from typing import Iterable, Sequence
 
@@ -16,20 +17,18 @@ from pyspark.sql.types import StructType
 
 # fixed values: delimiters the sniffer chooses between, in order of preference
 SNIFF_DELIMITERS = [";", ","]
-SNIFF_BYTES = 100
 
 
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
-    """Pick `;` when it appears in the first bytes of the file, else `,`.
+    """The delimiter that occurs most often outside quotes in the header line
+    (the earlier of SNIFF_DELIMITERS on ties, `,` when there is none).
 
     Only the first line is read (`limit(1)` stops the scan early).
     """
     first = spark.read.text(path).limit(1).collect()
-    head = first[0][0][:SNIFF_BYTES] if first else ""
-    for sep in SNIFF_DELIMITERS:
-        if sep in head:
-            return sep
-    return ","
+    head = re.sub(r'"[^"]*"', "", first[0][0]) if first else ""
+    best = max(SNIFF_DELIMITERS, key=head.count)
+    return best if head.count(best) else ","
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
