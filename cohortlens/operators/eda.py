@@ -68,7 +68,9 @@ def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequen
         inner = sorted(set(float(x) for x in (cuts[f"__s{i}"] or []) if x is not None and x == x))
         splits.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
     # value ranges by binary search on the JVM (Bucketizer), one index column per input column
-    base = df.select(q(by).alias("__by"), *[present(q(c)).alias(f"__v{i}") for i, c in enumerate(cols)])
+    # the class inside a struct: its joins then also match rows without a class
+    base = df.select(F.struct(q(by).alias("v")).alias("__by"),
+                     *[present(q(c)).alias(f"__v{i}") for i, c in enumerate(cols)])
     based = Bucketizer(splitsArray=splits, inputCols=[f"__v{i}" for i in range(len(cols))],
                        outputCols=[f"__r{i}" for i in range(len(cols))], handleInvalid="keep").transform(base)
     keyed = based.select("__by", F.inline(F.array(*[
@@ -98,7 +100,7 @@ def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequen
     out = picked.groupBy("__by", "column", "pi", "p", "h").agg(
         F.min_by("v", "rank").alias("v_lo"), F.max_by("v", "rank").alias("v_hi"))
     value = F.col("v_lo") + (F.col("h") - F.floor("h")) * (F.col("v_hi") - F.col("v_lo"))
-    return out.select(F.col("__by").alias(by), "column", "p", value.alias("value"))
+    return out.select(F.col("__by.v").alias(by), "column", "p", value.alias("value"))
 
 
 def box_stats(df: DataFrame, by: str, cols: Sequence[str], approx: bool = False,

@@ -25,7 +25,7 @@ def prepared(spark, sf, engineered: bool = False):
     is deterministic, so it is built once per session and data folder and
     shared by the model queries (both tables are checkpointed).
     """
-    key = (id(spark), sf, engineered)
+    key = (spark.sparkContext.applicationId, sf, engineered)
     if key not in _PREPARED:
         _PREPARED[key] = _prepare(spark, sf, engineered)
     return _PREPARED[key]

@@ -17,7 +17,7 @@ _MEMO: dict = {}
 def scoring_fixture(spark, sf):
     """Fit engineer -> preprocess -> select -> logistic regression on the
     train split; return (PipelineModel, test rows without the label)."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MEMO:
         base = outcomes(spark, sf).persist()
         sp = materialize(prep.stratified_split(base, "outcome", "id"))

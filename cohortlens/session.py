@@ -12,6 +12,7 @@ import re
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +75,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of all executors (once for
+    each application), so that functions running there can import it where it
+    is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cohortlens_shipped", False):
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="cohortlens-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "cohortlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for top, _, names in os.walk(os.path.join(home, "cohortlens")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(top, name)
+                    out.write(file, os.path.relpath(file, home))
+    sc.addPyFile(path)
+    sc._cohortlens_shipped = True
+
+
 def materialize(df, eager: bool = True):
     """Cut the lineage of a table reused by iterative jobs.
 
