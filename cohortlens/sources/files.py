@@ -112,7 +112,8 @@ class Roles:
         return cls.from_json(spark.read.text(path).first()[0])
 
     def verify(self, df: DataFrame) -> dict[str, list[str]]:
-        """Declared feature columns missing from / extra to the table."""
+        """Columns of the table that no role lists (missing), and listed
+        ones that the table has not (extra)."""
         cols = set(df.columns) - {self.label, self.id}
         declared = set(self.features)
         return {"missing": sorted(cols - declared), "extra": sorted(declared - cols)}
@@ -128,6 +129,30 @@ def load_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_split(df: DataFrame, path: str, split: str = "split", mode: str = "overwrite") -> str:
+    """A split table partitioned by its split column."""
+    df.write.mode(mode).partitionBy(split).parquet(path)
+    return path
+
+
+def load_split(spark: SparkSession, path: str, label: str, id_col: str, split: str = "split"):
+    """(features of train, of test, labels of train, of test). Features
+    keep the id; labels are (id, label). Each side reads its partition and its
+    columns only."""
+    whole = spark.read.parquet(path)
+    sides = [whole.where(F.col(split) == name).drop(split) for name in ("train", "test")]
+    return (*[s.drop(label) for s in sides], *[s.select(id_col, label) for s in sides])
+
+
+def load_labels(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A label file of one column; rows keep no order of their own, so
+    labels that belong to rows elsewhere need an id (see load_split)."""
+    df = read_table(spark, path, sep=sep)
+    if len(df.columns) != 1:
+        raise ValueError(f"{path} has {len(df.columns)} columns, not one")
+    return df
+
+
 def save_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Long prediction table partitioned by model."""
     df.write.mode(mode).partitionBy("model").parquet(path)
