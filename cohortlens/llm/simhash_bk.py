@@ -64,13 +64,15 @@ def fingerprints(texts: Column, shingle: int = 4) -> Column:
 
 def shard_choices(n: int, radius: int) -> list[int]:
     """Masks of the bits that make a shard's key, one mask for each choice of
-    blocks; the number of blocks by the least work for n fingerprints."""
+    blocks; the number of blocks by the least work for n fingerprints, with at
+    least two blocks in a key (one would save copies on small tables only, and
+    make the copies of a row jump as they grow)."""
 
     def work(blocks: int) -> float:
         bits = 64 * (blocks - radius) // blocks
         return comb(blocks, radius) * (4 + 0.3 * n / 2**bits)
 
-    blocks = min(range(radius + 1, radius + 6), key=work)
+    blocks = min(range(radius + 2, radius + 7), key=work)
     edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
     return [sum(x) for x in combinations(masks, blocks - radius)]
