@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.session import scratch_path
+from cohortlens.session import scratch_path, ship_package
 
 #: the bytes [\x20\x09-\x0D]; bytes.split() and bytes.strip() use just these
 SPACES = b" \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -165,7 +165,7 @@ def identify(texts: Column, model: tuple[tuple[str, bytes], ...]) -> Column:
             best = cost.argmin(axis=0)
             share = 1 / np.exp2(np.maximum(cost.min(axis=0)[None, :] - cost, -1000)).sum(axis=0)
             for i, text in enumerate(plain):
-                known = bool(text)
+                known = any(map(str.isalpha, text.decode()))  # other runs are of digit-like signs
                 langs.append(model[best[i]][0] if known else UNKNOWN)
                 scores.append(float(share[i]) if known else 0.0)
                 counts.append(int(found[best[i], i]) if known else 0)
