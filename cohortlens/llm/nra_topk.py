@@ -2,12 +2,13 @@
 
 Candidates are dealt into shards. A shard keeps, for each dimension, the list
 of its components in order; a query reads every list from the end that its own
-component prefers, some entries a round. A candidate's lower bound takes the
-worst value of each list it has not been met in, its upper bound the value the
-list has reached. Reading stops when no candidate outside those that may still
-qualify has an upper bound above the k-th lower bound; these are then resolved
-to exact integer scores. Queries come in blocks; a block meets each shard
-once, and the shards' best are merged by Spark.
+component prefers, some entries a round (all queries of a block read on
+together, and the bounds are matrix products). A candidate's lower bound takes
+the worst value of each list it has not been met in, its upper bound the value
+the list has reached. Reading stops when no candidate outside those that may
+still qualify has an upper bound above the k-th lower bound; these are then
+resolved to exact integer scores. Queries come in blocks; a block meets each
+shard once, and the shards' best are merged by Spark.
 
 Vectors that are null, empty, or hold null or non-finite components take no part; a
 query meets only candidates of its own length. Ties go to the smaller id; rows
@@ -29,44 +30,55 @@ BLOCK = 256
 
 
 class Lists:
-    """The sorted lists of one shard."""
+    """The sorted lists of one shard, read from both ends."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.vectors = ids, vectors
         self.n, self.dims = vectors.shape
-        self.order = np.ascontiguousarray(np.argsort(-self.vectors, axis=0, kind="stable").T)  # largest first
-        self.sorted = np.take_along_axis(self.vectors.T, self.order, axis=1).astype(np.float64)
-
-    def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best candidates but those with id `own`."""
-        weight = query.astype(np.float64)
-        live = self.ids != own
-        use = np.flatnonzero(weight)
-        order = np.where(weight[use, None] > 0, self.order[use], self.order[use, ::-1])
-        values = np.where(weight[use, None] > 0, self.sorted[use], self.sorted[use, ::-1]) * weight[use, None]
-        worst = values[:, -1]
-        # lower = known + worst of all lists, upper = known + reached of the unread ones
-        lower = np.full(self.n, worst.sum())
-        seen = np.zeros((self.n, len(use)), bool)
-        depth, rows = 0, np.arange(len(use))[:, None]
-        maybe = live
-        while depth < self.n and live.sum() > k:
-            to = min(self.n, max(depth * 2, 128))
-            met = order[:, depth:to]
-            lower += np.bincount(met.ravel(), (values[:, depth:to] - worst[:, None]).ravel(), self.n)
-            seen[met, np.broadcast_to(rows, met.shape)] = True
-            depth = to
-            reached = values[:, depth - 1]
-            upper = lower + (~seen) @ (reached - worst)
-            at_least = np.partition(lower[live], -k)[-k]
-            maybe = live & (upper >= at_least)
-            if maybe.sum() <= max(4 * k, self.n // 50):
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(vectors, order, axis=0).astype(np.float64)  # smallest first
+        self.rank = np.empty_like(order)
+        np.put_along_axis(self.rank, order, np.arange(self.n)[:, None], axis=0)
+        self.values = vectors.astype(np.float64)
+        self.read: dict[int, tuple[np.ndarray, ...]] = {}
+
+    def known(self, depth: int) -> tuple[np.ndarray, ...]:
+        """What is known of each component after `depth` entries of each list:
+        the value if it has been met, else the worst and the best it can be;
+        for lists read from the largest and from the smallest entry."""
+        if depth not in self.read:
+            high, low = self.rank >= self.n - depth, self.rank < depth
+            self.read[depth] = (np.where(high, self.values, self.sorted[0]), np.where(low, self.values, self.sorted[-1]),
+                                np.where(high, self.values, self.sorted[-depth]), np.where(low, self.values, self.sorted[depth - 1]))
+        return self.read[depth]
+
+    def top(self, own: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of the k best candidates for each query, but those
+        with its own id. All queries read on together; who is done leaves."""
+        out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(own)
+        open_ = np.arange(len(own))
+        weights = queries.astype(np.float64)
+        # float sums of whole numbers: a little room for what they round off
+        slack = 1e-9 * (np.abs(weights) @ np.abs(self.values).max(axis=0))
+        for depth in [*(d for d in (self.n // 8, self.n // 4, self.n // 2, 3 * self.n // 4) if d > k), self.n]:
+            worst_high, worst_low, best_high, best_low = self.known(depth)
+            up, down = np.maximum(weights[open_], 0), np.minimum(weights[open_], 0)
+            lower = up @ worst_high.T + down @ worst_low.T
+            upper = up @ best_high.T + down @ best_low.T
+            others = self.ids[None, :] != own[open_, None]
+            lower[~others] = -np.inf
+            at_least = np.partition(lower, -k, axis=1)[:, -k] if self.n >= k else np.full(len(open_), -np.inf)
+            maybe = others & (upper >= (at_least - slack[open_])[:, None])
+            done = (maybe.sum(axis=1) <= max(4 * k, self.n // 8)) | (depth == self.n)
+            for i in np.flatnonzero(done):
+                rest, query = np.flatnonzero(maybe[i]), open_[i]
+                score = self.vectors[rest] @ queries[query]
+                best = np.lexsort((self.ids[rest], -score))[:k]
+                out[query] = self.ids[rest][best], score[best]
+            open_ = open_[~done]
+            if not len(open_):
                 break
-        rest = np.flatnonzero(maybe)
-        score = self.vectors[rest] @ query
-        best = np.lexsort((self.ids[rest], -score))[:k]
-        return self.ids[rest][best], score[best]
+        return out
 
 
 def whole_numbers(vectors: Column, scale: float = 256.0) -> Column:
@@ -122,7 +134,8 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddin
                 matrix = lambda b: np.frombuffer(b, np.int64).reshape(-1, dims)  # noqa: B023, E731
                 if last is None or last[0] != ids or last[1] != data:
                     last = ids, data, Lists(np.frombuffer(ids, np.int64), matrix(data))
-                found = [(q, *last[2].top(q, v, k)) for q, v in zip(np.frombuffer(qids, np.int64), matrix(qdata), strict=True)]
+                asked = np.frombuffer(qids, np.int64)
+                found = [(q, *x) for q, x in zip(asked, last[2].top(asked, matrix(qdata), k), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.full(len(i), q) for q, i, _ in found])), pa.array(np.concatenate([i for _, i, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))], names=["query_id", "vec_id", "score"])
 
     best = met.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
