@@ -315,6 +315,16 @@ def q_key_corr_matrix(spark, sf):
     return eda.corr_matrix(outcomes(spark, sf), KEY_COLUMNS)
 
 
+@query("vector_corr_matrix", with_outcomes("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS corr FROM outcomes"
+    for a in KEY_COLUMNS for b in KEY_COLUMNS)), round_cols=["corr"], operators=["P23"])
+def q_vector_corr_matrix(spark, sf):
+    """The same matrix from one tree aggregation of assembled vectors."""
+    from pyspark.ml.feature import VectorAssembler
+    assembled = VectorAssembler(inputCols=KEY_COLUMNS, outputCol="v").transform(outcomes(spark, sf))
+    return eda.corr_matrix_vector(assembled, "v", KEY_COLUMNS)
+
+
 @query("table_shape", with_outcomes("SELECT count(*) AS \"rows\", 22 AS columns FROM outcomes"),
        operators=["P24"])
 def q_table_shape(spark, sf):
