@@ -23,12 +23,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` as Parquet below the shared checkpoint folder and reads it
     again: cuts the lineage and lets several later stages read the result of
-    a costly one. A lost executor costs no recomputation of it."""
+    a costly one. A lost executor costs no recomputation of it.
+
+    Spark deletes the shuffle files of a finished job when the driver's JVM
+    collects the objects that stand for them; that is asked for here, so that
+    an operator of several steps needs the disk of its largest step only."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What a Python worker keeps between batches and tasks: one thing at a
+    time, so that the models of several stages don't add up in its memory."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def others(df: DataFrame, new: list[str]) -> list[str]:
     """The columns of df that new ones of these names don't replace."""
     taken = {c.lower() for c in new}

@@ -18,14 +18,13 @@ score 0. Equal costs go to the smaller language name.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices
+from cohortlens.llm.common import held, slices
 
 UNKNOWN = "und"
 PIECE = 1024
@@ -100,11 +99,15 @@ def suffix_automaton(data: bytes) -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=2)
 def automata(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a model, kept in each Python worker."""
+    return held(("automata", model), lambda: build(model))
+
+
+def build(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """(byte classes, steps, first states, bits a phrase). steps[state + class]
     holds the next state times two, plus one if a phrase ended before this
-    byte and the next began with it. Built once in each Python worker."""
+    byte and the next began with it."""
     classes = byte_classes([text for _, text in model])
     tables, starts, base = [], [], 0
     for _, text in model:

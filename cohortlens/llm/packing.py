@@ -21,7 +21,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from functools import lru_cache
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import blobs, kept, slices
+from cohortlens.llm.common import blobs, held, kept, slices
 
 END = b"\0\0\0\0"
 GROUPS = 64
 #: words whose ids a Python worker keeps
-CACHE = 400_000
+CACHE = 300_000
 #: str.split() also splits at these, which are no white space to the tokenizer
 SEPARATORS = re.compile("[\x1c-\x1f]")
 #: the tokenizer's words in lower-case text, where it has Latin letters only
@@ -43,34 +43,39 @@ BEYOND = re.compile("[^\x21-\x84\x86-\x9f\xa1-\u024f]|<\\|")
 PARTS = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str):
-    """(tokenizer, whether each id ends a word, ids by white-space-separated
-    part, ids by word), the last two filled as texts come."""
+    """Of a file, kept in each Python worker."""
+    return held(("tokenizer", path), lambda: load(path))
+
+
+def load(path: str):
+    """(tokenizer, how Latin characters are spelled for its model, ids by
+    white-space-separated part, ids by word), the last two filled as texts
+    come."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    model = Tokenizer.from_file(path)
-    ends = np.zeros(model.get_vocab_size(), bool)
-    ends[[i for token, i in model.get_vocab().items() if token.endswith("</w>")]] = True
-    return model, ends, {}, {}
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    latin = {i: spell.pre_tokenize_str(chr(i))[0][0] for i in range(0x250) if i != 0x20}
+    return Tokenizer.from_file(path), latin, {}, {}
 
 
 def learn(parts: list[str], path: str) -> None:
     """Looks up the ids of new parts. Parts of Latin letters are cut into the
-    tokenizer's words here, and the new words encoded many at a time (which is
+    tokenizer's words here, and new words go to its model directly (which is
     several times faster); any other part is encoded by itself."""
-    model, ends, known, by_word = tokenizer(path)
+    model, latin, known, by_word = tokenizer(path)
+    spelled = model.model.tokenize
     whole: list[str] = []
     cut: list[tuple[str, list[str]]] = []
     new_words: set[str] = set()
     for part in parts:
-        if "<|" in part if part.isascii() else BEYOND.search(part):
+        low = part.lower()
+        if "<|" in part if part.isascii() else BEYOND.search(part) or BEYOND.search(low):
             known[part] = np.array(model.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
             continue
-        low = part.lower()
         if low.isalpha():
             whole.append(part)
             new_words.add(low)
@@ -78,18 +83,8 @@ def learn(parts: list[str], path: str) -> None:
             words = WORDS.findall(low)
             cut.append((part, words))
             new_words.update(words)
-    new = list(new_words.difference(by_word))
-    for i in range(0, len(new), 1000):
-        some = new[i : i + 1000]
-        ids = np.array(model.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(ends[ids]) + 1
-        if len(cuts) == len(some):
-            data, at = ids.tobytes(), 0
-            for w, to in zip(some, (cuts * 4).tolist(), strict=True):
-                by_word[w] = data[at:to]
-                at = to
-        else:  # not the words that the tokenizer sees
-            by_word |= {w: np.array(model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in some}
+    for w in new_words.difference(by_word):
+        by_word[w] = array("I", [t.id for t in spelled(w if w.isascii() and w.isprintable() else w.translate(latin))]).tobytes()
     for part in whole:
         known[part] = by_word[part.lower()]
     for part, words in cut:
