@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import blobs, kept
+from cohortlens.llm.common import blobs, held, kept
 
 BLOCK = 8 << 20
 #: stands for the end of a text among the words (words hold no white space)
@@ -130,10 +130,9 @@ class Lattice:
         into[self.stop] += 1.0
 
 
-@lru_cache(maxsize=4)
 def lattice(path: str, weights: bytes | None) -> Lattice:
-    """Built once in each Python worker; None: the prior weights."""
-    return Lattice(path, vocabulary(path)[1] if weights is None else np.frombuffer(weights))
+    """Kept in each Python worker; None: the prior weights."""
+    return held(("lattice", path, weights), lambda: Lattice(path, vocabulary(path)[1] if weights is None else np.frombuffer(weights)))
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -202,11 +201,13 @@ def piece_weights(words: DataFrame, path: str) -> np.ndarray:
 def score_documents(docs: DataFrame, vocabulary_path: str, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of
     each row, learning from those where `held_out` is false."""
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK))
-    # neighbouring ids often stand in one file: whole runs of ids share a block, if the ids are numbers
+    sizes = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    # neighbouring ids often stand in one file, so runs of ids make a block: as many as have about BLOCK bytes
+    shift = max(0, int(math.log2(max(1.0, BLOCK * sizes["n"] / max(1, sizes["bytes"] or 0)))))
+    blocks = max(1, -(-sizes["n"] >> shift))
     own = docs.select(F.col(doc_id).alias("id"), held_out.alias("held"), F.col(text).alias("text"))
-    own = own.withColumn("block", F.pmod(F.xxhash64(F.shiftright(F.coalesce(F.col("id").cast("bigint"), F.lit(0)), 11)), F.lit(blocks)))
+    run = F.coalesce(F.shiftright(F.col("id").try_cast("bigint"), shift), F.xxhash64("id", "text"))
+    own = own.withColumn("block", F.pmod(run, F.lit(blocks)))
 
     by_word = Window.partitionBy("word")
     counted = (block_words(own).withColumn("c", F.sum("n").over(by_word))
@@ -235,10 +236,10 @@ def score_documents(docs: DataFrame, vocabulary_path: str, held_out: Column, doc
                 out.append(spelled / math.log(10) + math.log10(freed))
         return pa.array(out, pa.float64())
 
-    table = counted.select("block", "word", "c", F.arrow_udf(chances, "double")("word", "c").alias("log10")).distinct()
+    table = counted.select("block", "word", "c", F.arrow_udf(chances, "double")("word", "c").alias("log10"))
 
     def score(_: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
-        places = {w: i for i, w in enumerate(words.column("word").to_pylist())}
+        places = {w: i for i, w in enumerate(words.column("word").to_pylist())}  # a word that comes twice has one count
         counts = words.column("c").to_numpy().astype(np.float64)
         logs = words.column("log10").to_numpy()
         bases = np.log10((counts + 0.5) / (total + 0.5 * (types + 1)))
