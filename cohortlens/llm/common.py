@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +43,10 @@ def held(key, make):
     """What a Python worker keeps between batches and tasks: one thing at a
     time, so that the models of several stages don't add up in its memory."""
     if key not in _HELD:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            with contextlib.suppress(AttributeError, OSError):  # glibc gives freed memory back only when asked
+                ctypes.CDLL(None).malloc_trim(0)
         _HELD[key] = make()
     return _HELD[key]
 
