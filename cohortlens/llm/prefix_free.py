@@ -11,9 +11,11 @@ this one has a trigger in every string.)
 Dictionary: the distinct phrases, each with its first place in the corpus.
 Phrases are dealt by the bytes that all strings of a trigger share, its
 `span - LOOK + 1` bytes from the trigger on. Every other occurrence of a phrase
-repeats an earlier one as a whole. Only where several phrases share a trigger
-are their strings compared one by one: a string is a suffix of its phrase up
-to the trigger, followed by what the parse has after it. Equal (suffix,
+repeats an earlier one as a whole. Where several phrases share a trigger, they
+are cut into phrases of `STEP` strings by their distance from the trigger, and
+judged again; only where these still differ are strings compared one by one: a
+string is a suffix of its phrase up to the trigger, followed by what the parse
+has after it. Equal (suffix,
 continuation) pairs are the neighbours in corpus order that agree in `span`
 bytes; as just this depth is asked for, equal pairs are brought together by
 128-bit hashes, and no order is computed beyond it.
@@ -33,10 +35,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cohortlens.llm.common import PrefixHash, blobs, mixed, others, signed
+from cohortlens.llm.common import PrefixHash, blobs, kept, mixed, others, signed
 
 LOOK = 64
 GRAM = 16
+#: strings in a phrase of the second round
+STEP = 8
 #: bytes parsed at a time
 PART = 1 << 19
 
@@ -52,10 +56,15 @@ def triggers(grams: np.ndarray) -> np.ndarray:
     return (low - (best & low)).astype(np.int64)
 
 
+def identity(hashes: PrefixHash, first: np.ndarray, last: np.ndarray, trigger: np.ndarray, span: int) -> np.ndarray:
+    """A phrase's hash: its bytes and where they stand around the trigger."""
+    return mixed(hashes.of(first, last + span) + (trigger - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (last - first).astype(np.uint64))
+
+
 def parse(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
-    """(text, key, phrase, first, last) of the phrases of each text: hashes of
-    the shared bytes and of the phrase, and the first and last start of its
-    strings."""
+    """(text, key, phrase, first, last, trigger) of the phrases of each text:
+    hashes of the shared bytes and of the phrase, the first and last start of
+    its strings, and how far the trigger is from the first."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
@@ -63,7 +72,7 @@ def parse(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
     owner = np.repeat(np.arange(len(texts)), many)
     if not len(owner):
         none = np.zeros(0, np.int64)
-        return none, none.view(np.uint64), none.view(np.uint64), none, none
+        return none, none.view(np.uint64), none.view(np.uint64), none, none, none
     start = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(ends - sizes, many)
     hashes = PrefixHash(data)
     trigger = triggers(hashes.grams(GRAM))[start]
@@ -71,14 +80,14 @@ def parse(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
     last = start[np.concatenate((new[1:], [len(start)])) - 1]
     first, trigger, owner = start[new], trigger[new], owner[new]
     key = hashes.of(trigger, trigger + span - LOOK + 1)
-    phrase = mixed(hashes.of(first, last + span) + (trigger - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (last - first).astype(np.uint64))
+    phrase = identity(hashes, first, last, trigger, span)
     base = (ends - sizes)[owner]
-    return owner, key, phrase, first - base, last - base
+    return owner, key, phrase, first - base, last - base, trigger - first
 
 
 def phrases(docs: DataFrame, span: int) -> DataFrame:
-    """(id, row, key, phrase, first, last): each phrase of a document once;
-    the document's own repeats come as stretches with last = -end."""
+    """(id, row, key, phrase, first, last, trigger): each phrase of a document
+    once; the document's own repeats come as stretches with last = -end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +107,7 @@ def phrases(docs: DataFrame, span: int) -> DataFrame:
                 yield made(texts, held, ids, rows)
 
     def made(texts: list[bytes], held: list[tuple[int, int]], ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-        owner, key, phrase, first, last = parse(texts, span)
+        owner, key, phrase, first, last, trigger = parse(texts, span)
         where = np.array(held, np.int64).reshape(-1, 2)
         first, last, at = first + where[owner, 1], last + where[owner, 1], where[owner, 0]
         order = np.lexsort((np.arange(len(at)), phrase, key, at))
@@ -114,10 +123,43 @@ def phrases(docs: DataFrame, span: int) -> DataFrame:
             spread = mixed(phrase[head] + first[head].astype(np.uint64) + signed_ids(ids[at[head]]))
             at, key, phrase = np.concatenate((at[~same], at[head])), np.concatenate((key[~same], spread)), np.concatenate((phrase[~same], spread))
             first, last = np.concatenate((first[~same], first[head])), np.concatenate((last[~same], -(last[tail] + span)))
-        columns = (ids[at], rows[at], signed(key), signed(phrase), first.astype(np.int32), last.astype(np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["id", "row", "key", "phrase", "first", "last"])
+            trigger = np.concatenate((trigger[~same], trigger[head]))
+        return phrase_rows(ids[at], rows[at], key, phrase, first, last, trigger)
+
+    return docs.mapInArrow(run, PHRASES)
+
+
+PHRASES = "id bigint, row bigint, key bigint, phrase bigint, first int, last int, trigger tinyint"
+
 
-    return docs.mapInArrow(run, "id bigint, row bigint, key bigint, phrase bigint, first int, last int")
+def phrase_rows(ids: np.ndarray, rows: np.ndarray, key: np.ndarray, phrase: np.ndarray, first: np.ndarray, last: np.ndarray, trigger: np.ndarray) -> pa.RecordBatch:
+    columns = (ids, rows, signed(key), signed(phrase), first.astype(np.int32), last.astype(np.int32), trigger.astype(np.int8))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[c.split()[0] for c in PHRASES.split(", ")])
+
+
+def shorter(docs: DataFrame, span: int) -> DataFrame:
+    """The listed phrases cut by distance from the trigger into phrases of at
+    most STEP strings, as rows of phrases()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, r, blob, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), blobs(batch.column(2)), batch.column(3), strict=True):
+                key, first, last, trigger = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in listed.values.flatten())
+                for part in np.unique(first // PART):
+                    own = first // PART == part
+                    base = part * PART
+                    hashes = PrefixHash(np.frombuffer(blob[base : base + PART + 2 * LOOK + span], np.uint8))
+                    a, b, t = first[own] - base, last[own] - base, (first + trigger)[own] - base
+                    low = (t - b) // STEP
+                    many = (t - a) // STEP - low + 1
+                    at = np.repeat(np.arange(len(a)), many)
+                    step = low[at] + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+                    a, b, t = np.maximum(a[at], t[at] - STEP * step - STEP + 1), np.minimum(b[at], t[at] - STEP * step), t[at]
+                    shared = hashes.of(t - STEP * step, t - STEP * step + span - STEP + 1)
+                    deal = mixed(shared + key[own][at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + step.astype(np.uint64))
+                    yield phrase_rows(np.full(len(a), i, np.int64), np.full(len(a), r, np.int64), deal, identity(hashes, a, b, t, span), a + base, b + base, t - a)
+
+    return docs.mapInArrow(run, PHRASES)
 
 
 def signed_ids(ids: np.ndarray) -> np.ndarray:
@@ -178,21 +220,34 @@ def cut_out(texts: Column, spans: Column) -> Column:
     return F.arrow_udf(of, "struct<kept: binary, n_bytes: bigint, n_removed: bigint, n_spans: bigint>")(texts, spans)
 
 
-def repeats(held: DataFrame, span: int) -> DataFrame:
-    """(id, row, spans): the stretches of bytes (from, to) that are covered by
-    strings which also start earlier; they may overlap."""
-    dealt = phrases(held, span).repartition("key")
+def judged(dealt: DataFrame, span: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(stretches that repeat earlier ones as a whole; by document, the first
+    occurrences of phrases that share their key with other ones)."""
     place = F.struct("id", "row", "first")
     by_phrase, by_key = Window.partitionBy("key", "phrase"), Window.partitionBy("key")
-    dictionary = (dealt.withColumn("again", F.min(place).over(by_phrase) < place)
+    dictionary = (dealt.repartition("key").withColumn("again", (F.min(place).over(by_phrase) < place) | (F.col("last") < 0))
                   .withColumn("shared", F.min("phrase").over(by_key) != F.max("phrase").over(by_key)))
+    told = kept(dictionary.where("again or shared").drop("phrase", "shared"), name)
     # the negative end marks a document's own repeats
-    whole = dictionary.where(F.col("again") | (F.col("last") < 0)).select("id", "row", F.col("first").alias("from"), F.when(F.col("last") < 0, -F.col("last")).otherwise(F.col("last") + span).alias("to"))
-    open_ = dictionary.where(~F.col("again") & F.col("shared") & (F.col("last") >= 0)).groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.collect_list(F.struct("key", "first", "last")).alias("listed"))
-    single = strings(held.join(open_, (F.col("id") == F.col("i")) & (F.col("row") == F.col("r")), "left").select("id", "row", "text", "listed").where(F.col("listed").isNotNull()), span)
+    whole = told.where("again").select("id", "row", F.col("first").alias("from"), F.when(F.col("last") < 0, -F.col("last")).otherwise(F.col("last") + span).alias("to"))
+    listed = told.where("not again").groupBy(F.col("id").alias("i"), F.col("row").alias("r"))
+    return whole, listed.agg(F.collect_list(F.struct("key", "first", "last", "trigger")).alias("listed"))
+
+
+def repeats(held: DataFrame, span: int) -> DataFrame:
+    """(id, row, spans): the stretches of bytes (from, to) that are covered by
+    strings which also start earlier; they may overlap."""
+
+    def texts_of(listed: DataFrame) -> DataFrame:
+        return held.join(listed, (F.col("id") == F.col("i")) & (F.col("row") == F.col("r"))).select("id", "row", "text", "listed")
+
+    whole, listed = judged(phrases(held, span), span, "phrases")
+    more, listed = judged(shorter(texts_of(listed), span), span, "shorter-phrases")
     start = F.struct("id", "row", "start")
+    single = strings(texts_of(listed), span)
     later = single.withColumn("first", F.min(start).over(Window.partitionBy("hash", "key"))).where(F.col("first") < start)
-    spans = whole.union(later.select("id", "row", F.col("start").alias("from"), (F.col("start") + span).alias("to")))
+    later = kept(later.select("id", "row", F.col("start").alias("from"), (F.col("start") + span).alias("to")), "strings")
+    spans = whole.union(more).union(later)
     return spans.groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.collect_list(F.struct("from", "to")).alias("spans"))
 
 
