@@ -73,7 +73,7 @@ def test_stages_and_run(spark, folder, tmp_path):
 
 def test_stages_on_empty_and_null_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    for rows in ([], [(None, None, None), (None, "only words here", None), (None, "only words here", None), (1, "", None)]):
+    for rows in ([], [(None, None, "en"), (None, "only words here", "en"), (None, "only words here", None), (1, "", "en")]):
         docs = small.frame(spark, rows)
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stage(spark, docs, str(tmp_path))
