@@ -2,8 +2,8 @@
 
 A scanner and a tree builder (void elements, implied end tags, implied rows,
 raw text) make a tree; a walk over it writes the text that a reader sees:
-invisible elements, `hidden`, `display:none` and `visibility:hidden` (inline or
-by simple rules of the page's own style sheets) are left out, closed `details`
+invisible elements, `hidden`, and what the style attribute or the page's own
+style sheets hide on a screen (see `css_cascade`) are left out, closed `details`
 show their summary, paragraphs and headings stand apart by an empty line,
 lists get markers and indents, table cells are aligned in columns, and
 preformatted text keeps its white space. No text is cut: a cell or an indent
@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortlens.llm.css_cascade import ASKED, Sheet, on_screen, relate
+
 WIDE = 60
 DEEP = 16
 
@@ -47,16 +49,14 @@ QUOTE_OR_END = re.compile(r"[>\"']")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse|visible)", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-SIMPLE = re.compile(r"^(\w+)?(?:([.#])([\w-]+))?$")
 
 
 class Node:
-    __slots__ = ("attributes", "children", "name")
+    __slots__ = ("at", "attributes", "children", "kin", "name", "parent")
 
     def __init__(self, name: str, attributes: dict[str, str]):
         self.name, self.attributes, self.children = name, attributes, []
+        self.parent = self.kin = None
 
 
 def scan(page: str) -> Iterator[tuple[str, str, str]]:
@@ -172,40 +172,36 @@ def build(page: str) -> Node:
     return root
 
 
-def hiding_rules(root: Node) -> dict[tuple[str, str, str], str]:
-    """{(tag or "", "." or "#" or "", name): "none", "hidden" or "visible"}
-    from the page's style sheets, simple selectors only."""
-    rules: dict[tuple[str, str, str], str] = {}
-    stack = [root]
+def style_sheet(root: Node) -> Sheet:
+    """The rules of the page's style elements about what is shown."""
+    sheet, stack = Sheet(), [root]
     while stack:
         node = stack.pop()
         if node.name == "style":
-            css = re.sub(r"/\*.*?\*/", "", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)
-            for selectors, body in RULE.findall(css) if HIDING.search(css) else ():
-                if m := HIDING.search(body):
-                    for s in selectors.split(","):
-                        if (x := SIMPLE.match(s.strip())) and x[0]:
-                            rules[x[1] or "", x[2] or "", x[3] or ""] = (m[1] or "none").lower()
-        stack += [c for c in node.children if isinstance(c, Node)]
-    return rules
+            css = "".join(c for c in node.children if isinstance(c, str))
+            if ASKED.search(css) and node.attributes.get("type", "").lower() in ("", "text/css") and on_screen(node.attributes.get("media", "")):
+                sheet.add(css)
+        elif node.name != "template":
+            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+    if sheet.rules:
+        relate(root)
+    return sheet
 
 
-def shown(node: Node, rules: dict[tuple[str, str, str], str], visible: bool) -> bool | None:
+def shown(node: Node, rules: Sheet, visible: bool) -> bool | None:
     """None: no box at all; else whether its own text can be seen."""
     a = node.attributes
-    if node.name in UNSEEN or ("hidden" in a and a["hidden"] != "until-found") or (node.name == "dialog" and "open" not in a) or (node.name == "input" and a.get("type", "").lower() == "hidden"):
+    if node.name in UNSEEN or (node.name == "input" and a.get("type", "").lower() == "hidden"):
+        return None
+    won = rules.won(node) if rules.rules or "style" in a else {}
+    display = won.get("display", "revert")
+    if display == "none":
+        return None
+    # a browser's own rules give way to any of the page's
+    if display.startswith("revert") and (("hidden" in a and a["hidden"] != "until-found") or (node.name == "dialog" and "open" not in a)):
         return None
-    found = []
-    if rules:
-        names = [("", ""), *((".", c) for c in a.get("class", "").split()), *([("#", a["id"])] if "id" in a else [])]
-        found += [rules[t, k, n] for k, n in names for t in ("", node.name) if (t, k, n) in rules]
-    if "style" in a:
-        found += [(m[1] or "none").lower() for m in HIDING.finditer(a["style"])]
-    for how in found:
-        if how == "none":
-            return None
-        visible = how == "visible"
-    return visible
+    how = won.get("visibility", "inherit")
+    return how in ("visible", "initial") if how in ("visible", "initial", "hidden", "collapse") else visible
 
 
 class Out:
@@ -283,7 +279,7 @@ def marker(parent: Node, item: Node, count: dict[int, int]) -> str:
     return f"{now}. "
 
 
-def walk(root: Node, rules: dict, out: Out, visible: bool = True, keep: bool = False) -> Generator[tuple, None, None]:
+def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool = False) -> Generator[tuple, None, None]:
     """Writes the children of `root`; yields (walk of a cell) to be run first."""
     count: dict[int, int] = {}
     stack: list[tuple] = [("in", c, root, visible, keep) for c in reversed(root.children)]
@@ -354,7 +350,7 @@ def walk(root: Node, rules: dict, out: Out, visible: bool = True, keep: bool = F
     out.end_line()
 
 
-def table(node: Node, rules: dict, out: Out, visible: bool, keep: bool) -> Generator[tuple, None, None]:
+def table(node: Node, rules: Sheet, out: Out, visible: bool, keep: bool) -> Generator[tuple, None, None]:
     """Rows of cells, aligned; captions and stray content go before."""
     rows: list[tuple[Node, bool]] = []
     groups: list[tuple[int, Node, bool]] = []
@@ -395,7 +391,7 @@ def table(node: Node, rules: dict, out: Out, visible: bool, keep: bool) -> Gener
         inside = [c for c in row.children if isinstance(c, Node) and c.name in ("td", "th")] if row.name == "tr" else []
         loose = [c for c in row.children if isinstance(c, str) and c.strip() or isinstance(c, Node) and c.name not in ("td", "th")] if row.name == "tr" else [row]
         if loose:
-            cell = Node("td", {})
+            cell = Node("#cell", {})
             cell.children = loose
             inside.append(cell)
         for cell in inside:
@@ -433,7 +429,7 @@ def table(node: Node, rules: dict, out: Out, visible: bool, keep: bool) -> Gener
 def render(page: str | None) -> str:
     """The visible text of a page."""
     root, out = build(page or ""), Out()
-    running = [walk(root, hiding_rules(root), out)]
+    running = [walk(root, style_sheet(root), out)]
     while running:  # cells are walked as they come up, without recursion
         try:
             running.append(next(running[-1])[0])

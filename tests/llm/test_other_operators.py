@@ -103,6 +103,38 @@ def test_rendering(page, text):
     assert render(page) == text if text is not None else render(page)
 
 
+CASCADE = [
+    ("@media print{.x{display:none}}", "<p class=x>yes", "yes"),
+    ("@media (max-width:600px){.x{display:none}} @media (min-width:600px){.y{display:none}}", "<p class=x>yes<p class=y>no", "yes"),
+    ("@media screen and (400px<=width<=900px), print{.x{display:none}} @media not print{.y{display:none}}", "<p class=x>yes<p class=y>no", "yes"),
+    ("@media screen{@media print{.x{display:none}} .y{display:none}}", "<p class=x>yes<p class=y>no", "yes"),
+    (".tab{display:none} .active{display:block}", "<p class='tab active'>yes<p class=tab>no", "yes"),
+    (".active{display:block} .tab{display:none}", "<p class='tab active'>no<p>yes", "yes"),
+    (".tab.active{display:block} .tab{display:none}", "<p class='tab active'>yes<p class=tab>no", "yes"),
+    ("#a{display:block} .x{display:none} p{display:none!important}", "<div id=a class=x>yes</div><p style='display:block'>no", "yes"),
+    (".x{display:none}", "<p class=x style='display:block'>yes<p class=x style='color:red'>no", "yes"),
+    (".x{display:none} .x{display:block}", "<p class=x>yes", "yes"),
+    ("nav .x, ul > .x, h1 + .x{display:none}", "<nav><p><b class=x>no</b></p></nav><p class=x>a<h1>b</h1><p class=x>no<p class=x>c", "a\n\nb\n\nc"),
+    (".x:not(.y){display:none} [data-a='1'] i:first-child{display:none} u:hover, u::before{display:none}", "<p class=x>no<p class='x y'>a<p data-a=1><i>no</i><i>b</i><u>c</u>", "a\n\nbc"),
+    (".x{display:none; &.y{display:block} @media print{visibility:hidden}} .z{.y{display:none}}", "<p class='x y'>yes<p class=x>no<p class=z><b class=y>no</b>", "yes"),
+    ("@layer a{.x{display:block}} .x{display:none} @supports (display:grid){.y{display:none}}", "<p class=x>no<p class=y>no<p>yes", "yes"),
+    ("i::after{content:'}.x{display:none}'} .y{display:none", "<p class=x>yes<p class=y>no", "yes"),
+    (".x{visibility:hidden} .x{visibility:inherit} .y{display:block}", "<p class=x>a<p hidden class=y>b<p hidden>no", "a\n\nb"),
+]
+
+
+@pytest.mark.parametrize(("css", "body", "text"), CASCADE)
+def test_rendering_by_the_winning_rule(css, body, text):
+    assert render(f"<style>{css}</style>{body}") == text
+
+
+def test_style_of_other_media_and_odd_sheets():
+    assert render("<style media=print>p{display:none}</style><template><style>p{display:none}</style></template><p>yes") == "yes"
+    for css in ("a{" * 5000 + "display:none", "p:is(" * 3000, "((" * 5000 + "{display:none}", ".x:not({display:none}", "@media{" * 3000 + "p{display:none}", "> p{display:none}"):
+        render(f"<style>{css}</style><p class=x>text")
+    assert render("<style>div p{display:none}</style>" + "<div>" * 3000 + "<p>no</p>yes") == "yes"
+
+
 def test_rendering_deep_and_long():
     assert render("<div>" * 50_000 + "deep") == "deep"
     assert render("<table><tr><td>" * 1500 + "x") == "x"
