@@ -5,7 +5,7 @@ raw text) make a tree; a walk over it writes the text that a reader sees:
 invisible elements, `hidden`, and what the style attribute or the page's own
 style sheets hide on a screen (see `css_cascade`) are left out, closed `details`
 show their summary, paragraphs and headings stand apart by an empty line,
-lists get markers and indents, table cells are aligned in columns, and
+list boxes show all options and formulas their text, lists get markers and indents, table cells are aligned in columns, and
 preformatted text keeps its white space. No text is cut: a cell or an indent
 beyond `WIDE` or `DEEP` only stops to widen the layout.
 
@@ -31,7 +31,7 @@ DEEP = 16
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = frozenset("head title script style template noscript iframe noembed noframes datalist audio video canvas object map math colgroup col".split())
+UNSEEN = frozenset("head title script style template noscript iframe noembed noframes datalist audio video canvas object colgroup col".split())
 IN_HEAD = frozenset("head title meta link style script base noscript template html".split())
 BLOCKS = frozenset("address article aside body center dd details dialog div dt fieldset figcaption figure footer form header hgroup html legend li main menu nav option optgroup search section summary tr tbody thead tfoot caption td th".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset xmp".split())
@@ -52,11 +52,12 @@ SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
 class Node:
-    __slots__ = ("at", "attributes", "children", "kin", "name", "parent")
+    __slots__ = ("at", "attributes", "children", "formula", "kin", "name", "parent")
 
     def __init__(self, name: str, attributes: dict[str, str]):
         self.name, self.attributes, self.children = name, attributes, []
         self.parent = self.kin = None
+        self.formula = False  # within <math>
 
 
 def scan(page: str) -> Iterator[tuple[str, str, str]]:
@@ -134,6 +135,7 @@ def build(page: str) -> Node:
 
     def push(name: str, attrs: dict[str, str]) -> None:
         node = Node(name, attrs)
+        node.formula = open_["math"] > 0
         stack[-1].children.append(node)
         stack.append(node)
         open_[name] += 1
@@ -191,7 +193,7 @@ def style_sheet(root: Node) -> Sheet:
 def shown(node: Node, rules: Sheet, visible: bool) -> bool | None:
     """None: no box at all; else whether its own text can be seen."""
     a = node.attributes
-    if node.name in UNSEEN or (node.name == "input" and a.get("type", "").lower() == "hidden"):
+    if node.name in UNSEEN or (node.formula and node.name in ("annotation", "annotation-xml")) or (node.name == "input" and a.get("type", "").lower() == "hidden"):
         return None
     won = rules.won(node) if rules.rules or "style" in a else {}
     display = won.get("display", "revert")
@@ -200,7 +202,7 @@ def shown(node: Node, rules: Sheet, visible: bool) -> bool | None:
     # a browser's own rules give way to any of the page's
     if display.startswith("revert") and (("hidden" in a and a["hidden"] != "until-found") or (node.name == "dialog" and "open" not in a)):
         return None
-    how = won.get("visibility", "inherit")
+    how = won.get("visibility", "hidden" if node.formula and node.name == "mphantom" else "inherit")
     return how in ("visible", "initial") if how in ("visible", "initial", "hidden", "collapse") else visible
 
 
@@ -321,6 +323,8 @@ def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool =
             continue
         if name == "details" and "open" not in node.attributes:
             inner = [c for c in node.children if isinstance(c, Node) and c.name == "summary"][:1]
+        elif name == "select" and ("multiple" in node.attributes or span(node, "size", 1000) > 1):
+            inner = [c for c in node.children if isinstance(c, Node)]
         elif name == "select":
             options = [c for c in node.children if isinstance(c, Node) for c in ([c] if c.name == "option" else [x for x in c.children if isinstance(x, Node)])]
             inner = ([c for c in options if "selected" in c.attributes] or options)[:1]
@@ -333,6 +337,11 @@ def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool =
                 out.apart()
         elif name in BLOCKS:
             out.end_line()
+        if name == "optgroup" and seen:
+            out.flow(node.attributes.get("label", ""))
+            out.end_line()
+        elif name == "mtd":
+            out.space = bool(out.line)
         if name == "li":
             mark = marker(parent, node, count)
             out.marker = ("".join(out.indents[-1:]) if out.marker and len(out.indents) > DEEP else out.marker) + mark if out.marker else mark

@@ -95,6 +95,11 @@ CASES = [
     ("<select><option>a<option selected>b</select><input value=v><input type=hidden value=no><textarea> k\nl</textarea>", None),
     ("<blockquote>q<blockquote>r</blockquote></blockquote>", "  q\n\n    r"),
     ("</p></div><td>loose</td><li>item", None),
+    ("if <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding=tex>no</annotation></semantics></math> then<annotation>!</annotation>", "if x=1 then!"),
+    ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable><mphantom>no</mphantom></math>", "1 2"),
+    ("<map name=m><p>links<area href=x></map>", "links"),
+    ("<select multiple><option>a<option selected>b<optgroup label=g><option>c</select>", "a\nb\ng\nc"),
+    ("<select size=3><option>a<option>b</select><select size=1><option>c<option>no</select>", None),
 ]
 
 
@@ -128,6 +133,10 @@ def test_rendering_by_the_winning_rule(css, body, text):
     assert render(f"<style>{css}</style>{body}") == text
 
 
+def test_list_boxes_show_all_options():
+    assert render("<select size=3><option>a<option>b</select><select size=1><option>c<option>no</select>").split() == ["a", "b", "c"]
+
+
 def test_style_of_other_media_and_odd_sheets():
     assert render("<style media=print>p{display:none}</style><template><style>p{display:none}</style></template><p>yes") == "yes"
     for css in ("a{" * 5000 + "display:none", "p:is(" * 3000, "((" * 5000 + "{display:none}", ".x:not({display:none}", "@media{" * 3000 + "p{display:none}", "> p{display:none}"):
