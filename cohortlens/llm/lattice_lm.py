@@ -8,7 +8,7 @@ end of the word; a forward recursion (in log space, as words may be long) sums
 over all of them. The vocabulary is given, and so are its scores, from which
 the pieces' probabilities start (a score is minus the rank, read as Zipf's
 law); one expectation step over all distinct training words (forward and
-backward) re-estimates them. A text's score is the sum over its words and its
+backward, with logs where a word is long) re-estimates them. A text's score is the sum over its words and its
 end, in log10: since no piece spans white space, this is the forward recursion
 over the whole text.
 
@@ -25,6 +25,7 @@ rows the lattice alone scores words, and an end has probability 1.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +42,8 @@ BLOCK = 8 << 20
 END = b" "
 #: expected pieces that the prior counts for
 PRIOR = 50_000.0
+#: bytes of a word beyond which its sums surely don't fit plain numbers, or fill much memory
+PLAIN = 2000
 
 
 @lru_cache(maxsize=2)
@@ -114,13 +117,15 @@ class Lattice:
 
     def expected(self, word: bytes, into: list[float]) -> None:
         """Adds the expected number of each piece in a segmentation."""
+        if len(word) > PLAIN:
+            return self.expected_long(word, into)
         n = len(word) + 1
         arcs = [(end + 1, i, length, chance) for end, (i, length, chance) in self.automaton.iter(" " + word.decode("latin-1"))]
         forward, backward = [1.0] + [0.0] * n, [0.0] * n + [1.0]
         for end, _, length, chance in arcs:
             forward[end] += forward[end - length] * chance
-        if not forward[n] > 1e-290:  # too long for plain numbers: no part in the estimate
-            return
+        if not forward[n] > 1e-290:  # too small for plain numbers
+            return self.expected_long(word, into)
         for end, _, length, chance in reversed(arcs):
             backward[end - length] += backward[end] * chance
         total = forward[n]
@@ -129,6 +134,33 @@ class Lattice:
                 into[i] += share / total
         into[self.stop] += 1.0
 
+    def expected_long(self, word: bytes, into: list[float]) -> None:
+        """The same with logs throughout and flat arrays, for long words."""
+        n, logs, exp, log1p = len(word) + 1, self.logs, math.exp, math.log1p
+        ends, pieces = array("q"), array("i")
+        forward, backward = array("d", [-math.inf]) * (n + 1), array("d", [-math.inf]) * (n + 1)
+        forward[0] = backward[n] = 0.0
+        for end, (i, length, _) in self.automaton.iter(" " + word.decode("latin-1")):
+            end += 1
+            ends.append(end)
+            pieces.append(i)
+            a, b = forward[end], forward[end - length] + logs[i]
+            if a < b:
+                a, b = b, a
+            forward[end] = a + log1p(exp(b - a)) if b > -math.inf else a
+        total = forward[n]
+        for end, i in zip(reversed(ends), reversed(pieces), strict=True):  # what begins at `end` has been seen
+            after = backward[end] + logs[i]
+            if after == -math.inf:
+                continue
+            start = end - len(self.pieces[i])
+            into[i] += exp(forward[start] + after - total)
+            a, b = backward[start], after
+            if a < b:
+                a, b = b, a
+            backward[start] = a + log1p(exp(b - a)) if b > -math.inf else a
+        into[self.stop] += 1.0
+
 
 def lattice(path: str, weights: bytes | None) -> Lattice:
     """Kept in each Python worker; None: the prior weights."""

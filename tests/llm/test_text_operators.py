@@ -297,6 +297,21 @@ def test_lattice_sums_all_segmentations():
     assert own.log_probability(long) == pytest.approx(own.log_space(long) + own.logs[own.stop], rel=1e-9)
 
 
+def test_long_words_add_their_expected_pieces():
+    own = lattice_lm.lattice(vocabulary(), None)
+    for word in ("the", "zürich", "日本"):
+        plain, logs = ([0.0] * (own.stop + 1) for _ in range(2))
+        own.expected(word.encode(), plain)
+        own.expected_long(word.encode(), logs)
+        assert logs == pytest.approx(plain)
+    for word in ("日本語の文章には空白がない。" * 8, "q\u2603z" * 40, "http://a.example/" + "x9q" * 2000):
+        found = [0.0] * (own.stop + 1)
+        own.expected(word.encode(), found)
+        assert found[own.stop] == 1  # one end, and pieces that cover the word and its begin
+        assert sum(n * len(p) for n, p in zip(found, own.pieces)) == pytest.approx(len(word.encode()) + 1)
+        assert sum(n for n, p in zip(found, own.pieces) if p[0] == " ") == pytest.approx(1)
+
+
 def test_word_probabilities_stay_below_one(spark):
     rows = [(i, "a b c a", None) for i in range(30)]
     got = lattice_lm.score_documents(small.frame(spark, rows), vocabulary(), remainder_is_one("doc_id", 5)).collect()
