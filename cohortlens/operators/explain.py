@@ -75,6 +75,29 @@ def force_split(attr: DataFrame, row_id, cls) -> DataFrame:
         .agg(F.sum("phi").alias("total"), F.count(F.lit(1)).alias("features"))
 
 
+def decompose_examples(attr: DataFrame, examples: DataFrame, bases: dict[str, float],
+                       n: int = DECOMPOSE_TOP) -> DataFrame:
+    """X07 for several predictions at once: `examples` (row_id, class) names
+    the rows and the class explained for each, `bases` the base values."""
+    chosen = attr.join(F.broadcast(examples.select("row_id", "class")), ["row_id", "class"])
+    w = Window.partitionBy("row_id", "class").orderBy(F.desc(F.abs("phi")), "feature")
+    ranked = chosen.withColumn("rank", F.row_number().over(w))
+    top = ranked.where(F.col("rank") <= n).select("row_id", "class", "rank", "feature", "phi")
+    rest = (ranked.where(F.col("rank") > n).groupBy("row_id", "class")
+            .agg(F.lit(n + 1).alias("rank"), F.lit("(other features)").alias("feature"), F.sum("phi").alias("phi")))
+    base = F.create_map(*[x for c, v in bases.items() for x in (F.lit(c), F.lit(v))])[F.col("class")]
+    run = Window.partitionBy("row_id", "class").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    return top.unionByName(rest).withColumn("cumulative", base + F.sum("phi").over(run))
+
+
+def force_split_examples(attr: DataFrame, examples: DataFrame) -> DataFrame:
+    """X08 for several predictions at once (see `decompose_examples`)."""
+    chosen = attr.join(F.broadcast(examples.select("row_id", "class")), ["row_id", "class"])
+    direction = F.when(F.col("phi") >= 0, "positive").otherwise("negative").alias("direction")
+    return chosen.groupBy("row_id", "class", direction).agg(F.sum("phi").alias("total"),
+                                                            F.count(F.lit(1)).alias("features"))
+
+
 def dependence(attr: DataFrame, n: int = 3) -> DataFrame:
     """(value, phi) pairs of the top n features of each class."""
     tops = top_features(attr, n).select("class", "feature")
