@@ -2,8 +2,10 @@
 
 From a bounded sample of labelled text of each language a suffix automaton is
 built. A text is parsed with each automaton into the longest phrases that
-occur in the sample; a phrase costs log2(sample length) bits, and the language
-whose phrases cost the fewest bits wins. All texts of a batch step through the
+occur in the sample; a phrase costs log2(sample length) bits, a byte that the
+sample never holds costs `LITERAL` bits more than a phrase of the longest
+sample, so that a small sample has no advantage, and the language whose phrases
+cost the fewest bits wins. All texts of a batch step through the
 automata together, one byte a step, as table lookups.
 
 Bounds (parameters): `rows` labelled rows of each language, `clip` code points
@@ -29,7 +31,7 @@ from cohortlens.llm.common import held, slices
 UNKNOWN = "und"
 PIECE = 1024
 LETTERS = re.compile(r"[^\W\d_]+")
-CLASSES = 64
+LITERAL = 8.0
 
 
 def normalised(text: bytes) -> bytes:
@@ -53,19 +55,17 @@ def sample(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
 
 
 def byte_classes(texts: list[bytes]) -> bytes:
-    """A table from bytes to fewer classes: the commonest bytes of the sample
-    have one each, the others share the rest by remainder."""
-    counts = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
-    order = np.argsort(-counts, kind="stable")
-    own = [int(b) for b in order if counts[b]][: CLASSES - 8]
-    table = [len(own) + b % (CLASSES - len(own)) for b in range(256)]
+    """A table from bytes to fewer classes: each byte of the samples has its
+    own (UTF-8 has fewer than 255), the last one is for all others."""
+    own = sorted({*b"".join(texts)})
+    table = bytearray([len(own)]) * 256
     for i, b in enumerate(own):
         table[b] = i
     return bytes(table)
 
 
-def suffix_automaton(data: bytes) -> np.ndarray:
-    """next[state, class], -1 where no transition; state 0 is the start. It
+def suffix_automaton(data: bytes, width: int) -> np.ndarray:
+    """next[state, column], -1 where no transition; state 0 is the start. It
     reads just the substrings of `data`."""
     link, length, moves = [-1], [0], [{}]
     last = 0
@@ -92,37 +92,50 @@ def suffix_automaton(data: bytes) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    table = np.full((len(moves), CLASSES), -1, np.int32)
+    table = np.full((len(moves), width), -1, np.int32)
     for state, m in enumerate(moves):
         for c, to in m.items():
             table[state, c] = to
     return table
 
 
-def automata(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def automata(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a model, kept in each Python worker."""
     return held(("automata", model), lambda: build(model))
 
 
-def build(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """(byte classes, steps, first states, bits a phrase). steps[state + class]
-    holds the next state times two, plus one if a phrase ended before this
-    byte and the next began with it."""
+def build(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(byte classes, steps, first states, bits a phrase, columns, seen).
+    steps[state + columns[language, class]] holds the next state times two, plus
+    one if a phrase ended before this byte and the next began with it; each
+    language has columns for the bytes of its sample and one for all others.
+    seen[language, class] tells whether the sample holds the byte."""
     classes = byte_classes([text for _, text in model])
     tables, starts, base = [], [], 0
-    for _, text in model:
-        moves = suffix_automaton(text.translate(classes))
+    columns = np.zeros((len(model), max(classes) + 1), np.int32)
+    seen = np.zeros(columns.shape, bool)
+    for lang, (_, text) in enumerate(model):
+        data = text.translate(classes)
+        own = sorted({*data})
+        width = len(own) + 1
+        columns[lang] = len(own)
+        columns[lang, own] = np.arange(len(own))
+        seen[lang, own] = True
+        moves = suffix_automaton(bytes(columns[lang].astype(np.uint8)[np.frombuffer(data, np.uint8)]), width).astype(np.int64)
         fresh = np.where(moves[0] >= 0, moves[0], 0)
-        tables.append((np.where(moves >= 0, (moves + base) * CLASSES * 2, (fresh + base)[None, :] * CLASSES * 2 + 1)).astype(np.int32).ravel())
-        starts.append(base * CLASSES)
-        base += len(moves)
+        tables.append(np.where(moves >= 0, (moves * width + base) * 2, (fresh * width + base)[None, :] * 2 + 1).ravel())
+        starts.append(base)
+        base += moves.size
+    kind = np.int32 if base < 2**30 else np.int64
     bits = np.array([np.log2(len(text) + 2) for _, text in model])
-    return classes, np.concatenate(tables), np.array(starts, np.int32), bits
+    return classes, np.concatenate([t.astype(kind) for t in tables]), np.array(starts, kind), bits, columns, seen
 
 
-def phrases(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
-    """Phrases of each normalised text with each language's automaton."""
-    classes, steps, starts, _ = automata(model)
+def parsed(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(phrases, bits) of each normalised text with each language's automaton.
+    Runs of bytes without those outside the sample are parsed into the phrases
+    that are charged; the count also has each byte outside as one."""
+    classes, steps, starts, bits, columns, seen = automata(model)
     owner, where, sizes, at = [], [], [], 0
     for i, text in enumerate(texts):
         for k in range(0, len(text), PIECE):
@@ -131,9 +144,14 @@ def phrases(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndar
             sizes.append(min(PIECE, len(text) - k))
         at += len(text)
     out = np.zeros((len(model), len(texts)), np.int64)
+    cost = np.zeros(out.shape)
     if not owner:
-        return out
+        return out, cost
     data = np.frombuffer(b"".join(texts).translate(classes), np.uint8)
+    begins = np.zeros(len(data), bool)
+    begins[where] = True
+    holder = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+    pieces = np.bincount(owner, minlength=len(texts))
     sizes = np.array(sizes)
     order = np.argsort(-sizes, kind="stable")
     sizes, where, owner = sizes[order], np.array(where)[order], np.array(owner)[order]
@@ -141,12 +159,23 @@ def phrases(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndar
     ended = np.zeros(state.shape, np.int32)
     active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # pieces longer than k
     for k, n in enumerate(active.tolist()):
-        step = steps.take(state[:, :n] + data[where[:n] + k])
+        step = steps.take(state[:, :n] + columns.take(data[where[:n] + k], axis=1))
         ended[:, :n] += step & 1
         state[:, :n] = step >> 1
+    literal = bits.max() + LITERAL
     for lang in range(len(model)):
         out[lang] = np.bincount(owner, ended[lang] + 1, len(texts)).astype(np.int64)
-    return out
+        known = seen[lang][data]
+        outside = np.bincount(holder[~known], minlength=len(texts))
+        known[1:] &= begins[1:] | ~known[:-1]  # where a run of bytes of the sample begins
+        runs = np.bincount(holder[known], minlength=len(texts))
+        cost[lang] = (out[lang] - pieces - outside + runs) * bits[lang] + outside * literal
+    return out, cost
+
+
+def phrases(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
+    """Phrases of each normalised text with each language's automaton."""
+    return parsed(texts, model)[0]
 
 
 def identify(texts: Column, model: tuple[tuple[str, bytes], ...]) -> Column:
@@ -163,8 +192,7 @@ def identify(texts: Column, model: tuple[tuple[str, bytes], ...]) -> Column:
                 scores += [0.0] * len(run)
                 counts += [0] * len(run)
                 continue
-            found = phrases(plain, model)
-            cost = found * automata(model)[3][:, None]
+            found, cost = parsed(plain, model)
             best = cost.argmin(axis=0)
             share = 1 / np.exp2(np.maximum(cost.min(axis=0)[None, :] - cost, -1000)).sum(axis=0)
             for i, text in enumerate(plain):

@@ -5,6 +5,7 @@ import hashlib
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +263,39 @@ def test_phrases_against_plain_parsing():
             assert abs(found[i, j] - n) <= sum(text.translate(classes).count(c) for c in set(text.translate(classes)) if bytes([c]) not in own)
 
 
+def test_small_samples_win_no_foreign_text():
+    english = b"the quick brown fox jumps over the lazy dog while the cat sat on the mat and looked at the birds " * 20
+    text = b"the birds sat on the mat and the dog looked at the lazy cat while the fox jumps " * 12
+    for small_text in (b"x", b"e", b"the", b"\xd0\xb6"):
+        found, cost = cross_parse.parsed([text, small_text], (("en", english), ("xx", small_text)))
+        assert cost[0, 0] < cost[1, 0]
+        assert cost[1, 1] < cost[0, 1]
+    # each byte outside both samples costs the same everywhere
+    _, cost = cross_parse.parsed(["\u0e01".encode() * 50], (("en", english), ("xx", b"x")))
+    assert cost[0, 0] == cost[1, 0] > 8 * 150
+    # whole phrases and bytes outside, by hand: "th" "e" z "th" and the same over two pieces
+    _, cost = cross_parse.parsed([b"thezth", b"zz", b""], (("a", b"th e"),))
+    assert cost[0].tolist() == pytest.approx([3 * np.log2(6) + (np.log2(6) + 8), 2 * (np.log2(6) + 8), 0])
+
+
+def test_each_byte_of_the_samples_is_told_apart():
+    scripts = "".join(map(chr, [*range(97, 123), *range(0x3B1, 0x3C9), *range(0x430, 0x450), *range(0x5D0, 0x5EA), *range(0x4E00, 0x4E80), *range(0xAC00, 0xACF0)])).encode()
+    model = (("a", scripts[: len(scripts) // 2]), ("b", scripts[len(scripts) // 2 :]))
+    classes = cross_parse.byte_classes([x for _, x in model])
+    assert len({classes[b] for b in scripts}) == len({*scripts}) > 64
+    text = scripts[::-7]
+    found = cross_parse.phrases([text], model)
+    for i, (_, own) in enumerate(model):
+        n = m = rest = 0
+        while rest < len(text):
+            k = 1
+            while rest + k < len(text) and text[rest : rest + k + 1] in own:
+                k += 1
+            m += text[rest] not in own
+            rest, n = rest + k, n + 1
+        assert abs(found[i, 0] - n) <= m
+
+
 def test_language_without_labels(nothing, docs):
     assert cross_parse.sample(nothing) == ()
     assert {r[0]["lang"] for r in docs.select(cross_parse.identify(F.col("text"), ())).collect()} == {"und"}
