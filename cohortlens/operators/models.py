@@ -111,8 +111,9 @@ def grid_search(estimator, param_grid: list, df: DataFrame, fold_col: str = "fol
     """Exhaustive k-fold search on an explicit fold column, refit on all
     rows. Returns (fitted CrossValidatorModel, table of candidates)."""
     evaluator = f1_evaluator(label) if metric == "f1" else mse_evaluator(label)
+    folds = int(df.agg(F.max(fold_col)).first()[0]) + 1
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=param_grid, evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism, seed=seed, collectSubModels=False)
+                        numFolds=folds, foldCol=fold_col, parallelism=parallelism, seed=seed, collectSubModels=False)
     model = cv.fit(df)
     rows = []
     sign = 1.0 if metric == "f1" else -1.0
