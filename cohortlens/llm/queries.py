@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import cross_parse, html_layout, lattice_lm, line_bloom, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
-from cohortlens.llm.common import remainder_is_one, table
+from cohortlens.llm import budget_mix, cross_parse, dual_tree, html_layout, lattice_lm, line_bloom, norm_codes, nra_topk, packing, prefix_free, simhash_bk, warc_revisit, winnowing
+from cohortlens.llm.common import kept, remainder_is_one, table
 from cohortlens.session import scratch_path
 
 
@@ -144,6 +144,86 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return budget_mix.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dual_tree.best_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+OP12_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+i AS (
+  SELECT item_id, t, count(*) AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+  GROUP BY item_id, t),
+s AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM s),
+f AS (SELECT doc_id, t, count(*) AS tf FROM d SEMI JOIN i USING (t) GROUP BY doc_id, t),
+w AS (SELECT t, floor(1000 * ln((2 * c.docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY t, c.docs),
+p AS (
+  SELECT i.item_id, f.doc_id,
+         sum(i.repeats * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + (25 * s.n * c.docs) // c.words))))::BIGINT AS score
+  FROM i JOIN f USING (t) JOIN w USING (t) JOIN s USING (doc_id), c GROUP BY i.item_id, f.doc_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    coded, codebook = norm_codes.compress(vectors)
+    out = norm_codes.summed_by(kept(coded, "codes"), "label", "error", "label_error")
+    code = F.array_join(F.transform("code", lambda c: F.lpad(F.lower(F.hex(c.cast("int"))), 2, "0")), "")
+    return out.select("vec_id", code.alias("code"), "error", "label_error", F.lit(norm_codes.digest(codebook)).alias("codebooks_sha256"))
+
+
+def _op13_round(n: int) -> str:
+    """SQL of one assignment (a) to the codebook of round n and of the next codebook."""
+    return f"""
+d{n} AS (
+  SELECT x.vec_id, x.p, c.i, list_sum(list_transform(list_zip(x.s, c.s), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM x JOIN c{n} c USING (p)),
+a{n} AS MATERIALIZED (SELECT vec_id, p, arg_min(i, (d, i)) AS i, min(d)::BIGINT AS d FROM d{n} GROUP BY vec_id, p),
+m{n} AS (
+  SELECT p, i, pos, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v
+  FROM (SELECT x.p, a.i, unnest(x.s) AS v, generate_subscripts(x.s, 1) AS pos FROM x JOIN a{n} a USING (vec_id, p)) GROUP BY p, i, pos),
+c{n + 1} AS MATERIALIZED (
+  SELECT c.p, c.i, coalesce(u.s, c.s) AS s
+  FROM c{n} c LEFT JOIN (SELECT p, i, list(v ORDER BY pos) AS s FROM m{n} GROUP BY p, i) u ON u.p = c.p AND u.i = c.i),"""
+
+
+OP13_SQL = f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (
+  SELECT vec_id, p, e[p * (len(e) // 16) + 1 : (p + 1) * (len(e) // 16)] AS s FROM v, range(16) AS r(p)),
+c0 AS MATERIALIZED (
+  SELECT p, i, s FROM (SELECT p, s, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS i FROM x) WHERE i < 64),
+{_op13_round(0)}
+{_op13_round(1)}
+d2 AS (
+  SELECT x.vec_id, x.p, c.i, list_sum(list_transform(list_zip(x.s, c.s), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM x JOIN c2 c USING (p)),
+a2 AS (SELECT vec_id, p, arg_min(i, (d, i)) AS i, min(d)::BIGINT AS d FROM d2 GROUP BY vec_id, p),
+o AS (
+  SELECT vec_id, string_agg(printf('%02x', i), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id),
+b AS (
+  SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, i, pos)) AS digest
+  FROM (SELECT p, i, unnest(s) AS v, generate_subscripts(s, 1) AS pos FROM c2))
+SELECT o.vec_id, o.code, o.error, sum(o.error) OVER (PARTITION BY v.label)::BIGINT AS label_error, b.digest AS codebooks_sha256
+FROM o JOIN v USING (vec_id), b
+"""
+
 QUERIES = {
     "op1_lattice_score": op1_lattice_score,
     "op2_repeated_substrings": op2_repeated_substrings,
@@ -155,6 +235,9 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op9_html_text": op9_html_text,
     "op10_line_dedup": op10_line_dedup,
+    "op11_source_mix": op11_source_mix,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 SQL = {
@@ -162,4 +245,6 @@ SQL = {
     "op7_warc_revisit": OP7_SQL,
     "op8_top_k_search": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_ranked_search": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
