@@ -39,7 +39,7 @@ def q_samme_results(spark, sf):
 @query("softmax_boost_results", operators=["M10"])
 def q_softmax_boost_results(spark, sf):
     train, test, *_ = prepared(spark, sf)
-    model = ensemble.SoftmaxBoostClassifier(numTrees=100, learningRate=0.1, maxDepth=5, subsample=0.8).fit(train)
+    model = ensemble.SoftmaxBoostClassifier(numTrees=100, learningRate=0.1, maxDepth=5, subsample=0.8, idCol="id").fit(train)
     return _results(model, test, "Gradient Boosting")
 
 
@@ -47,5 +47,6 @@ def q_softmax_boost_results(spark, sf):
 def q_softmax_boost_colsample_results(spark, sf):
     train, test, *_ = prepared(spark, sf)
     model = ensemble.SoftmaxBoostClassifier(numTrees=100, learningRate=0.1, maxDepth=5, subsample=0.8,
-                                            colsample=0.8, l2=1.0).fit(train)
+                                            colsample=0.8, l2=1.0, secondOrder=True,
+                                            idCol="id").fit(train)
     return _results(model, test, "Boosted Trees (colsample)")
