@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from cohortlens.operators import grids, metrics, models, prep, quality, select
+from cohortlens.operators import grids, histtrees, metrics, models, prep, quality, search, select
 from cohortlens.operators.features import ENGINEERED, engineer_features
 from cohortlens.plans.registry import query
 from cohortlens.session import materialize, spread
@@ -113,44 +113,44 @@ def q_model_forest_regressor_classes(spark, sf):
     return scored.select("id", "label", F.col("prediction").alias("value"), "class_code")
 
 
-@query("grid_search_tree", operators=["M12"])
+@query("grid_search_tree", operators=["M01", "M12"])
 def q_grid_search_tree(spark, sf):
+    """All 90 combinations on five folds."""
     train, _, *_ = prepared(spark, sf)
     folded = materialize(prep.fold_column(train, "label", "id", folds=5))
-    est = models.decision_tree()
-    _, table = models.grid_search(est, grids.param_maps(est, grids.DECISION_TREE), folded, fold_col="fold", parallelism=4)
-    return table
+    return search.search_trees(folded).table(spark)
+
+
+def _search_logistic(folded):
+    n = folded.count()
+    # the two solvers minimise the same loss: candidates that differ in them only are fitted once
+    candidates = [c for c in grids.candidates(grids.LOGISTIC_REGRESSION) if c["solver"] == grids.LOGISTIC_REGRESSION["solver"][0]]
+    return search.search_fits(lambda c: models.logistic(C=c["C"], n=n, max_iter=c["max_iter"]), candidates, folded)
 
 
 @query("grid_search_logistic", operators=["M02", "M12"])
 def q_grid_search_logistic(spark, sf):
     """The reference's C grid mapped to Spark's regParam = 1 / (C * n)."""
     train, _, *_ = prepared(spark, sf)
-    folded = materialize(prep.fold_column(train, "label", "id", folds=5))
-    n = folded.count()
-    est = models.logistic(C=1.0, n=n)
-    _, table = models.grid_search(est, grids.param_maps(est, grids.LOGISTIC_REGRESSION, n), folded, fold_col="fold", parallelism=4)
-    return table
+    return _search_logistic(materialize(prep.fold_column(train, "label", "id", folds=5))).table(spark)
+
+
+@query("grid_search_knn", operators=["M03", "M12"])
+def q_grid_search_knn(spark, sf):
+    train, _, *_ = prepared(spark, sf)
+    return search.search_neighbours(materialize(prep.fold_column(train, "label", "id", folds=5))).table(spark)
 
 
-def _baseline_candidates(n: int) -> dict:
+def _baseline_search(folded) -> dict:
     """The reference's three model families with their whole grids."""
-    from cohortlens.operators.neighbors import KNNClassifier
-    dt = models.decision_tree()
-    lr = models.logistic(C=1.0, n=n)
-    knn = KNNClassifier(k=5, vecCol="features", idCol="id", labelCol="label")
-    return {
-        "Decision Tree": (dt, grids.param_maps(dt, grids.DECISION_TREE)),
-        "Logistic Regression": (lr, grids.param_maps(lr, grids.LOGISTIC_REGRESSION, n)),
-        "KNN": (knn, grids.param_maps(knn, grids.KNN)),
-    }
+    return {"Decision Tree": search.search_trees(folded), "Logistic Regression": _search_logistic(folded), "KNN": search.search_neighbours(folded)}
 
 
 @query("baseline_results", operators=["E10", "E16", "M01", "M02", "M03", "M12"])
 def q_baseline_results(spark, sf):
     train, test, *_ = prepared(spark, sf)
     folded = materialize(prep.fold_column(train, "label", "id", folds=5))
-    return models.compare_models(folded, test, _baseline_candidates(folded.count()), CLASSES)
+    return search.results(_baseline_search(folded), test, CLASSES)
 
 
 def _selected(folded, test):
@@ -170,7 +170,7 @@ def q_engineered_comparison(spark, sf):
         folded = materialize(prep.fold_column(train, "label", "id", folds=5))
         if engineered:
             folded, test = _selected(folded, test)
-        part = models.compare_models(folded, test, _baseline_candidates(folded.count()), CLASSES, variant=variant)
+        part = search.results(_baseline_search(folded), test, CLASSES, variant=variant)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -190,18 +190,22 @@ def q_balancing_comparison(spark, sf):
                        array_to_vector("features").alias("features"))
     augmented = materialize(spread(train.select("id", "label", "features").unionByName(synth)))
     weighted = balance.with_weights(train, "label", "weight")
-    families = {
-        "Random Forest": lambda **w: models.random_forest(n_estimators=100, max_depth=10, **w),
-        "Gradient Boosting": lambda **w: ensemble.SoftmaxBoostClassifier(
-            numTrees=100, learningRate=0.1, maxDepth=5, **({"weightCol": w["weight"]} if w else {})),
-    }
+    forest = lambda **w: models.random_forest(n_estimators=100, max_depth=10, **w)
+    fitted = dict(zip([("Random Forest", b) for b in ("none", "class_weight", "smote")], search.fit_pool(spark, [
+        lambda: forest().fit(train), lambda: forest(weight="weight").fit(weighted), lambda: forest().fit(augmented)]), strict=True))
+    # the three boosted models grow together: synthetic rows count from step 1 on
+    by_class = {int(r["label"]): r["w"] for r in weighted.groupBy("label").agg(F.first("weight").alias("w")).collect()}
+    steps = augmented.withColumn("step", (F.col("id") < 0).cast("int"))
+    table = histtrees.Table(steps, key="id", step="step")
+    rows = {"none": histtrees.Rows(step=0), "class_weight": histtrees.Rows(step=0, class_weights=tuple(by_class[k] for k in sorted(by_class))),
+            "smote": histtrees.Rows(step=1)}
+    grown = histtrees.fit_boosted(table, [histtrees.Boosting(r, stages=100, rate=0.1, depth=5) for r in rows.values()])
+    fitted |= {("Gradient Boosting", b): ensemble.SoftmaxBoost().take(g, table.cuts) for b, g in zip(rows, grown, strict=True)}
     preds = None
-    for name, make in families.items():
-        fits = {"none": make().fit(train), "class_weight": make(weight="weight").fit(weighted), "smote": make().fit(augmented)}
-        for balancing, m in fits.items():
-            p = _decoded(m.transform(test), name).withColumn("balancing", F.lit(balancing))
-            preds = p if preds is None else preds.unionByName(p)
-    return metrics.results_table(preds, ["model", "balancing"])
+    for (name, balancing), m in fitted.items():
+        p = _decoded(m.transform(test), name).withColumn("balancing", F.lit(balancing))
+        preds = p if preds is None else preds.unionByName(p)
+    return metrics.results_table(materialize(preds), ["model", "balancing"])
 
 
 @query("cv_scores_tree", operators=["M13"])
@@ -214,16 +218,12 @@ def q_cv_scores_tree(spark, sf):
 @query("learning_curve_forest", operators=["M14"])
 def q_learning_curve_forest(spark, sf):
     """Ten sizes on five folds, for the forest and for boosted trees."""
-    from cohortlens.operators import ensemble
     train, _, *_ = prepared(spark, sf)
     folded = materialize(prep.fold_column(train, "label", "id", folds=5))
-    estimators = {"Random Forest": models.random_forest(n_estimators=100),
-                  "Gradient Boosting": ensemble.SoftmaxBoostClassifier(numTrees=100, learningRate=0.1, maxDepth=3)}
-    out = None
-    for name, est in estimators.items():
-        part = models.learning_curve(est, folded, [i / 10 for i in range(1, 11)], "id", folds=5).withColumn("model", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    sizes = [i / 10 for i in range(1, 11)]
+    forest = search.fits_curve(models.random_forest(n_estimators=100), folded, sizes)
+    boosted = search.boosting_curve(histtrees.Boosting(stages=100, rate=0.1, depth=3), folded, sizes)
+    return forest.withColumn("model", F.lit("Random Forest")).unionByName(boosted.withColumn("model", F.lit("Gradient Boosting")))
 
 
 @query("forest_importances", operators=["M15", "T10"])
