@@ -254,8 +254,10 @@ class Grown:
         return out
 
 
-def sums(bins: np.ndarray, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channels: Sequence[np.ndarray], nodes: Sequence[int], features: np.ndarray) -> np.ndarray:
-    """Whole-number sums (node, channel, bin) of the rows in these nodes."""
+def sums(bins: np.ndarray, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channels: Sequence[np.ndarray], nodes: Sequence[int], features: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+    """Whole-number sums (node, channel, bin) of the rows in these nodes; with
+    `mask` (node, feature) only those of the features that a node may split at
+    need to be whole."""
     slot = np.full(int(at.max(initial=0)) + 1, -1)
     known = [n for n in nodes if n < len(slot)]
     slot[known] = np.arange(len(nodes))[: len(known)]
@@ -279,23 +281,27 @@ def sums(bins: np.ndarray, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channel
         out[:, :, low] = node[:, :, None] - out[:, :, low + 1]
     for f in features[cuts.sizes[features] != 2]:
         a, n = cuts.at[f], cuts.sizes[f]
-        place = s * n + bins[f][rows]
+        mine = slice(None) if mask is None else mask[:, f][s]
+        place = s[mine] * n + bins[f][rows[mine]]
         for c, v in enumerate(values):
-            out[:, c, a : a + n] = np.bincount(place, weights=v, minlength=len(nodes) * n).reshape(len(nodes), n)
+            out[:, c, a : a + n] = np.bincount(place, weights=v[mine], minlength=len(nodes) * n).reshape(len(nodes), n)
     return out
 
 
-def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain) -> list[tuple]:
+def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain, mask: np.ndarray | None = None, whole_of: Sequence | None = None) -> list[tuple]:
     """For each node (its stats, the best split or None); `gain(left, right,
     whole)` gives float gains of channel sums (channel, ...), -inf where a
-    split is not allowed."""
+    split is not allowed. `mask` (node, feature) names the features of each
+    node, `whole_of` the nodes' own sums where they are known."""
     out = []
     places = np.flatnonzero(~cuts.last & np.isin(cuts.feature, features))
     start = cuts.at[cuts.feature[places]]
     own = slice(cuts.at[features[0]], cuts.at[features[0] + 1])
-    for one in np.array_split(found, -(-len(found) // 64)):
-        one = one.transpose(1, 0, 2)  # channel, node, bin
+    for a in range(0, len(found), 64):
+        one = found[a : a + 64].transpose(1, 0, 2)  # channel, node, bin
         whole = one[..., own].sum(-1)
+        if whole_of is not None:
+            whole = np.stack([w if w is not None else whole[:, i] for i, w in enumerate(whole_of[a : a + 64])], axis=1)
         run = np.concatenate((np.zeros((*whole.shape, 1), np.int64), np.cumsum(one, axis=-1)), axis=-1)
         left = run[..., places + 1] - run[..., start]
         right = whole[..., None] - left
@@ -303,6 +309,8 @@ def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain) -> li
             out += [(w, None) for w in whole.T.copy()]
             continue
         gains = gain(left, right, whole[..., None])
+        if mask is not None:
+            gains = np.where(mask[a : a + 64][:, cuts.feature[places]], gains, -np.inf)
         best = gains.argmax(-1)
         for i, j in enumerate(best.tolist()):
             split = None
@@ -536,8 +544,20 @@ class ClassTree:
     min_split: float = 2
     min_leaf: float = 1
     criterion: str = "gini"
+    draw: int | None = None  # rows count as often as a Poisson draw of this seed says
+    subset: int | None = None  # features that a node draws to split at
+    seed: int = 42
     tree: Tree = field(default_factory=Tree)
 
+    def mask(self, nodes: Sequence[int], features: int) -> np.ndarray | None:
+        """The features of each node: those with the smallest hashes."""
+        if self.subset is None or self.subset >= features:
+            return None
+        u = uniform(np.array(nodes, np.uint64)[:, None] * np.uint64(features) + np.arange(features, dtype=np.uint64)[None, :], self.seed)
+        out = np.zeros(u.shape, bool)
+        np.put_along_axis(out, np.argpartition(u, self.subset - 1, axis=1)[:, : self.subset], True, axis=1)
+        return out
+
     def impurity(self, parts: np.ndarray) -> np.ndarray:
         """Weight times impurity of class sums (class, ...)."""
         n = parts.sum(0)
@@ -557,18 +577,25 @@ class ClassTree:
 
     def channels(self, b: Block, classes: int) -> tuple[np.ndarray, list[np.ndarray]]:
         w = self.rows.weights(b)
+        if self.draw is not None:
+            w = w * np.searchsorted(POISSON, uniform(b.key, self.draw), side="right")
         weight = np.rint(w * SCALE)
         return np.flatnonzero(w > 0), [*(np.where(b.label == k, weight, 0.0) for k in range(classes)), weight]
 
     def close(self) -> None:
+        """Nodes that can't be split any more are not open."""
         if self.depth is not None and self.tree.open and self.tree.depth[self.tree.open[0]] >= self.depth:
             self.tree.open = []
+        stats = self.tree.stats
+        self.tree.open = [n for n in self.tree.open if stats[n] is None or ((stats[n][:-1] > 0).sum() > 1 and stats[n][-1] >= self.min_split * SCALE)]
 
     def predicted(self, b: Block, depth: int | None = None) -> np.ndarray:
         best = np.array([int(s[:-1].argmax()) for s in self.tree.stats])
         return best[stepped(self.tree, b.bins, depth)]
 
 
+#: shares of the Poisson draws 0, 1, 2, ...
+POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(16)])
 #: open nodes of a tree whose sums are taken at once
 NODES_AT_ONCE = 64
 
@@ -580,7 +607,9 @@ def _tree_here(model: ClassTree, b: Block, cuts: Cuts, classes: int) -> ClassTre
     while model.tree.open:
         found = []
         for a in range(0, len(model.tree.open), NODES_AT_ONCE):
-            found += best_splits(sums(b.bins, cuts, at, rows, channels, model.tree.open[a : a + NODES_AT_ONCE], features), cuts, features, model.gain)
+            nodes = model.tree.open[a : a + NODES_AT_ONCE]
+            mask = model.mask(nodes, len(features))
+            found += best_splits(sums(b.bins, cuts, at, rows, channels, nodes, features, mask), cuts, features, model.gain, mask, [model.tree.stats[n] for n in nodes])
         model.tree.extend(found)
         at = model.tree.advance(b.bins, at)
         model.close()
@@ -616,11 +645,13 @@ def fit_trees(table: Table, models: list[ClassTree]) -> list[ClassTree]:
                     out = {}
                     for i, a, m in sent:
                         rows, channels = m.channels(b, classes)
-                        out[i, a] = sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], features)
+                        out[i, a] = sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], features, m.mask(m.tree.open[a : a + most], len(features)))
                     yield out
 
             whole = merged(table.rdd.mapPartitions(level))
-            found |= {key: best_splits(s, cuts, features, models[key[0]].gain) for key, s in whole.items()}
+            for (i, a), one in whole.items():
+                nodes = models[i].tree.open[a : a + most]
+                found[i, a] = best_splits(one, cuts, features, models[i].gain, models[i].mask(nodes, len(features)), [models[i].tree.stats[n] for n in nodes])
             wave, load = [], 0
         for i, m in enumerate(models):
             if m.tree.open:
@@ -629,6 +660,75 @@ def fit_trees(table: Table, models: list[ClassTree]) -> list[ClassTree]:
     return models
 
 
+@dataclass
+class Forest:
+    """Trees on Poisson samples of the rows, each node with a draw of
+    `subset` features (None: all; "sqrt" and "log2" of their number); the
+    shares of the leaves are averaged."""
+
+    rows: Rows = field(default_factory=Rows)
+    count: int = 100
+    depth: int | None = None
+    min_split: float = 2
+    min_leaf: float = 1
+    criterion: str = "gini"
+    subset: str | int | None = "sqrt"
+    seed: int = 42
+    trees: list[Grown] = field(default_factory=list)  # with a row of shares for each node
+
+    def members(self, features: int) -> list[ClassTree]:
+        size = {"sqrt": max(1, int(math.sqrt(features))), "log2": max(1, int(math.log2(features)))}.get(self.subset, self.subset)
+        return [ClassTree(self.rows, self.depth, self.min_split, self.min_leaf, self.criterion, self.seed * 100_003 + i, size, self.seed * 7919 + i) for i in range(self.count)]
+
+    @staticmethod
+    def shares(member: ClassTree) -> Grown:
+        out = member.tree.grown(lambda stats: 0.0)
+        stats = np.array([s[:-1] for s in member.tree.stats], np.float64)
+        out.value = stats / np.maximum(stats.sum(1, keepdims=True), 1e-300)
+        return out
+
+    def scores(self, b: Block, classes: int) -> np.ndarray:
+        out = np.zeros((len(b.label), classes))
+        for t in self.trees:
+            out += t.value[stepped(t, b.bins)]
+        return out
+
+
+def fit_forests(table: Table, forests: list[Forest], judged: bool = False):
+    """Grows all forests; with `judged` only the count tables of their
+    predictions (see `confusions`) are returned, not the trees."""
+    classes, cuts, features = table.classes, table.cuts, len(table.cuts.points)
+    if table.blocks == 1:
+        # a task for each part of a forest's trees would split its votes: one for each forest
+        groups = min(len(forests), 4 * table.cores)
+
+        def here(gb):
+            for i in range(gb[0], len(forests), groups):
+                f = replace(forests[i], trees=[])
+                for m in f.members(features):
+                    f.trees.append(f.shares(_tree_here(m, gb[1], cuts, classes)))
+                yield i, _counts(f, gb[1], classes) if judged else f
+
+        done = dict(table.dealt(groups).flatMap(here).collect())
+        return {(i, None, part): c for i, one in done.items() for part, c in one.items()} if judged else [done[i] for i in range(len(forests))]
+    out: dict = {}
+    for i, f in enumerate(forests):
+        f.trees = [f.shares(m) for m in fit_trees(table, f.members(features))]
+        if judged:
+            own = replace(f)
+            out |= {(i, None, part): c for part, c in merged(table.rdd.map(lambda b, own=own: _counts(own, b, classes))).items()}
+            f.trees = []
+    return out if judged else forests
+
+
+def _counts(model: Forest, b: Block, classes: int) -> dict:
+    predicted = model.scores(b, classes).argmax(1)
+    out = {}
+    for part, mask in (("train", model.rows.weights(b) > 0), ("valid", model.rows.held_out(b))):
+        out[part] = np.bincount(b.label[mask].astype(np.int64) * classes + predicted[mask], minlength=classes * classes).reshape(classes, classes)
+    return out
+
+
 # ---------------------------------------------------------------- scores of many models
 def confusions(table: Table, models: list, ways: Sequence) -> dict:
     """Counts (label, predicted) of each (model number, way, part), part being

@@ -221,8 +221,8 @@ def q_learning_curve_forest(spark, sf):
     train, _, *_ = prepared(spark, sf)
     folded = materialize(prep.fold_column(train, "label", "id", folds=5))
     sizes = [i / 10 for i in range(1, 11)]
-    forest = search.fits_curve(models.random_forest(n_estimators=100), folded, sizes)
-    boosted = search.boosting_curve(histtrees.Boosting(stages=100, rate=0.1, depth=3), folded, sizes)
+    forest = search.grown_curve(histtrees.Forest(count=100), folded, sizes)
+    boosted = search.grown_curve(histtrees.Boosting(stages=100, rate=0.1, depth=3), folded, sizes)
     return forest.withColumn("model", F.lit("Random Forest")).unionByName(boosted.withColumn("model", F.lit("Gradient Boosting")))
 
 
