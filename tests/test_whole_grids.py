@@ -1,47 +1,23 @@
 """The model queries try the whole grids on five folds and fill all rows."""
 
-import pytest
-
-from cohortlens.operators import grids, models
+from cohortlens.operators import grids, models, search
 from cohortlens.plans import q_models
-
-
-class Stop(Exception):
-    pass
-
-
-@pytest.fixture
-def asked(spark, monkeypatch):
-    folds, searches = [], []
-    frame = spark.range(10)
-    monkeypatch.setattr(q_models, "prepared", lambda spark, sf, engineered=False: (frame, frame, None, [], []))
-    monkeypatch.setattr(q_models, "materialize", lambda df: df)
-    monkeypatch.setattr(q_models.prep, "fold_column", lambda df, label, key, folds: (asked_folds(folds), df)[1])
-
-    def asked_folds(n):
-        folds.append(n)
-
-    monkeypatch.setattr(models, "grid_search", lambda est, maps, df, **k: (searches.append(len(maps)), (None, df))[1])
-    return folds, searches
-
-
-def test_grid_queries_take_the_whole_grids(spark, asked):
-    folds, searches = asked
-    q_models.q_grid_search_tree(spark, "")
-    q_models.q_grid_search_logistic(spark, "")
-    # min_samples_split and the second solver have no counterpart in Spark
-    assert (folds, searches) == ([5, 5], [5 * 3 * 2, 4])
-
-
-def test_engineered_comparison_has_all_models(spark, asked, monkeypatch):
-    folds, _ = asked
-    frame, seen = spark.range(10), []
-    monkeypatch.setattr(q_models, "_selected", lambda a, b: [frame, frame])
-    monkeypatch.setattr(models, "compare_models", lambda a, b, c, classes, variant: (seen.extend((m, variant, len(g)) for m, (_, g) in c.items()), frame)[1])
-    monkeypatch.setattr(frame.__class__, "unionByName", lambda self, other: self)
-    q_models.q_engineered_comparison(spark, "")
-    assert seen == [(m, v, n) for v in ("baseline", "FE") for m, n in (("Decision Tree", 30), ("Logistic Regression", 4), ("KNN", len(grids.candidates(grids.KNN))))]
-    assert folds == [5, 5]
+from conftest import SF_SMALL
+
+
+def test_baseline_results_from_the_whole_grids(spark, monkeypatch):
+    seen = {}
+    for name in ("search_trees", "search_neighbours", "search_fits"):
+        def noted(*args, _one=getattr(search, name), _name=name, **more):
+            seen[_name] = _one(*args, **more)
+            return seen[_name]
+        monkeypatch.setattr(search, name, noted)
+    out = q_models.q_baseline_results(spark, SF_SMALL).collect()
+    assert {r["model"] for r in out} == {"Decision Tree", "Logistic Regression", "KNN"}
+    assert all(0 < r[c] <= 1 for r in out for c in ("cv_f1", "test_accuracy", "test_f1"))
+    # the second solver of logistic regression minimises the same loss
+    assert {n: f.scores.shape for n, f in seen.items()} == {"search_trees": (90, 5), "search_neighbours": (20, 5), "search_fits": (4, 5)}
+    assert len(grids.candidates(grids.DECISION_TREE)) == 90
 
 
 def test_search_on_five_folds(spark):
