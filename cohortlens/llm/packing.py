@@ -19,13 +19,13 @@ doc_id, piece and content.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +33,22 @@ from cohortlens.llm.common import blobs, held, kept, slices
 
 END = b"\0\0\0\0"
 GROUPS = 64
-#: words whose ids a Python worker keeps
-CACHE = 300_000
-#: str.split() also splits at these, which are no white space to the tokenizer
-SEPARATORS = re.compile("[\x1c-\x1f]")
-#: the tokenizer's words in lower-case text, where it has Latin letters only
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-BEYOND = re.compile("[^\x21-\x84\x86-\x9f\xa1-\u024f]|<\\|")
+#: words, and characters of words, whose ids a Python worker keeps
+CACHE = 400_000
+CACHE_CHARS = 8_000_000
+#: bytes that don't occur in texts of Latin letters (to U+023F), digits, signs and white space that the tokenizer and Python see alike
+OTHER = bytes([*range(9), *range(14, 32), *range(0xC9, 256)])
+#: letters whose lower case lies far out of this range
+LEAVING = ("\u0130", "\u023a", "\u023e")
+#: the tokenizer's words in such a text in lower case (superscripts and fractions are numbers, not letters)
+WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
+#: white space of the tokenizer, over which it never joins
 PARTS = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: fixed values: the normalizer and pre-tokenizer of a tokenizer file that WORDS stands for
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
 def tokenizer(path: str):
@@ -49,64 +57,71 @@ def tokenizer(path: str):
 
 
 def load(path: str):
-    """(tokenizer, how Latin characters are spelled for its model, ids by
-    white-space-separated part, ids by word), the last two filled as texts
-    come."""
+    """(tokenizer, how Latin characters are spelled for its model or None if
+    the file's words are not those of WORDS, ids by word)."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
 
+    model = Tokenizer.from_file(path)
     spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    latin = {i: spell.pre_tokenize_str(chr(i))[0][0] for i in range(0x250) if i != 0x20}
-    return Tokenizer.from_file(path), latin, {}, {}
-
-
-def learn(parts: list[str], path: str) -> None:
-    """Looks up the ids of new parts. Parts of Latin letters are cut into the
-    tokenizer's words here, and new words go to its model directly (which is
-    several times faster); any other part is encoded by itself."""
-    model, latin, known, by_word = tokenizer(path)
-    spelled = model.model.tokenize
-    whole: list[str] = []
-    cut: list[tuple[str, list[str]]] = []
-    new_words: set[str] = set()
-    for part in parts:
-        low = part.lower()
-        if "<|" in part if part.isascii() else BEYOND.search(part) or BEYOND.search(low):
-            known[part] = np.array(model.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-            continue
-        if low.isalpha():
-            whole.append(part)
-            new_words.add(low)
-        else:
-            words = WORDS.findall(low)
-            cut.append((part, words))
-            new_words.update(words)
-    for w in new_words.difference(by_word):
-        by_word[w] = array("I", [t.id for t in spelled(w if w.isascii() and w.isprintable() else w.translate(latin))]).tobytes()
-    for part in whole:
-        known[part] = by_word[part.lower()]
-    for part, words in cut:
-        known[part] = b"".join([by_word[w] for w in words])
+    latin = {i: spell.pre_tokenize_str(chr(i))[0][0] for i in range(0x2B0) if i != 0x20}
+    return model, latin if known_words(path) else None, {}
+
+
+def known_words(path: str) -> bool:
+    """Whether the file's normalizer and pre-tokenizer are those that WORDS
+    stands for; any other tokenizer encodes whole texts by itself."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    return parts.get("normalizer") == NORMALIZER and parts.get("pre_tokenizer") == PRE_TOKENIZER and parts["model"].get("type") == "BPE"
+
+
+def simple(blob: bytes, text: str) -> bool:
+    return len(blob.translate(None, OTHER)) == len(blob) and b"<|" not in blob and (text.isascii() or not any(x in text for x in LEAVING))
+
+
+def words_of(blob: bytes) -> list[str]:
+    """The tokenizer's words; parts between white space that hold other signs
+    than Latin ones stay whole, after a null sign."""
+    text = blob.decode("utf-8", "replace")
+    if simple(blob, text):
+        return WORDS.findall(text.lower())
+    out: list[str] = []
+    for part in PARTS.findall(text):
+        out += WORDS.findall(part.lower()) if simple(part.encode(), part) else ["\0" + part]
+    return out
 
 
 def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit bytes, end id included.
-    The tokenizer splits at white space before anything else and never joins
-    over it, so ids are looked up by white-space-separated part."""
-    _, _, known, by_word = tokenizer(path)
-    split = [PARTS.findall(x) if SEPARATORS.search(x) else x.split() for x in (y.decode("utf-8", "replace") for y in texts)]
-    found = [list(map(known.get, words)) for words in split]
-    new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
-    if new:
-        if len(known) + len(new) > CACHE or len(by_word) > CACHE:
-            known.clear()
-            by_word.clear()
-            new = set().union(*split)
-        learn(list(new), path)
-        found = [list(map(known.get, words)) if None in ids else ids for words, ids in zip(split, found, strict=True)]
-    return [b"".join(ids) + END for ids in found]
+    Words are cut here, and each new word goes to the tokenizer's model
+    directly (which is several times faster); parts with other signs than
+    Latin ones, and all texts of other kinds of tokenizers, are encoded by the
+    tokenizer as a whole."""
+    model, latin, by_word = tokenizer(path)
+    whole = lambda x: np.array(model.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+    if latin is None:
+        return [whole(x.decode("utf-8", "replace")) + END for x in texts]
+    spelled, out = model.model.tokenize, []
+    for blob in texts:
+        words = words_of(blob)
+        ids = list(map(by_word.get, words))
+        if None in ids:
+            new = {w for w, i in zip(words, ids, strict=True) if i is None}
+            if len(by_word) + len(new) > CACHE or by_word.get("", 0) + sum(map(len, new)) > CACHE_CHARS:
+                by_word.clear()
+                new = set(words)
+            by_word[""] = by_word.get("", 0) + sum(map(len, new))  # the characters kept; no word is empty
+            for w in new:
+                if w[0] == "\0":
+                    by_word[w] = whole(w[1:])
+                else:
+                    by_word[w] = array("I", [t.id for t in spelled(w if w.isascii() and w.isprintable() else w.translate(latin))]).tobytes()
+            ids = map(by_word.__getitem__, words)
+        out.append(b"".join(ids) + END)
+    return out
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", size: int = 2048) -> DataFrame:
