@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import threading
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +19,21 @@ from cohortlens.session import scratch_path, ship_package
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: rows of texts that go to a Python worker at once, where the session doesn't say otherwise
+BATCH_ROWS = 2000
+
+
+def steady(spark: SparkSession) -> None:
+    """Makes a session ready for these operators: their code is shipped, and
+    Spark's batches of 10,000 rows, which the executor and its workers would
+    hold at once, become smaller (texts are long rows)."""
     ship_package(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    steady(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,20 +52,48 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 
 _HELD: dict = {}
+_USED = [0.0]
+_WATCH: list[threading.Thread] = []
+#: seconds after which an idle Python worker gives back what it holds
+IDLE = 2.0
 
 
 def held(key, make):
     """What a Python worker keeps between batches and tasks: one thing at a
-    time, so that the models of several stages don't add up in its memory."""
+    time, so that the models of several stages don't add up in its memory, and
+    nothing once it has been idle for `IDLE` seconds."""
     if key not in _HELD:
         if _HELD:
             _HELD.clear()
-            with contextlib.suppress(AttributeError, OSError):  # glibc gives freed memory back only when asked
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
         _HELD[key] = make()
+    used()
     return _HELD[key]
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: Arrow and glibc keep it else."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def used() -> None:
+    """Marks this worker as busy. A thread that ends by itself waits until it
+    is idle (the worker then waits for its next task) and empties it."""
+    _USED[0] = time.monotonic()
+    if not _WATCH or not _WATCH[0].is_alive():
+        _WATCH[:] = [threading.Thread(target=_watch, daemon=True)]
+        _WATCH[0].start()
+
+
+def _watch() -> None:
+    while time.monotonic() - _USED[0] < IDLE:
+        time.sleep(IDLE / 4)
+    _HELD.clear()
+    give_back()
+
+
 def others(df: DataFrame, new: list[str]) -> list[str]:
     """The columns of df that new ones of these names don't replace."""
     taken = {c.lower() for c in new}
@@ -60,6 +103,7 @@ def others(df: DataFrame, new: list[str]) -> list[str]:
 def blobs(arr: pa.Array, rows: int = 256) -> Iterator[bytes | None]:
     """The UTF-8 bytes of a string array, a few rows at a time (so that a
     batch of long texts is never held twice)."""
+    used()
     for i in range(0, len(arr), rows):
         yield from arr.slice(i, rows).cast(pa.binary()).to_pylist()
 

@@ -8,8 +8,8 @@ sample, so that a small sample has no advantage, and the language whose phrases
 cost the fewest bits wins. All texts of a batch step through the
 automata together, one byte a step, as table lookups.
 
-Bounds (parameters): `rows` labelled rows of each language, `clip` code points
-of each, `size` bytes of normalised sample in all for each language. Only the
+Bounds (parameters): `labels` languages, `rows` labelled rows of each, `clip`
+code points of each row, `size` bytes of normalised sample in all for each language. Only the
 sample is bounded; every text is parsed whole, in pieces of `PIECE` bytes at
 which the parse starts anew.
 
@@ -39,19 +39,20 @@ def normalised(text: bytes) -> bytes:
     return " ".join(LETTERS.findall(text.decode("utf-8", "replace").lower())).encode()
 
 
-def sample(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = 64, clip: int = 4000, size: int = 32768) -> tuple[tuple[str, bytes], ...]:
-    """(language, sample text) for each language of the labelled rows: those
-    with the smallest hashes of their id."""
-    good = labelled.select(F.xxhash64(doc_id).alias("h"), F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("t").rlike(r"\p{L}") & F.col("l").isNotNull())
-    counts = good.groupBy("l").agg(F.count(F.lit(1)).alias("n"))  # a row for each language
-    share = F.least(F.lit(1.0), F.lit(8.0 * rows) / F.col("n"))
-    near = good.join(F.broadcast(counts), "l").where(F.col("h").cast("double") <= F.lit(-(2.0**63)) + share * F.lit(2.0**64))
-    first = Window.partitionBy("l").orderBy("h", "t")
-    chosen = near.select("l", "h", F.substring("t", 1, clip).alias("t")).withColumn("r", F.row_number().over(first)).where(F.col("r") <= rows)
+def sample(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = 64, clip: int = 4000, size: int = 32768, labels: int = 256) -> tuple[tuple[str, bytes], ...]:
+    """(language, sample text) for each language of the labelled rows: the
+    first ones by the hash of id and text, then by text (so rows that repeat
+    an id are told apart; equal rows are one text). Of more than `labels`
+    languages the commonest are learned."""
+    good = labelled.select(F.xxhash64(doc_id, text).alias("h"), F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("t").rlike(r"\p{L}") & F.col("l").isNotNull())
+    known = [r["l"] for r in good.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(labels).collect()]
+    first = Window.partitionBy("l").orderBy("h", "t")  # each partition passes on `rows` rows of a language at most
+    clipped = good.where(F.col("l").isin(known)).select("l", "h", F.substring("t", 1, clip).alias("t"))
+    chosen = clipped.withColumn("r", F.row_number().over(first)).where(F.col("r") <= rows)
     parts: dict[str, list[bytes]] = {}
-    for row in chosen.orderBy("l", "r").collect():  # rows x clip code points for each language
+    for row in chosen.orderBy("l", "r").collect():  # rows x clip code points for each of `labels` languages
         parts.setdefault(row["l"], []).append(normalised(row["t"].encode()))
-    return tuple((name, b" ".join(x for x in found if x)[:size]) for name, found in sorted(parts.items()))
+    return tuple((name, b" ".join(x for x in dict.fromkeys(found) if x)[:size]) for name, found in sorted(parts.items()))
 
 
 def byte_classes(texts: list[bytes]) -> bytes:

@@ -13,7 +13,8 @@ shard once, and the shards' best are merged by Spark.
 Vectors that are null, empty, or hold null or non-finite components take no part; a
 query meets only candidates of its own length. Ties go to the smaller id; rows
 that repeat an id are candidates of their own, but never for their own id.
-Scores are 64-bit integers.
+Scores are 64-bit integers; components so large that a score may not fit are
+an error. Query rows that repeat an id share one ranking.
 """
 
 from __future__ import annotations
@@ -81,6 +82,13 @@ class Lists:
         return out
 
 
+def fits(queries: np.ndarray, vectors: np.ndarray) -> None:
+    """Raises where a score may not fit 64 bits."""
+    most = [float(np.abs(x.astype(np.float64)).max(initial=0.0)) for x in (queries, vectors)]
+    if most[0] * most[1] * vectors.shape[1] >= 2.0**62:
+        raise ValueError(f"components of {most[0]:.0f} and {most[1]:.0f} are too large for 64-bit scores")
+
+
 def whole_numbers(vectors: Column, scale: float = 256.0) -> Column:
     """floor(scale * x) of each component; null if any is missing or not finite."""
     good = vectors.isNotNull() & ~F.exists(vectors, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -135,6 +143,7 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddin
                 if last is None or last[0] != ids or last[1] != data:
                     last = ids, data, Lists(np.frombuffer(ids, np.int64), matrix(data))
                 asked = np.frombuffer(qids, np.int64)
+                fits(matrix(qdata), last[2].vectors)
                 found = [(q, *x) for q, x in zip(asked, last[2].top(asked, matrix(qdata), k), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.full(len(i), q) for q, i, _ in found])), pa.array(np.concatenate([i for _, i, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))], names=["query_id", "vec_id", "score"])
 

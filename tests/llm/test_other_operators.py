@@ -195,3 +195,10 @@ def test_query_matches_duckdb(spark, name):
     cols = sorted(df.columns)
     twin = duckdb_connection("/root/testdata/sf0.001").sql(f"SELECT {', '.join(cols)} FROM ({queries.SQL[name]})").fetchall()
     assert sorted(map(str, (tuple(r[c] for c in cols) for r in df.collect()))) == sorted(map(str, twin))
+
+
+@pytest.mark.parametrize("big", [1e8, 1e17])
+def test_top_k_refuses_scores_beyond_64_bits(spark, big):
+    df = spark.createDataFrame([(i, [big * (i + 1)] * 16) for i in range(3)], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large for 64-bit scores"):
+        nra_topk.top_k(df, F.col("vec_id") % 50 == 0).collect()

@@ -2,6 +2,7 @@
 empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import random
 import sys
 from pathlib import Path
 
@@ -368,3 +369,28 @@ def test_empty_tables(nothing, spark):
 def test_no_benchmark(spark, docs):
     out = winnowing.decontaminate(docs, spark.createDataFrame([], "item_id bigint, text string"))
     assert out.count() == len(ROWS) and out.where("n_hit > 0").count() == 0
+
+
+def test_languages_are_learned_from_repeated_and_null_ids(spark):
+    from cohortlens.llm import cross_parse
+    for same in [None, 1, 2, 3, 5, 8, 13]:
+        rows = [(same, " ".join([bag[(i + j) % len(bag)] for j in range(8)]), lang) for i in range(500) for bag, lang in ((small.EN, "en"), (small.FR, "fr"))]
+        got = dict(cross_parse.sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")))
+        assert set(got) == {"en", "fr"} and all(got.values()), same
+    labels = [(i, "some text", f"l{i % 9}" if i % 3 else "most") for i in range(90)]
+    assert [x for x, _ in cross_parse.sample(spark.createDataFrame(labels, "doc_id int, text string, lang string"), labels=1)] == ["most"]
+
+
+def test_token_ids_of_other_tokenizers_and_signs():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from cohortlens.llm import packing
+    r = random.Random(4)
+    signs = [chr(c) for c in [*range(0x260), 0x300, 0x301, 0x2014, 0x2019, 0x4E2D, 0x1F600, 0x3000, 0x2028, 0x1E9E, 0x212A, 0x3A3]]
+    texts = ["<|endoftext|> it's", "DON'T 'S 12²½", "", "a" * 3000] + ["".join(r.choice(signs if r.random() < 0.4 else list("abcXYZ '12 \n\t.,-_<|>")) for _ in range(20)) for _ in range(2000)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        model = Tokenizer.from_file(path)
+        got = packing.token_ids([t.encode() for t in texts], path)
+        assert got == [np.array([*model.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for t in texts]
