@@ -113,6 +113,8 @@ def build(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.n
     seen[language, class] tells whether the sample holds the byte."""
     classes = byte_classes([text for _, text in model])
     tables, starts, base = [], [], 0
+    # an automaton has at most two states a byte; steps are made in place, so that building takes little more than they do
+    kind = np.int32 if sum(2 * len(text) + 2 for _, text in model) * (max(classes) + 2) < 2**30 else np.int64
     columns = np.zeros((len(model), max(classes) + 1), np.int32)
     seen = np.zeros(columns.shape, bool)
     for lang, (_, text) in enumerate(model):
@@ -122,14 +124,18 @@ def build(model: tuple[tuple[str, bytes], ...]) -> tuple[bytes, np.ndarray, np.n
         columns[lang] = len(own)
         columns[lang, own] = np.arange(len(own))
         seen[lang, own] = True
-        moves = suffix_automaton(bytes(columns[lang].astype(np.uint8)[np.frombuffer(data, np.uint8)]), width).astype(np.int64)
-        fresh = np.where(moves[0] >= 0, moves[0], 0)
-        tables.append(np.where(moves >= 0, (moves * width + base) * 2, (fresh * width + base)[None, :] * 2 + 1).ravel())
+        moves = suffix_automaton(bytes(columns[lang].astype(np.uint8)[np.frombuffer(data, np.uint8)]), width).astype(kind, copy=False)
+        none = moves < 0
+        moves *= width
+        moves += base
+        moves *= 2
+        fresh = np.where(none[0], base * 2, moves[0]) + 1
+        np.copyto(moves, fresh[None, :].astype(kind), where=none)
+        tables.append(moves.ravel())
         starts.append(base)
         base += moves.size
-    kind = np.int32 if base < 2**30 else np.int64
     bits = np.array([np.log2(len(text) + 2) for _, text in model])
-    return classes, np.concatenate([t.astype(kind) for t in tables]), np.array(starts, kind), bits, columns, seen
+    return classes, np.concatenate(tables), np.array(starts, kind), bits, columns, seen
 
 
 def parsed(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> tuple[np.ndarray, np.ndarray]:
