@@ -59,5 +59,6 @@ def all_queries() -> dict[str, Query]:
     # importing the modules fills the registry
     from cohortlens.plans import (  # noqa: F401
         q_profile, q_prep, q_metrics, q_models, q_neighbors, q_ensemble, q_explain, q_score, q_sources, q_missing,
+        q_fixed_models,
     )
     return REGISTRY
