@@ -1,4 +1,4 @@
-"""Which `display` and `visibility` a page's own style sheets give an element.
+"""Which `display`, `visibility` and `white-space` a page's own style sheets give an element.
 
 Every declaration of the two properties is kept with its importance, layer,
 specificity and order, and the winning one decides. Rules in @media blocks hold
@@ -23,9 +23,10 @@ WIDTH, HEIGHT = 1280, 800
 NESTED = 16
 
 TOKEN = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:\\.|[^"\\\n])*"?|'(?:\\.|[^'\\\n])*'?|\([^(){}]*\)|\\.|[{};]|[^"'{};\\/(]+|.""", re.S)
-ASKED = re.compile(r"display|visibility", re.I)
-DECLARED = re.compile(r"\s*(display|visibility)\s*:\s*(.*?)\s*(!\s*important)?\s*\Z", re.I | re.S)
+ASKED = re.compile(r"display|visibility|white-space", re.I)
+DECLARED = re.compile(r"\s*(display|visibility|white-space)\s*:\s*(.*?)\s*(!\s*important)?\s*\Z", re.I | re.S)
 DISPLAYS = re.compile(r"(none|contents|block|inline|flow|flow-root|list-item|run-in|(inline-)?(block|flex|grid|table)|table-[a-z-]+|ruby[a-z-]*|-webkit-(inline-)?(box|flex)|math|inherit|initial|unset|revert|revert-layer)(\s+[a-z-]+)*\Z|.*var\(", re.I | re.S)
+SPACES = frozenset("normal nowrap pre pre-wrap pre-line break-spaces inherit initial unset revert revert-layer".split())
 VISIBILITIES = frozenset("visible hidden collapse inherit initial unset revert revert-layer".split())
 PART = re.compile(r"""\s*([>+~])\s*|(\s+)|([*&])|([.#]?)((?:[\w-]|[^\x00-\x7f]|\\.)+)|\[\s*([\w-]+)\s*(?:([~|^$*]?=)\s*("[^"]*"|'[^']*'|[^\]\s]+)\s*([iIsS])?\s*)?\]|(::?)([\w-]+)(\()?""")
 FEATURE = re.compile(r"\(\s*(?:(min-|max-)?([a-z-]+)\s*(?::\s*([^()]*?))?|([^()<>=]*?)\s*([<>]=?)\s*([^()<>=]*?)\s*(?:([<>]=?)\s*([^()<>=]*?))?)\s*\)")
@@ -332,7 +333,7 @@ def declaration(text: str) -> tuple[str, str, bool] | None:
     if not m:
         return None
     name, value = m[1].lower(), m[2].lower()
-    good = DISPLAYS.match(value) if name == "display" else value in VISIBILITIES or "var(" in value
+    good = DISPLAYS.match(value) if name == "display" else value in (SPACES if name == "white-space" else VISIBILITIES) or "var(" in value
     return (name, value, bool(m[3])) if good else None
 
 

@@ -6,7 +6,10 @@ invisible elements, `hidden`, and what the style attribute or the page's own
 style sheets hide on a screen (see `css_cascade`) are left out, closed `details`
 show their summary, paragraphs and headings stand apart by an empty line,
 list boxes show all options and formulas their text, lists get markers and indents, table cells are aligned in columns, and
-preformatted text keeps its white space. No text is cut: a cell or an indent
+preformatted text keeps its white space. The page's own `display` and
+`white-space` rules go before the elements' usual ones: a span shown as a block
+has its own lines, a list item shown inline has no marker, items of a flex or
+grid box and form fields stand apart by a space. No text is cut: a cell or an indent
 beyond `WIDE` or `DEEP` only stops to widen the layout.
 
 Null and empty pages give an empty text. No recursion follows the nesting of
@@ -49,15 +52,18 @@ QUOTE_OR_END = re.compile(r"[>\"']")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 SPACE = re.compile(r"[ \t\n\f\r]+")
+BLANKS = re.compile(r"[ \t\f\r]+")
+FIELDS = frozenset("input button select textarea".split())
 
 
 class Node:
-    __slots__ = ("at", "attributes", "children", "formula", "kin", "name", "parent")
+    __slots__ = ("at", "attributes", "children", "formula", "kin", "name", "parent", "shape", "white")
 
     def __init__(self, name: str, attributes: dict[str, str]):
         self.name, self.attributes, self.children = name, attributes, []
         self.parent = self.kin = None
         self.formula = False  # within <math>
+        self.shape = self.white = ""  # what the page's rules make of it, set by `shown`
 
 
 def scan(page: str) -> Iterator[tuple[str, str, str]]:
@@ -190,6 +196,38 @@ def style_sheet(root: Node) -> Sheet:
     return sheet
 
 
+def shape(display: str) -> str:
+    """The kind of box that a `display` value asks for; "" is the element's usual one."""
+    words = display.split()
+    if not words or words[0] in ("inherit", "revert", "revert-layer") or "var(" in display:
+        return ""
+    if "list-item" in words:
+        return "list"
+    if words[0] == "table-cell":
+        return "cell"
+    if words[0].startswith(("inline", "ruby")) or words[0] in ("contents", "initial", "unset", "math", "-webkit-inline-box", "-webkit-inline-flex"):
+        return "inline"
+    return "flex" if "flex" in words or "grid" in words or "-webkit-box" in words or "-webkit-flex" in words else "block"
+
+
+def box(node: Node) -> str:
+    """How it stands to its neighbours: "apart" (empty lines), "block" (own lines) or "inline"."""
+    if node.shape in ("inline", "cell"):
+        return "inline"
+    return "apart" if node.name in APART else "block" if node.shape or node.name in BLOCKS else "inline"
+
+
+def keeps(node: Node, keep: bool | str) -> bool | str:
+    """Whether its white space is kept ("lines": only line ends are)."""
+    if node.white in ("pre", "pre-wrap", "break-spaces"):
+        return True
+    if node.white in ("normal", "nowrap", "initial"):
+        return False
+    if node.white == "pre-line":
+        return "lines"
+    return True if node.white not in ("inherit", "unset") and node.name in ("pre", "textarea", "xmp") else keep
+
+
 def shown(node: Node, rules: Sheet, visible: bool) -> bool | None:
     """None: no box at all; else whether its own text can be seen."""
     a = node.attributes
@@ -197,8 +235,9 @@ def shown(node: Node, rules: Sheet, visible: bool) -> bool | None:
         return None
     won = rules.won(node) if rules.rules or "style" in a else {}
     display = won.get("display", "revert")
-    if display == "none":
+    if display == "none" or display.startswith("table-column"):
         return None
+    node.shape, node.white = shape(display), won.get("white-space", "")
     # a browser's own rules give way to any of the page's
     if display.startswith("revert") and (("hidden" in a and a["hidden"] != "until-found") or (node.name == "dialog" and "open" not in a)):
         return None
@@ -251,6 +290,9 @@ class Out:
 
     def kept(self, text: str) -> None:
         first, *others = text.split("\n")
+        if first and self.space:
+            self.line.append(" ")
+        self.space = False
         self.line.append(first)
         for x in others:
             if "".join(self.line).strip():
@@ -281,30 +323,35 @@ def marker(parent: Node, item: Node, count: dict[int, int]) -> str:
     return f"{now}. "
 
 
-def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool = False) -> Generator[tuple, None, None]:
+def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool | str = False) -> Generator[tuple, None, None]:
     """Writes the children of `root`; yields (walk of a cell) to be run first."""
     count: dict[int, int] = {}
     stack: list[tuple] = [("in", c, root, visible, keep) for c in reversed(root.children)]
     while stack:
         step, node, parent, visible, keep = stack.pop()
         if step == "out":
-            if node.name == "li":
+            how = box(node)
+            if node.name == "li" and node.shape in ("", "list"):
                 out.end_line()
                 out.indents.pop()
                 out.marker = ""
-            elif node.name in ("blockquote", "dd"):
+            elif node.name in ("blockquote", "dd") and how != "inline":
                 out.end_line()
                 out.indents.pop()
-            if node.name in APART:
+            if how == "apart":
                 if node.name in ("ul", "ol") and parent.name == "li":
                     out.end_line()
                 else:
                     out.apart()
-            elif node.name in BLOCKS:
+            elif how == "block":
                 out.end_line()
+            elif node.shape == "cell" or parent.shape == "flex" or node.name in FIELDS:
+                out.space = bool(out.line)
             continue
         if isinstance(node, str):
             if visible:
+                if keep == "lines":
+                    node = "\n".join(BLANKS.sub(" ", x).strip(" ") if at else BLANKS.sub(" ", x) for at, x in enumerate(node.split("\n")))
                 (out.kept if keep else out.flow)(node)
             continue
         seen = shown(node, rules, visible)
@@ -317,9 +364,12 @@ def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool =
             elif out.lines:
                 out.blank = True
             continue
+        if node.shape == "cell" or parent.shape == "flex" or name in FIELDS:
+            out.space = bool(out.line)
         if name == "input":
             if seen and node.attributes.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
                 out.flow(node.attributes.get("value", ""))
+                out.space = bool(out.line)
             continue
         if name == "details" and "open" not in node.attributes:
             inner = [c for c in node.children if isinstance(c, Node) and c.name == "summary"][:1]
@@ -330,28 +380,29 @@ def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool =
             inner = ([c for c in options if "selected" in c.attributes] or options)[:1]
         else:
             inner = node.children
-        if name in APART:
+        how = box(node)
+        if how == "apart":
             if name in ("ul", "ol") and parent.name == "li":
                 out.end_line()
             else:
                 out.apart()
-        elif name in BLOCKS:
+        elif how == "block":
             out.end_line()
         if name == "optgroup" and seen:
             out.flow(node.attributes.get("label", ""))
             out.end_line()
         elif name == "mtd":
             out.space = bool(out.line)
-        if name == "li":
+        if name == "li" and node.shape in ("", "list"):
             mark = marker(parent, node, count)
             out.marker = ("".join(out.indents[-1:]) if out.marker and len(out.indents) > DEEP else out.marker) + mark if out.marker else mark
             out.indents.append(" " * len(mark))
-        elif name in ("blockquote", "dd"):
+        elif name in ("blockquote", "dd") and how != "inline":
             out.indents.append("  ")
         if name == "table":
-            yield from table(node, rules, out, seen, keep)
+            yield from table(node, rules, out, seen, keeps(node, keep))
             inner = []
-        keep = keep or name in ("pre", "textarea", "xmp")
+        keep = keeps(node, keep)
         if name == "pre" and inner and isinstance(inner[0], str) and inner[0].startswith("\n"):
             inner = [inner[0][1:], *inner[1:]]
         stack.append(("out", node, parent, visible, keep))
@@ -359,7 +410,7 @@ def walk(root: Node, rules: Sheet, out: Out, visible: bool = True, keep: bool =
     out.end_line()
 
 
-def table(node: Node, rules: Sheet, out: Out, visible: bool, keep: bool) -> Generator[tuple, None, None]:
+def table(node: Node, rules: Sheet, out: Out, visible: bool, keep: bool | str) -> Generator[tuple, None, None]:
     """Rows of cells, aligned; captions and stray content go before."""
     rows: list[tuple[Node, bool]] = []
     groups: list[tuple[int, Node, bool]] = []
@@ -409,12 +460,12 @@ def table(node: Node, rules: Sheet, out: Out, visible: bool, keep: bool) -> Gene
                 continue
             while busy.get(column, 0) > at:
                 column += 1
-            box = Out()
-            yield (walk(cell, rules, box, s, keep),)
-            cells[column] = box.lines
+            inner = Out()
+            yield (walk(cell, rules, inner, s, keeps(cell, keep)),)
+            cells[column] = inner.lines
             wide, high = span(cell, "colspan", 1000), span(cell, "rowspan", 65534)
             if wide == 1:
-                widths[column] = max(widths.get(column, 0), max((len(x) for x in box.lines if len(x) <= WIDE), default=0))
+                widths[column] = max(widths.get(column, 0), max((len(x) for x in inner.lines if len(x) <= WIDE), default=0))
             if high > 1:
                 for k in range(column, column + wide):
                     busy[k] = at + high
