@@ -47,6 +47,15 @@ def q_knn_neighbors(spark, sf):
     return neighbors.nearest_neighbors(test, train, 5, qid="vec_id", rid="vec_id", vec="embedding")
 
 
+@query("knn_approximate_recall", operators=["M03"])
+def q_knn_approximate_recall(spark, sf):
+    """Approximate against exact neighbours of all test rows."""
+    train, test = _emb_split(spark, sf)
+    asked = dict(qid="vec_id", rid="vec_id", vec="embedding")
+    found = neighbors.approximate_neighbors(test, train, 5, bucket_length=1.2, tables=4, **asked)
+    return neighbors.recall(found, neighbors.nearest_neighbors(test, train, 5, **asked))
+
+
 def _vote_sql(k: int, metric: str, weights: str) -> str:
     if weights == "uniform":
         w = "CAST(1.0 AS DOUBLE)"
