@@ -12,6 +12,7 @@ Design rules used throughout:
 from __future__ import annotations
 
 import math
+from collections import Counter
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,8 +43,41 @@ def _values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) -> list:
     return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
 
 
+def inner_cuts(quantiles: Sequence[float | None] | None) -> set[float]:
+    """Range bounds from approximate quantiles. A value that several quantiles
+    hit is common: it gets a range of its own, up to the next double."""
+    found = [float(x) for x in quantiles or [] if x is not None and x == x]
+    common = {x for x, n in Counter(found).items() if n > 1}
+    return {x for x in {*found, *(math.nextafter(x, math.inf) for x in common)} if math.isfinite(x)}
+
+
+def _recut(df: DataFrame, cols: Sequence[str], splits: list[list[float]], located, buckets: int, accuracy: int,
+           target: int) -> list[list[float]] | None:
+    """Cuts the located ranges that hold more than `target` rows again, by the
+    quantiles of their own rows; None when no range is left to cut.
+    `located(splits)` gives the located (column, __b, __n) ranges."""
+    crowded = (located(splits).groupBy("column", "__b").agg(F.sum("__n").alias("__n"))
+               .where(F.col("__n") > target).select("column", "__b").collect())  # at most a row for each range
+    # a range of one double is done: its rows are one distinct value
+    open_ = [(cols.index(r["column"]), r["__b"]) for r in crowded]
+    open_ = [(i, b) for i, b in open_ if splits[i][b + 1] > math.nextafter(splits[i][b], math.inf)]
+    if not open_:
+        return None
+    grid = [k / buckets for k in range(1, buckets)]
+    aggs = []
+    for n, (i, b) in enumerate(open_):
+        x = present(q(cols[i]))
+        aggs.append(F.percentile_approx(F.when((x >= splits[i][b]) & (x < splits[i][b + 1]), x), grid, accuracy).alias(f"__q{n}"))
+    cuts = df.agg(*aggs).first()
+    out = [set(s) for s in splits]
+    for n, (i, b) in enumerate(open_):
+        out[i] |= inner_cuts(cuts[f"__q{n}"])
+    new = [sorted(s) for s in out]
+    return None if [len(s) for s in new] == [len(s) for s in splits] else new
+
+
 def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequence[float],
-                      buckets: int = 256, accuracy: int = 1_000) -> DataFrame:
+                      buckets: int = 256, accuracy: int = 1_000, target: int = 1_000_000) -> DataFrame:
     """Exact percentiles (linear interpolation) per class and column without
     gathering a class's values in one task.
 
@@ -52,7 +86,10 @@ def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequen
       2. rows are counted per (class, column, range) - partial aggregation,
          a tiny shuffle;
       3. a running sum over the ranges finds, for every needed rank, its
-         range and the rank inside it;
+         range and the rank inside it; where a range can hold more than
+         `target` distinct values (never below `target` / 0.006 rows), the
+         crowded located ranges are cut again by their own quantiles until
+         each is below `target` rows or one value;
       4. only rows of those ranges are read again, reduced to distinct
          (value, count) and ranked there.
     Returns (by, column, p, value).
@@ -61,35 +98,43 @@ def exact_percentiles(df: DataFrame, by: str, cols: Sequence[str], probs: Sequen
 
     cols, probs = list(cols), [float(x) for x in probs]
     grid = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(*[F.percentile_approx(present(q(c)), grid, accuracy).alias(f"__s{i}")
-                    for i, c in enumerate(cols)]).first()
-    splits = []
-    for i in range(len(cols)):
-        inner = sorted(set(float(x) for x in (cuts[f"__s{i}"] or []) if x is not None and x == x))
-        splits.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
-    # value ranges by binary search on the JVM (Bucketizer), one index column per input column
+    cuts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                  *[F.percentile_approx(present(q(c)), grid, accuracy).alias(f"__s{i}") for i, c in enumerate(cols)]).first()
+    splits = [[float("-inf"), *(sorted(inner_cuts(cuts[f"__s{i}"])) or [0.0]), float("inf")] for i in range(len(cols))]
     # the class inside a struct: its joins then also match rows without a class
     base = df.select(F.struct(q(by).alias("v")).alias("__by"),
                      *[present(q(c)).alias(f"__v{i}") for i, c in enumerate(cols)])
-    based = Bucketizer(splitsArray=splits, inputCols=[f"__v{i}" for i in range(len(cols))],
-                       outputCols=[f"__r{i}" for i in range(len(cols))], handleInvalid="keep").transform(base)
-    keyed = based.select("__by", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"__v{i}").alias("v"), F.col(f"__r{i}").cast("int").alias("__b"))
-        for i, c in enumerate(cols)]))).where(F.col("v").isNotNull())
-    counts = keyed.groupBy("__by", "column", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("__by", "column").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("__cum", F.sum("__n").over(w)).withColumn(
-        "__tot", F.sum("__n").over(Window.partitionBy("__by", "column")))
-    # ranks needed for each p: floor and ceil of (n - 1) * p (0-based)
-    pos = F.explode(F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
-    need = cum.select("__by", "column", "__tot").distinct().select("*", pos.alias("__pp")).select(
-        "__by", "column", "__tot", F.col("__pp.pi").alias("pi"), F.col("__pp.p").alias("p"),
-        ((F.col("__tot") - 1) * F.col("__pp.p")).alias("h"))
-    need = need.select("*", F.explode(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))).alias("rank"))
-    located = need.join(cum, ["__by", "column", "__tot"]).where(
-        (F.col("rank") < F.col("__cum")) & (F.col("rank") >= F.col("__cum") - F.col("__n"))) \
-        .select("__by", "column", "pi", "p", "h", "rank", "__b", (F.col("rank") - F.col("__cum") + F.col("__n"))
-                .alias("local"))
+
+    def cells(splits: list[list[float]]) -> DataFrame:
+        # value ranges by binary search on the JVM (Bucketizer), one index column per input column
+        based = Bucketizer(splitsArray=splits, inputCols=[f"__v{i}" for i in range(len(cols))],
+                           outputCols=[f"__r{i}" for i in range(len(cols))], handleInvalid="keep").transform(base)
+        return based.select("__by", F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"__v{i}").alias("v"), F.col(f"__r{i}").cast("int").alias("__b"))
+            for i, c in enumerate(cols)]))).where(F.col("v").isNotNull())
+
+    def locate(splits: list[list[float]]) -> DataFrame:
+        counts = cells(splits).groupBy("__by", "column", "__b").agg(F.count(F.lit(1)).alias("__n"))
+        w = Window.partitionBy("__by", "column").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+        cum = counts.withColumn("__cum", F.sum("__n").over(w)).withColumn(
+            "__tot", F.sum("__n").over(Window.partitionBy("__by", "column")))
+        # ranks needed for each p: floor and ceil of (n - 1) * p (0-based)
+        pos = F.explode(F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
+        need = cum.select("__by", "column", "__tot").distinct().select("*", pos.alias("__pp")).select(
+            "__by", "column", "__tot", F.col("__pp.pi").alias("pi"), F.col("__pp.p").alias("p"),
+            ((F.col("__tot") - 1) * F.col("__pp.p")).alias("h"))
+        need = need.select("*", F.explode(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))).alias("rank"))
+        return need.join(cum, ["__by", "column", "__tot"]).where(
+            (F.col("rank") < F.col("__cum")) & (F.col("rank") >= F.col("__cum") - F.col("__n"))) \
+            .select("__by", "column", "pi", "p", "h", "rank", "__b", "__n",
+                    (F.col("rank") - F.col("__cum") + F.col("__n")).alias("local"))
+
+    # between two neighbouring quantiles lie 1/buckets of the rows and twice the quantiles' error at most
+    if cuts["__rows"] * (1 / buckets + 2 / accuracy) > target:
+        ranges = lambda at: locate(at).select("__by", "column", "__b", "__n").distinct()
+        while (finer := _recut(df, cols, splits, ranges, buckets, accuracy, target)) is not None:
+            splits = finer
+    keyed, located = cells(splits), locate(splits).drop("__n")
     targets = located.select("__by", "column", "__b").distinct()
     vals = (keyed.join(targets, ["__by", "column", "__b"], "left_semi")
             .groupBy("__by", "column", "__b", "v").agg(F.count(F.lit(1)).alias("c")))
@@ -202,7 +247,7 @@ def crosstab(df: DataFrame, rows: Sequence[str] | str, col: str, normalize: str
 
 
 def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float = KDE_CUT,
-        bw_adjust: float = 1.0) -> DataFrame:
+        bw_adjust: float = 1.0, bins_per_bandwidth: int | None = None) -> DataFrame:
     """Gaussian density per class on a grid (violin data).
 
     Bandwidth is Scott's rule: n^(-1/5) * sample std. The grid spans
@@ -213,8 +258,19 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
     size) and all `points` kernel sums are accumulated in one grouped
     aggregate: no row expansion, and only classes x points partial sums per
     map task are shuffled. NULL and NaN values take no part.
+
+    With `bins_per_bandwidth` (s) the rows are first shared out between the
+    two nearest points of a fine grid of step bandwidth / s (linear binning),
+    one narrow aggregate over the rows; the `points` kernel sums then run over
+    the occupied grid points of each class only, a discrete convolution. A row
+    so enters with the kernel's linear interpolation between two grid points,
+    so that no density is off by more than `kde_error_bound`: the kernel's
+    second derivative is at most its peak, 1 / (bandwidth sqrt(2 pi)), over
+    bandwidth squared, and an interpolation errs by step^2 / 8 of that.
     """
     x = present(q(col))
+    if bins_per_bandwidth is not None and bins_per_bandwidth < 1:
+        raise ValueError("bins_per_bandwidth must be at least 1")
     stats = (df.where(x.isNotNull()).groupBy(q(by).alias("__gby"))
              .agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"),
                   F.min(x).alias("lo"), F.max(x).alias("hi")))
@@ -222,14 +278,25 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
     steps = float(points - 1) if points > 1 else None
     grid = stats.withColumn("bw", bw).select(
         "__gby", (F.col("lo") - cut * F.col("bw")).alias("g0"),
-        ((F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / steps if steps else F.lit(0.0)).alias("gs"), "bw", "n")
+        ((F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / steps if steps else F.lit(0.0)).alias("gs"), "bw", "n", "lo")
     rows = df.where(x.isNotNull()).select(q(by).alias("__by"), x.alias("__x")).join(
         grid, F.col("__by").eqNullSafe(F.col("__gby")))
+    weight = F.lit(1.0)
+    if bins_per_bandwidth is not None:
+        step = F.col("bw") / bins_per_bandwidth
+        at = F.try_divide(F.col("__x") - F.col("lo"), step)  # NULL for a zero bandwidth, as the density is
+        bins = rows.withColumn("__at", at).groupBy("__by", "g0", "gs", "bw", "n", "lo", F.floor("__at").alias("__bin")).agg(
+            F.sum(1 - (F.col("__at") - F.floor("__at"))).alias("__left"), F.sum(F.col("__at") - F.floor("__at")).alias("__right"))
+        ends = F.inline(F.array(F.struct(F.col("__bin").alias("__bin"), F.col("__left").alias("__w")),
+                                F.struct((F.col("__bin") + 1).alias("__bin"), F.col("__right").alias("__w"))))
+        rows = (bins.select("__by", "g0", "gs", "bw", "n", "lo", ends)
+                .select("*", (F.col("lo") + F.col("__bin") * step).alias("__x")))
+        weight = F.col("__w")
     sums = []
     for i in range(points):
         # a zero bandwidth (constant or one-row class) gives NULL densities, not an ANSI error
         z = F.try_divide(F.col("g0") + F.lit(i) * F.col("gs") - F.col("__x"), F.col("bw"))
-        sums.append(F.sum(F.exp(-0.5 * z * z)).alias(f"__s{i}"))
+        sums.append(F.sum(weight * F.exp(-0.5 * z * z)).alias(f"__s{i}"))
     agg = rows.groupBy("__by", "g0", "gs", "bw", "n").agg(*sums)
     norm = F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)
     entries = F.array(*[F.struct(F.lit(i).alias("point"), (F.col("g0") + F.lit(i) * F.col("gs")).alias("x"),
@@ -237,6 +304,11 @@ def kde(df: DataFrame, col: str, by: str, points: int = KDE_POINTS, cut: float =
     return agg.select(F.col("__by").alias(by), F.inline(entries))
 
 
+def kde_error_bound(bandwidth: Column, bins_per_bandwidth: int) -> Column:
+    """The most that a binned density differs from the exact one."""
+    return 1.0 / (8 * bins_per_bandwidth**2 * math.sqrt(2 * math.pi)) / bandwidth
+
+
 def scatter(df: DataFrame, x: str, y: str, by: str, id_col: str | None = None,
             bins: int | None = None) -> DataFrame:
     """Per-class (x, y) points; with `bins`, 2-D bin counts instead

@@ -9,14 +9,20 @@ window runs, and each window is partitioned by (model, class).
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortlens.operators.eda import inner_cuts
 from cohortlens.operators.profile import q
 
+# distinct scores that one range of an ROC curve may hold, and the most ranges (their bounds go to every task: 512 kB)
+RANGE_ROWS = 1_000_000
+MAX_RANGES = 65_536
+
 
 def _keys(keys: Sequence[str] | str | None) -> list[str]:
     if keys is None:
@@ -126,14 +132,22 @@ def binarize(preds: DataFrame, labels: Sequence, label: str = "label", id_cols=(
     return preds.select(*keys, *ids, F.inline(F.array(*entries)))
 
 
-def _score_ranges(agg: DataFrame, col: str, buckets: int, accuracy: int = 1_000) -> DataFrame:
+def _score_ranges(agg: DataFrame, col: str, buckets: int, accuracy: int = 1_000, target: int = RANGE_ROWS) -> DataFrame:
     """Order-preserving range index of `col` (Bucketizer = binary search on the
-    JVM) from global approximate quantiles; only balance depends on them."""
+    JVM) from global approximate quantiles; only balance depends on them. The
+    number of ranges grows with the rows (distinct scores): a quarter more
+    than rows / `target`, at least `buckets`, with quantiles as fine as that needs."""
     from pyspark.ml.feature import Bucketizer
-    grid = [i / buckets for i in range(1, buckets)]
-    cuts = agg.agg(F.percentile_approx(F.col(col), grid, accuracy)).first()[0] or []
-    inner = sorted(set(float(x) for x in cuts if x is not None and x == x))
-    splits = [float("-inf")] + (inner or [0.0]) + [float("inf")]
+
+    def quantiles(n: int) -> tuple:
+        grid = [i / n for i in range(1, n)]
+        return agg.agg(F.count(F.lit(1)), F.percentile_approx(F.col(col), grid, max(accuracy, 4 * n))).first()
+
+    rows, cuts = quantiles(buckets)
+    wanted = min(math.ceil(1.25 * rows / target), MAX_RANGES)
+    if wanted > buckets:
+        rows, cuts = quantiles(wanted)
+    splits = [float("-inf"), *(sorted(inner_cuts(cuts)) or [0.0]), float("inf")]
     return Bucketizer(splits=splits, inputCol=col, outputCol="__b", handleInvalid="keep").transform(agg)
 
 

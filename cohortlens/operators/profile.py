@@ -12,7 +12,10 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (
+    BinaryType, BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NumericType,
+    ShortType, StringType, TimestampNTZType, TimestampType,
+)
 
 # fixed value: the role-inference threshold on distinct counts
 CATEGORICAL_MAX_DISTINCT = 15
@@ -60,20 +63,54 @@ def info(df: DataFrame) -> DataFrame:
     return _long(row, entries)
 
 
+def _cell(df: DataFrame, column: str) -> tuple[Column, Column] | None:
+    """A value as (whole number, text), one of them NULL, equal exactly where
+    Spark's grouping holds the values equal; None for types without such a form."""
+    kind, value = df.schema[column].dataType, q(column)
+    no_number, no_text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    if isinstance(kind, (BooleanType, ByteType, ShortType, IntegerType, LongType)):
+        return value.cast("long"), no_text
+    if isinstance(kind, DateType):
+        return F.unix_date(value).cast("long"), no_text
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value), no_text
+    if isinstance(kind, (DoubleType, FloatType)):
+        return no_number, (value + F.lit(0).cast(kind)).cast("string")  # -0.0 and 0.0 are one value
+    if isinstance(kind, (DecimalType, TimestampNTZType)):
+        return no_number, value.cast("string")
+    if isinstance(kind, BinaryType):
+        return no_number, F.hex(value)
+    if type(kind) is StringType and kind == StringType():
+        return no_number, value
+    return None
+
+
 def nunique(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
             rsd: float = 0.01) -> DataFrame:
     """Distinct non-null values per column.
 
-    Exact: Catalyst rewrites the distinct aggregates into one Expand +
-    two-level aggregation (one shuffle). `approx=True` uses HyperLogLog++
-    sketches instead: bounded memory, no row expansion.
+    Exact: every row gives narrow (column, value) cells, which each map task
+    deduplicates before one shuffle on (column, value); then they are counted.
+    Columns of types without a plain form (arrays, structs, collated text) are
+    counted by distinct aggregates. `approx=True` uses HyperLogLog++ sketches
+    instead: bounded memory, no row expansion. NaN is one value; an empty
+    table gives zeros.
     """
     columns = list(columns) if columns is not None else df.columns
-    if approx:
-        aggs = [F.approx_count_distinct(q(c), rsd).alias(f"__d{i}") for i, c in enumerate(columns)]
-    else:
-        aggs = [F.count_distinct(q(c)).alias(f"__d{i}") for i, c in enumerate(columns)]
-    row = df.agg(*aggs)
+    cells = {} if approx else {i: cell for i, c in enumerate(columns) if (cell := _cell(df, c)) is not None}
+    rest = [i for i in range(len(columns)) if i not in cells]
+    row = None
+    if cells:
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("__at"), number.alias("__number"), text.alias("__text"))
+                                            for i, (number, text) in cells.items()])))
+        long = long.where(F.col("__number").isNotNull() | F.col("__text").isNotNull()).distinct()
+        row = long.agg(*[F.count_if(F.col("__at") == i).alias(f"__d{i}") for i in cells])
+    if rest:
+        one = (lambda c: F.approx_count_distinct(q(c), rsd)) if approx else (lambda c: F.count_distinct(q(c)))
+        others = df.agg(*[one(columns[i]).alias(f"__d{i}") for i in rest])
+        row = others if row is None else row.join(others)  # one row each
+    if row is None:
+        return df.sparkSession.createDataFrame([], "position int, column string, nunique long")
     entries = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
                         F.col(f"__d{i}").alias("nunique")) for i, c in enumerate(columns)]
     return _long(row, entries)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from cohortlens.operators import eda, features, profile
 from cohortlens.plans.oracle import with_outcomes
@@ -256,6 +257,40 @@ def q_grade_density(spark, sf):
     return eda.kde(outcomes(spark, sf), "p1_grade", "outcome", points=100)
 
 
+BINS_PER_BANDWIDTH = 16
+
+
+@query("grade_density_binned", with_outcomes(f"""
+WITH st AS (
+  SELECT outcome, count(*) AS n, stddev_samp(p1_grade) * pow(count(*), -0.2) AS bw, min(p1_grade) AS lo, max(p1_grade) AS hi
+  FROM outcomes WHERE p1_grade IS NOT NULL GROUP BY outcome),
+grid AS (SELECT outcome, CAST(i AS INT) AS point, lo - 2.0 * bw + i * ((hi - lo + 4.0 * bw) / 99) AS x FROM st, range(100) r(i)),
+c AS (SELECT outcome, p1_grade AS v, count(*) AS cnt FROM outcomes WHERE p1_grade IS NOT NULL GROUP BY ALL),
+placed AS (SELECT outcome, cnt, v, (v - lo) * {BINS_PER_BANDWIDTH} / bw AS place FROM c JOIN st USING (outcome)),
+bins AS (
+  SELECT outcome, bin, sum(w) AS w FROM (
+    SELECT outcome, floor(place) AS bin, cnt * (1 - (place - floor(place))) AS w FROM placed
+    UNION ALL SELECT outcome, floor(place) + 1, cnt * (place - floor(place)) FROM placed) GROUP BY ALL),
+binned AS (
+  SELECT outcome, point, x, sum(w * exp(-0.5 * pow((x - lo - bin * bw / {BINS_PER_BANDWIDTH}) / bw, 2))) / (any_value(n * bw) * sqrt(2 * pi())) AS density
+  FROM grid JOIN st USING (outcome) JOIN bins USING (outcome) GROUP BY ALL),
+exact AS (
+  SELECT outcome, point, sum(cnt * exp(-0.5 * pow((x - v) / bw, 2))) / (any_value(n * bw) * sqrt(2 * pi())) AS density
+  FROM grid JOIN st USING (outcome) JOIN c USING (outcome) GROUP BY ALL)
+SELECT outcome, point, x, b.density, abs(b.density - e.density) <= 1.0 / (8 * {BINS_PER_BANDWIDTH**2} * sqrt(2 * pi()) * bw) AS within_bound
+FROM binned b JOIN exact e USING (outcome, point) JOIN st USING (outcome)"""), round_cols=["x", "density"], operators=["P17"])
+def q_grade_density_binned(spark, sf):
+    """Binned densities, and whether each lies within the stated bound of the exact one."""
+    df = outcomes(spark, sf)
+    value = F.col("p1_grade")
+    width = df.where(value.isNotNull()).groupBy("outcome").agg(
+        (F.stddev_samp(value) * F.pow(F.count(value), F.lit(-0.2))).alias("bw"))
+    exact = eda.kde(df, "p1_grade", "outcome").select("outcome", "point", F.col("density").alias("exact"))
+    binned = eda.kde(df, "p1_grade", "outcome", bins_per_bandwidth=BINS_PER_BANDWIDTH)
+    within = F.abs(F.col("density") - F.col("exact")) <= eda.kde_error_bound(F.col("bw"), BINS_PER_BANDWIDTH)
+    return binned.join(exact, ["outcome", "point"]).join(width, "outcome").select("outcome", "point", "x", "density", within.alias("within_bound"))
+
+
 @query("admission_grade_scatter", with_outcomes(
     "SELECT id, outcome, admission, p1_grade FROM outcomes "
     "WHERE admission IS NOT NULL AND p1_grade IS NOT NULL"),

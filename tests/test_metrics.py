@@ -93,3 +93,12 @@ def test_promote_best_saves_the_argmax_model(spark, tmp_path):
     res = spark.createDataFrame([("a", 0.5), ("b", 0.9)], "model string, cv_f1 double")
     name = promote_best(res, {"a": a, "b": b}, str(tmp_path / "best"))
     assert name == "b" and DecisionTreeClassificationModel.load(str(tmp_path / "best")).depth == b.depth
+
+
+def test_score_ranges_follow_the_distinct_scores(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(float(v),) for v in rng.normal(size=4000)], "s double")
+    ranges = metrics._score_ranges(df, "s", 4, target=100).groupBy("__b").count().collect()
+    assert len(ranges) > 40 and max(r["count"] for r in ranges) <= 110
+    assert metrics._score_ranges(df, "s", 4).select("__b").distinct().count() == 4
+    assert metrics._score_ranges(df.limit(0), "s", 4).count() == 0

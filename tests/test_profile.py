@@ -102,3 +102,74 @@ def test_kde_constant_class_gives_null_density(spark):
     rows = eda.kde(df, "x", "g", points=5).collect()
     assert all(r["density"] is None for r in rows if r["g"] == "a")
     assert all(r["density"] is not None and r["density"] > 0 for r in rows if r["g"] == "b")
+
+
+def test_nunique_of_every_type_agrees_with_distinct(spark):
+    """Narrow cells give what the grouping holds equal: -0.0 and 0.0, NaN, NULL, instants of a repeated hour, collated text."""
+    df = spark.sql("""
+        SELECT CAST(n AS double) AS d, CAST(n AS float) AS f, CAST(n AS decimal(9, 2)) AS m, n > 1 AS b, CAST(n AS tinyint) AS t,
+               CAST(CAST(n AS string) AS binary) AS raw, array(n) AS arr, date_add(DATE'2020-01-01', CAST(n AS int)) AS day,
+               timestamp_seconds(n * 3600 + 1603584000) AS ts, s, collate(s, 'UTF8_LCASE') AS folded, NULL AS void
+        FROM VALUES (0, 'a'), (1, 'A'), (2, ''), (2, NULL), (NULL, 'a') AS x(n, s)
+        UNION ALL SELECT -0.0D, CAST('NaN' AS float), NULL, NULL, NULL, NULL, NULL, NULL, NULL, ' a', collate('B', 'UTF8_LCASE'), NULL
+        UNION ALL SELECT CAST('NaN' AS double), CAST('NaN' AS float), 1.00, NULL, 1, NULL, array(1), NULL, NULL, 'a', collate('b', 'UTF8_LCASE'), NULL""")
+    want = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in df.columns]).first().asDict()
+    assert {r["column"]: r["nunique"] for r in profile.nunique(df).collect()} == want
+    assert {r["column"]: r["nunique"] for r in profile.nunique(df.limit(0)).collect()} == dict.fromkeys(df.columns, 0)
+    assert profile.nunique(df, []).count() == 0
+    plan = profile.nunique(df.drop("arr", "folded", "void"))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_nunique_of_clashing_names(spark):
+    df = spark.createDataFrame([(1, 2), (1, 3)], "__at int, `__te.xt` int")
+    assert [tuple(r) for r in profile.nunique(df).collect()] == [(0, "__at", 1), (1, "__te.xt", 2)]
+
+
+def test_crowded_ranges_are_cut_again(spark):
+    """90 % of the rows in one of four ranges, a value held by a third of all, infinities: exact, and no range above the target."""
+    rng = np.random.default_rng(7)
+    values = np.concatenate([rng.normal(0, 1e-6, 1500), np.full(1000, 5.0), rng.normal(50, 20, 300), [np.inf, -np.inf]])
+    rows = [("ab"[i % 2], float(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    seen = []
+    real = eda._recut
+
+    def watched(df, cols, splits, located, buckets, accuracy, target):
+        out = real(df, cols, splits, located, buckets, accuracy, target)
+        if out is None:
+            left = located(splits).groupBy("column", "__b").agg(F.sum("__n").alias("n")).collect()
+            seen.extend((r["n"], splits[0][r["__b"]], splits[0][r["__b"] + 1]) for r in left)
+        return out
+
+    eda._recut = watched
+    try:
+        got = eda.exact_percentiles(df, "g", ["x"], [0.1, 0.5, 0.62, 0.9], buckets=4, target=60).collect()
+    finally:
+        eda._recut = real
+    assert seen and all(n <= 60 or hi == math.nextafter(lo, math.inf) for n, lo, hi in seen)
+    for r in got:
+        mine = np.array([v for g, v in rows if g == r["g"]])
+        assert np.isclose(r["value"], np.quantile(mine, r["p"]), rtol=1e-12, atol=0)
+    assert len(got) == 8
+
+
+def test_binned_density_is_within_its_bound(spark):
+    rng = np.random.default_rng(3)
+    rows = [("ab"[i % 2], float(v)) for i, v in enumerate(np.concatenate([rng.normal(0, 1, 300), rng.exponential(30, 100)]))]
+    df = spark.createDataFrame([*rows, ("c", 1.0), ("c", 1.0), ("a", None), ("b", float("nan"))], "g string, x double")
+    exact = {(r["g"], r["point"]): r for r in eda.kde(df, "x", "g", points=40).collect()}
+    worst = {}
+    for s in (1, 4, 64):
+        for r in eda.kde(df, "x", "g", points=40, bins_per_bandwidth=s).collect():
+            true = exact[r["g"], r["point"]]
+            assert true["x"] == r["x"]
+            if r["g"] == "c":
+                assert r["density"] is None and true["density"] is None
+                continue
+            values = np.array([v for g, v in rows if g == r["g"]])
+            bound = 1 / (8 * s * s * math.sqrt(2 * math.pi) * values.std(ddof=1) * len(values) ** -0.2)
+            assert abs(r["density"] - true["density"]) <= bound * (1 + 1e-9) + 1e-15
+            worst[s] = max(worst.get(s, 0), abs(r["density"] - true["density"]))
+    assert worst[1] > worst[4] > worst[64]
+    assert eda.kde(df.limit(0), "x", "g", points=4, bins_per_bandwidth=4).count() == 0
