@@ -106,10 +106,12 @@ class Table:
     `key` names an id column for the draws (else the row's content is hashed:
     equal rows then draw alike), `weight` a weight column, `fold` a fold
     number, `step` a number from which on a model that names a step takes the
-    row. Rows without features or label take no part."""
+    row. Rows without features or label take no part. With `numeric` the label
+    is any number instead of a class (`span`: its least and largest value; NaN
+    and infinite labels take no part)."""
 
     def __init__(self, df: DataFrame, features: str = "features", label: str = "label", weight: str | None = None, key: str | None = None,
-                 fold: str | None = None, step: str | None = None, max_bins: int = MAX_BINS, block_rows: int = BLOCK_ROWS):
+                 fold: str | None = None, step: str | None = None, max_bins: int = MAX_BINS, block_rows: int = BLOCK_ROWS, numeric: bool = False):
         spark = df.sparkSession
         ship_package(spark)
         x = _vector(df, features)
@@ -118,11 +120,17 @@ class Table:
         rows = df.where(F.col(features).isNotNull() & F.col(label).isNotNull()).select(
             x.alias("x"), F.col(label).cast("double").alias("y"), name(weight, 1.0).cast("double").alias("w"), draw.alias("key"),
             name(fold, -1).cast("int").alias("fold"), name(step, 0).cast("int").alias("step"))
-        counts = {int(r["y"]): (r["n"], r["w"]) for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).limit(10_001).collect()}
-        if len(counts) > 10_000:
-            raise ValueError("more than 10,000 distinct labels: not a class column")
-        self.rows = sum(n for n, _ in counts.values())
-        self.classes = max(counts, default=-1) + 1
+        self.span = (0.0, 0.0)
+        if numeric:
+            rows = rows.where(F.abs("y") < float("inf"))
+            whole = rows.agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi")).first()
+            self.rows, self.classes = whole["n"], 0
+            if whole["n"]:
+                self.span = whole["lo"], whole["hi"]
+        else:
+            self.rows, self.classes = self._counted(rows)
+        if not self.rows:
+            raise ValueError("no rows with features and a label to learn from")
         share = 1.0 if self.rows <= SAMPLE_ROWS else SAMPLE_ROWS / self.rows
         picked = rows if share == 1.0 else rows.where(F.pmod(F.xxhash64("x"), F.lit(1 << 20)) < int(share * (1 << 20)))
         sample = picked.select("x").toArrow().column(0).combine_chunks()
@@ -130,7 +138,7 @@ class Table:
         self.cuts = cuts_of(sample.flatten().to_numpy(zero_copy_only=False).reshape(-1, width), max_bins)
         cores = spark.sparkContext.defaultParallelism
         self.blocks = 1 if self.rows <= block_rows else max(cores, -(-self.rows // block_rows))
-        cuts = self.cuts
+        cuts, label_type = self.cuts, np.float64 if numeric else np.int16
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts: list[list[np.ndarray]] = []
@@ -141,19 +149,26 @@ class Table:
             if parts:
                 bins, *others = zip(*parts, strict=True)
                 whole = [np.concatenate(bins, axis=1), *(np.concatenate(c) for c in others)]
-                types = [np.uint8, np.int16, np.float64, np.uint64, np.int16, np.int16]
+                types = [np.uint8, label_type, np.float64, np.uint64, np.int16, np.int16]
                 yield pa.RecordBatch.from_arrays([pa.array([c.astype(t).tobytes()], pa.binary()) for c, t in zip(whole, types, strict=True)], names=["bins", "y", "w", "key", "fold", "step"])
 
         packed = rows.repartition(self.blocks).mapInArrow(pack, "bins binary, y binary, w binary, key binary, fold binary, step binary")
         features_ = len(self.cuts.points)
 
         def unpack(r) -> Block:
-            y = np.frombuffer(r["y"], np.int16)
+            y = np.frombuffer(r["y"], label_type)
             return Block(np.frombuffer(r["bins"], np.uint8).reshape(features_, len(y)), y, np.frombuffer(r["w"]), np.frombuffer(r["key"], np.uint64), np.frombuffer(r["fold"], np.int16), np.frombuffer(r["step"], np.int16))
 
         self.rdd = materialize(packed).rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
         self.cores = cores
 
+    @staticmethod
+    def _counted(rows: DataFrame) -> tuple[int, int]:
+        counts = {int(r["y"]): r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).limit(10_001).collect()}
+        if len(counts) > 10_000:
+            raise ValueError("more than 10,000 distinct labels: not a class column")
+        return sum(counts.values()), max(counts, default=-1) + 1
+
     def dealt(self, groups: int):
         """One block: a copy for each group of models, in tasks of their own."""
         return self.rdd.flatMap(lambda b: [(g, b) for g in range(groups)]).partitionBy(groups, int)
@@ -300,6 +315,9 @@ def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain, mask:
     for a in range(0, len(found), 64):
         one = found[a : a + 64].transpose(1, 0, 2)  # channel, node, bin
         whole = one[..., own].sum(-1)
+        if mask is not None:  # from a feature that the node may split at: the others' sums may be parts
+            first = mask[a : a + 64].argmax(1)
+            whole = np.stack([one[:, i, cuts.at[f] : cuts.at[f + 1]].sum(-1) for i, f in enumerate(first)], axis=1)
         if whole_of is not None:
             whole = np.stack([w if w is not None else whole[:, i] for i, w in enumerate(whole_of[a : a + 64])], axis=1)
         run = np.concatenate((np.zeros((*whole.shape, 1), np.int64), np.cumsum(one, axis=-1)), axis=-1)
@@ -548,6 +566,11 @@ class ClassTree:
     subset: int | None = None  # features that a node draws to split at
     seed: int = 42
     tree: Tree = field(default_factory=Tree)
+    rate: float = 1.0  # mean of the Poisson draw
+    columns: tuple[int, ...] | None = None  # the only features of this tree
+
+    def features(self, count: int) -> np.ndarray:
+        return np.arange(count) if self.columns is None else np.array(self.columns)
 
     def mask(self, nodes: Sequence[int], features: int) -> np.ndarray | None:
         """The features of each node: those with the smallest hashes."""
@@ -578,7 +601,7 @@ class ClassTree:
     def channels(self, b: Block, classes: int) -> tuple[np.ndarray, list[np.ndarray]]:
         w = self.rows.weights(b)
         if self.draw is not None:
-            w = w * np.searchsorted(POISSON, uniform(b.key, self.draw), side="right")
+            w = w * np.searchsorted(poisson(self.rate), uniform(b.key, self.draw), side="right")
         weight = np.rint(w * SCALE)
         return np.flatnonzero(w > 0), [*(np.where(b.label == k, weight, 0.0) for k in range(classes)), weight]
 
@@ -594,21 +617,62 @@ class ClassTree:
         return best[stepped(self.tree, b.bins, depth)]
 
 
-#: shares of the Poisson draws 0, 1, 2, ...
-POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(16)])
+@dataclass
+class ValueTree(ClassTree):
+    """A regression tree by variance. Labels enter as whole numbers on a scale
+    from -1 to 1 over the table's `span`, exact to half a millionth of it."""
+
+    span: tuple[float, float] = (0.0, 0.0)
+
+    @property
+    def middle(self) -> tuple[float, float]:
+        lo, hi = self.span
+        return lo / 2 + hi / 2, max(hi / 2 - lo / 2, 1e-300)
+
+    def channels(self, b: Block, classes: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        at, half = self.middle
+        rows, [weight] = super().channels(b, 0)
+        y = (b.label - at) / half
+        return rows, [np.rint(weight * y), np.rint(weight * y * y), weight]
+
+    def gain(self, left: np.ndarray, right: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            explained = [(s / SCALE) ** 2 / (w / SCALE) for s, _, w in (left, right, whole)]
+        spread = whole[1] / SCALE - explained[2]  # weight times variance of the node
+        nl, nr = left[2] / SCALE, right[2] / SCALE
+        bad = (nl < self.min_leaf) | (nr < self.min_leaf) | (nl + nr < self.min_split) | (nl <= 0) | (nr <= 0)
+        return np.where(bad | ~(spread > 1e-6 * (nl + nr)), -np.inf, np.maximum(explained[0] + explained[1] - explained[2], 0.0) + 1e-12)
+
+    def close(self) -> None:
+        if self.depth is not None and self.tree.open and self.tree.depth[self.tree.open[0]] >= self.depth:
+            self.tree.open = []
+        self.tree.open = [n for n in self.tree.open if self.tree.stats[n] is None or self.tree.stats[n][-1] >= self.min_split * SCALE]
+
+    def value(self, stats: np.ndarray) -> float:
+        at, half = self.middle
+        return at + half * float(stats[0]) / float(stats[-1]) if stats[-1] else at
+
+
+def poisson(rate: float) -> np.ndarray:
+    """Shares of the draws up to 0, 1, 2, ..."""
+    if not 0 < rate <= 100:
+        raise ValueError("a sample draws each row more than 0 and at most 100 times on average")
+    return np.cumsum(math.exp(-rate) * np.cumprod([1.0, *(rate / i for i in range(1, 16 + int(8 * rate)))]))
+
+
 #: open nodes of a tree whose sums are taken at once
 NODES_AT_ONCE = 64
 
 
 def _tree_here(model: ClassTree, b: Block, cuts: Cuts, classes: int) -> ClassTree:
     rows, channels = model.channels(b, classes)
-    at, features = np.zeros(len(b.label), np.int64), np.arange(len(cuts.points))
+    at, features = np.zeros(len(b.label), np.int64), model.features(len(cuts.points))
     model.close()
     while model.tree.open:
         found = []
         for a in range(0, len(model.tree.open), NODES_AT_ONCE):
             nodes = model.tree.open[a : a + NODES_AT_ONCE]
-            mask = model.mask(nodes, len(features))
+            mask = model.mask(nodes, len(cuts.points))
             found += best_splits(sums(b.bins, cuts, at, rows, channels, nodes, features, mask), cuts, features, model.gain, mask, [model.tree.stats[n] for n in nodes])
         model.tree.extend(found)
         at = model.tree.advance(b.bins, at)
@@ -617,14 +681,14 @@ def _tree_here(model: ClassTree, b: Block, cuts: Cuts, classes: int) -> ClassTre
 
 
 def fit_trees(table: Table, models: list[ClassTree]) -> list[ClassTree]:
-    """Grows all classification trees together, level by level."""
+    """Grows all trees together, level by level."""
     classes, cuts = table.classes, table.cuts
-    features = np.arange(len(cuts.points))
+    count = len(cuts.points)
     if table.blocks == 1:
         groups = min(len(models), 4 * table.cores)
         done = table.dealt(groups).flatMap(lambda gb: [(i, _tree_here(models[i], gb[1], cuts, classes)) for i in range(gb[0], len(models), groups)]).collect()
         return [m for _, m in sorted(done, key=lambda x: x[0])]
-    each = (classes + 1) * int(cuts.at[-1]) * 8
+    each = (max(classes, 2) + 1) * int(cuts.at[-1]) * 8
     most = max(1, PASS_BYTES // each)
     for m in models:
         m.close()
@@ -645,13 +709,13 @@ def fit_trees(table: Table, models: list[ClassTree]) -> list[ClassTree]:
                     out = {}
                     for i, a, m in sent:
                         rows, channels = m.channels(b, classes)
-                        out[i, a] = sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], features, m.mask(m.tree.open[a : a + most], len(features)))
+                        out[i, a] = sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], m.features(count), m.mask(m.tree.open[a : a + most], count))
                     yield out
 
             whole = merged(table.rdd.mapPartitions(level))
             for (i, a), one in whole.items():
                 nodes = models[i].tree.open[a : a + most]
-                found[i, a] = best_splits(one, cuts, features, models[i].gain, models[i].mask(nodes, len(features)), [models[i].tree.stats[n] for n in nodes])
+                found[i, a] = best_splits(one, cuts, models[i].features(count), models[i].gain, models[i].mask(nodes, count), [models[i].tree.stats[n] for n in nodes])
             wave, load = [], 0
         for i, m in enumerate(models):
             if m.tree.open:

@@ -17,7 +17,7 @@ def _results(model, test, name):
 def q_bagging_classifier_results(spark, sf):
     train, test, *_ = prepared(spark, sf)
     model = ensemble.BaggingClassifier(numTrees=50, maxSamples=0.7, maxFeatures=0.7,
-                                       bootstrapFeatures=True, maxDepth=10).fit(train)
+                                       bootstrapFeatures=True, maxDepth=10, idCol="id").fit(train)
     return _results(model, test, "Bagging")
 
 
@@ -25,7 +25,7 @@ def q_bagging_classifier_results(spark, sf):
 def q_bagging_regressor_mse(spark, sf):
     train, test, *_ = prepared(spark, sf)
     model = ensemble.BaggingClassifier(numTrees=50, maxSamples=0.7, maxFeatures=0.7, regression=True,
-                                       maxDepth=10).fit(train)
+                                       maxDepth=10, idCol="id").fit(train)
     return metrics.mse(model.transform(test).withColumn("model", F.lit("Bagging Regressor")), "label", "prediction")
 
 

@@ -174,3 +174,39 @@ def test_attributions_of_ensembles_add_up(spark, data, kind):
     want = np.array(start) + sum(values[nodes.leaves(x)] for nodes, values in members)
     assert max(abs(base[c] + s - want[i, int(c)]) for (i, c), s in phi.items()) < 1e-9
     assert math.isclose(sum(base.values()), float(want.mean(0).sum()), abs_tol=0.5)
+
+
+@pytest.mark.parametrize("rows", [32_768, 40])
+def test_value_tree_without_a_limit_gives_the_means_of_equal_rows(spark, rows):
+    x, _ = _rows(400)
+    r = np.random.default_rng(8)
+    y, w = np.round(1e6 * x[:, 0] * x[:, 2] + r.normal(0, 1000, 400), 3), r.integers(1, 4, 400).astype(float)
+    df = spark.createDataFrame([(Vectors.dense(a), float(b), float(c)) for a, b, c in zip(x, y, w)], ["features", "label", "w"])
+    table = histtrees.Table(df, weight="w", numeric=True, block_rows=rows)
+    assert table.span == (y.min(), y.max()) and (table.blocks == 1) == (rows > 400)
+    [tree] = histtrees.fit_trees(table, [histtrees.ValueTree(span=table.span)])
+    nodes = tree.tree.grown(tree.value).nodes(table.cuts)
+    got = nodes.predictions[nodes.leaves(x)]
+    same = (x[:, None, :] == x[None, :, :]).all(-1)
+    want = (same * w) @ y / (same * w).sum(1)
+    assert np.abs(got - want).max() < 2e-3 * (y.max() - y.min())  # rows of a node without spread (a millionth of the span's square) stay together
+    stump, = histtrees.fit_trees(table, [histtrees.ValueTree(depth=1, span=table.span)])
+    f, cut = stump.tree.feature[0], stump.tree.cut[0]
+
+    def left_over(f, at):
+        low = x[:, f] <= at
+        return sum((w[m] * (y[m] - np.average(y[m], weights=w[m])) ** 2).sum() for m in (low, ~low) if m.any())
+
+    best = min(left_over(f, at) for f in range(4) for at in table.cuts.points[f])
+    assert math.isclose(left_over(f, table.cuts.points[f][cut]), best, rel_tol=1e-6)
+    table.release()
+
+
+@pytest.mark.parametrize("rows", [32_768, 40])
+def test_root_without_the_first_feature_is_split(data, rows):
+    """The root's sums come from a feature that it may split at."""
+    table = histtrees.Table(data, key="id", fold="fold", block_rows=rows)
+    [forest] = histtrees.fit_forests(table, [histtrees.Forest(count=30, depth=3, subset=1)])
+    assert all(t.feature[0] >= 0 for t in forest.trees) and len({int(t.feature[0]) for t in forest.trees}) > 2
+    assert all(abs(t.cover[0] - t.cover[t.feature < 0].sum()) < 1e-6 for t in forest.trees)
+    table.release()
