@@ -279,6 +279,12 @@ def sums(bins: np.ndarray, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channel
     s = slot[at[rows]]
     rows, s = rows[s >= 0], s[s >= 0]
     out = np.zeros((len(nodes), len(channels), cuts.at[-1]), np.int64)
+    if mask is not None:  # as many features for each node: a row counts for those of its node only
+        own = np.nonzero(mask)[1].reshape(len(nodes), -1)[s]
+        place = (s[:, None] * cuts.at[-1] + cuts.at[own] + bins[own, rows[:, None]]).ravel()
+        for c, v in enumerate(channels):
+            out[:, c] = np.bincount(place, weights=np.repeat(v[rows], own.shape[1]), minlength=out[:, c].size).reshape(len(nodes), -1)
+        return out
     pairs = features[cuts.sizes[features] == 2]
     if len(pairs):  # two bins: rows in the order of their nodes, and a product for each node
         order = np.argsort(s.astype(np.int16) if len(nodes) < 1 << 15 else s, kind="stable")
@@ -296,10 +302,9 @@ def sums(bins: np.ndarray, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channel
         out[:, :, low] = node[:, :, None] - out[:, :, low + 1]
     for f in features[cuts.sizes[features] != 2]:
         a, n = cuts.at[f], cuts.sizes[f]
-        mine = slice(None) if mask is None else mask[:, f][s]
-        place = s[mine] * n + bins[f][rows[mine]]
+        place = s * n + bins[f][rows]
         for c, v in enumerate(values):
-            out[:, c, a : a + n] = np.bincount(place, weights=v[mine], minlength=len(nodes) * n).reshape(len(nodes), n)
+            out[:, c, a : a + n] = np.bincount(place, weights=v, minlength=len(nodes) * n).reshape(len(nodes), n)
     return out
 
 
@@ -308,6 +313,8 @@ def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain, mask:
     whole)` gives float gains of channel sums (channel, ...), -inf where a
     split is not allowed. `mask` (node, feature) names the features of each
     node, `whole_of` the nodes' own sums where they are known."""
+    if mask is not None:
+        return _masked_splits(found, cuts, gain, mask, whole_of)
     out = []
     places = np.flatnonzero(~cuts.last & np.isin(cuts.feature, features))
     start = cuts.at[cuts.feature[places]]
@@ -315,9 +322,6 @@ def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain, mask:
     for a in range(0, len(found), 64):
         one = found[a : a + 64].transpose(1, 0, 2)  # channel, node, bin
         whole = one[..., own].sum(-1)
-        if mask is not None:  # from a feature that the node may split at: the others' sums may be parts
-            first = mask[a : a + 64].argmax(1)
-            whole = np.stack([one[:, i, cuts.at[f] : cuts.at[f + 1]].sum(-1) for i, f in enumerate(first)], axis=1)
         if whole_of is not None:
             whole = np.stack([w if w is not None else whole[:, i] for i, w in enumerate(whole_of[a : a + 64])], axis=1)
         run = np.concatenate((np.zeros((*whole.shape, 1), np.int64), np.cumsum(one, axis=-1)), axis=-1)
@@ -327,8 +331,6 @@ def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain, mask:
             out += [(w, None) for w in whole.T.copy()]
             continue
         gains = gain(left, right, whole[..., None])
-        if mask is not None:
-            gains = np.where(mask[a : a + 64][:, cuts.feature[places]], gains, -np.inf)
         best = gains.argmax(-1)
         for i, j in enumerate(best.tolist()):
             split = None
@@ -339,6 +341,31 @@ def best_splits(found: np.ndarray, cuts: Cuts, features: np.ndarray, gain, mask:
     return out
 
 
+def _masked_splits(found: np.ndarray, cuts: Cuts, gain, mask: np.ndarray, whole_of: Sequence | None) -> list[tuple]:
+    """`best_splits` of nodes with features of their own: a feature at a time,
+    for the nodes that may split at it."""
+    count = len(found)
+    known = [None] * count if whole_of is None else whole_of
+    # a node's sums from a feature that it may split at: the others' may be parts
+    whole = np.stack([found[i, :, cuts.at[f] : cuts.at[f + 1]].sum(-1) if w is None else w for i, (w, f) in enumerate(zip(known, mask.argmax(1), strict=True))], axis=1)
+    best = np.full(count, -np.inf)
+    feature, cut, left = np.zeros(count, int), np.zeros(count, int), np.zeros_like(whole)
+    for f in np.flatnonzero(cuts.sizes > 1):
+        mine = np.flatnonzero(mask[:, f])
+        if not len(mine):
+            continue
+        low = np.cumsum(found[mine, :, cuts.at[f] : cuts.at[f + 1] - 1].transpose(1, 0, 2), axis=-1)
+        own = whole[:, mine][..., None]
+        gains = gain(low, own - low, own)
+        at = gains.argmax(-1)
+        most = gains[np.arange(len(mine)), at]
+        better = most > best[mine]  # ties stay with the first feature
+        won, at = mine[better], at[better]
+        best[won], feature[won], cut[won] = most[better], f, at
+        left[:, won] = low[:, better, at]
+    return [(whole[:, i].copy(), (int(feature[i]), int(cut[i]), left[:, i].copy(), whole[:, i] - left[:, i]) if best[i] > 0 else None) for i in range(count)]
+
+
 def uniform(key: np.ndarray, *salt: int) -> np.ndarray:
     """Numbers in [0, 1) from row keys and salts."""
     z = key.copy()
@@ -661,7 +688,7 @@ def poisson(rate: float) -> np.ndarray:
 
 
 #: open nodes of a tree whose sums are taken at once
-NODES_AT_ONCE = 64
+NODES_AT_ONCE = 256
 
 
 def _tree_here(model: ClassTree, b: Block, cuts: Cuts, classes: int) -> ClassTree:
