@@ -27,7 +27,7 @@ def scoring_fixture(spark, sf):
         label_model = prep.label_indexer("outcome", "label").fit(train)
         pre = prep.build_preprocessor(FIXTURE_NUMERIC + ENGINEERED, FIXTURE_CATEGORICAL)
         staged = Pipeline(stages=[fe, *pre.getStages()]).fit(label_model.transform(train))
-        prepared = materialize(spread(staged.transform(label_model.transform(train)).select("id", "label", "features")))
+        prepared = materialize(spread(staged.transform(label_model.transform(train)).select("id", "label", "features"), rows=train.count()))
         sel = select.FScoreSelector(featuresCol="features", labelCol="label", outputCol="selected", k=20).fit(prepared)
         clf = models.logistic(C=1.0, n=prepared.count(), features="selected", max_iter=200) \
             .fit(sel.transform(prepared))

@@ -138,12 +138,17 @@ class IterativeFrame:
             self.prev = None
 
 
-def spread(df, per_core: int = 1):
+SPREAD_ROWS = 100_000
+
+
+def spread(df, per_core: int = 1, rows: int | None = None):
     """Round-robin the rows over (cores x per_core) partitions before a
     table is checkpointed for iterative fits: AQE may have coalesced a small
-    upstream stage into fewer partitions than there are cores."""
+    upstream stage into fewer partitions than there are cores. A partition
+    takes `SPREAD_ROWS` rows at most, so larger tables get more of them;
+    `rows` is the table's count where it is known."""
     n = df.sparkSession.sparkContext.defaultParallelism * per_core
-    return df.repartition(n)
+    return df.repartition(max(n, -(-(df.count() if rows is None else rows) // SPREAD_ROWS)))
 
 
 def cluster_settings(total_cores: int, input_bytes: int) -> dict:
