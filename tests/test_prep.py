@@ -23,6 +23,26 @@ def test_stratified_split_exact_disjoint_complete(spark):
         assert te == round((tr + te) * 0.2)
 
 
+def test_split_keeps_a_large_class_in_many_tasks(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") < 10, "A").otherwise("B").alias("y")).repartition(6).persist()
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sp = prep.stratified_split(df, "y", "id")
+        tasks = sp.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert sum(r["n"] for r in tasks) == 20_000 and max(r["n"] for r in tasks) < 5_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+        df.unpersist()
+
+
+def test_spread_bounds_the_rows_of_a_partition(spark):
+    from cohortlens.session import spread
+    rows = 50 * 100_000
+    assert spread(spark.range(rows)).rdd.getNumPartitions() >= 50
+    assert spread(spark.range(10), rows=10).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_split_is_md5_order_and_stable_under_repartition(spark):
     import hashlib
     df = _labelled(spark, 300)
