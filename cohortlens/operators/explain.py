@@ -15,11 +15,13 @@ from pyspark.sql.window import Window
 
 from cohortlens.functions.columns import safe_name  # noqa: F401  (X12, re-exported)
 from cohortlens.operators.profile import q
+from cohortlens.session import materialize
 
 # fixed values of the reference's summaries
 TOP_FEATURES = 5
 DECOMPOSE_TOP = 15
 EXAMPLE_CAP = 500
+SKETCH_ACCURACY = 10_000
 
 
 def cap_rows(df: DataFrame, n: int = EXAMPLE_CAP, id_col: str = "id") -> DataFrame:
@@ -115,9 +117,24 @@ def distribution_summary(attr: DataFrame, n: int = DECOMPOSE_TOP, quantiles: Seq
                          accuracy: int = 10_000) -> DataFrame:
     """X10 where one row per (row, class, feature) is too much to draw: rows,
     least, greatest and quantiles (in percent) of phi per class for the top n
-    features. The quantile sketches are merged from partial ones, so a group
-    costs one row a task; a rank is off by at most rows / accuracy."""
-    tops = mean_abs_global(attr, n).select("feature")
-    cuts = [F.percentile_approx("phi", p / 100, accuracy).alias(f"phi_q{p}") for p in quantiles]
-    return attr.join(F.broadcast(tops), "feature").groupBy("class", "feature").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("phi").alias("phi_min"), *cuts, F.max("phi").alias("phi_max"))
+    features. The quantiles are exact (the least phi that a share of the rows
+    does not exceed): sketches of bounded size, of `accuracy` and at most
+    `SKETCH_ACCURACY`, give a narrow range for each, and a second pass counts
+    the rows below the range and each value inside it."""
+    attr = attr.join(F.broadcast(mean_abs_global(attr, n).select("feature")), "feature")
+    bound = min(accuracy, SKETCH_ACCURACY)
+    around = [F.percentile_approx("phi", [max(0.0, p / 100 - 2 / bound), min(1.0, p / 100 + 2 / bound)], bound) for p in quantiles]
+    sketch = materialize(attr.groupBy("class", "feature").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("phi").alias("__n"), F.min("phi").alias("phi_min"), F.max("phi").alias("phi_max"),
+        *[r.alias(f"__r{i}") for i, r in enumerate(around)]))
+    ranges = sketch.select(F.col("class").alias("__c"), F.col("feature").alias("__f"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__i"), F.col(f"__r{i}")[0].alias("__lo"), F.col(f"__r{i}")[1].alias("__hi"),
+                 F.ceil(F.col("__n") * (p / 100)).alias("__rank")) for i, p in enumerate(quantiles)])))
+    # the value NULL stands for all rows below the range
+    near = attr.join(F.broadcast(ranges), q("class").eqNullSafe(F.col("__c")) & (F.col("feature") == F.col("__f")) & (F.col("phi") <= F.col("__hi")))
+    counts = near.groupBy("__c", "__f", "__i", "__rank", F.when(F.col("phi") >= F.col("__lo"), F.col("phi")).alias("__v")).agg(F.count(F.lit(1)).alias("__k"))
+    run = F.sum("__k").over(Window.partitionBy("__c", "__f", "__i").orderBy(F.col("__v").asc_nulls_first()))
+    cuts = counts.withColumn("__run", run).where(F.col("__run") >= F.col("__rank")).groupBy("__c", "__f").agg(
+        *[F.min(F.when(F.col("__i") == i, F.col("__v"))).alias(f"phi_q{p}") for i, p in enumerate(quantiles)])
+    out = sketch.join(F.broadcast(cuts), q("class").eqNullSafe(F.col("__c")) & (F.col("feature") == F.col("__f")), "left")
+    return out.select("class", "feature", "rows", "phi_min", *[f"phi_q{p}" for p in quantiles], "phi_max")

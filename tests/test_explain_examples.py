@@ -37,3 +37,20 @@ def test_all_classes_are_explained(spark, fitted, monkeypatch):
         assert sorted(x[5] for x in one) == pytest.approx(sorted(x[5] for x in alone))
         total = attr.where((F.col("row_id") == row) & (F.col("class") == cls)).agg(F.sum("phi")).first()[0]
         assert sum(r["total"] for r in force if (r["row_id"], r["class"]) == (row, cls)) == pytest.approx(total)
+
+
+def test_summary_quantiles_are_exact_from_bounded_sketches(spark):
+    import random
+
+    rng = random.Random(5)
+    values = {(c, f): [rng.gauss(0, 1) if f == "x" else float(rng.randrange(4)) for _ in range(n)] + [None]
+              for c, n in (("A", 3001), ("B", 7)) for f in ("x", "y")}
+    attr = spark.createDataFrame([(i, c, f, 0.0, v) for (c, f), vs in values.items() for i, v in enumerate(vs)],
+                                 "row_id long, class string, feature string, value double, phi double")
+    got = {(r["class"], r["feature"]): r for r in explain.distribution_summary(attr, 2, accuracy=20).collect()}
+    assert set(got) == set(values)
+    for key, vs in values.items():
+        own = sorted(v for v in vs if v is not None)
+        want = [own[-(-len(own) * p // 100) - 1] for p in (25, 50, 75)]
+        assert [got[key][f"phi_q{p}"] for p in (25, 50, 75)] == want
+        assert (got[key]["rows"], got[key]["phi_min"], got[key]["phi_max"]) == (len(vs), own[0], own[-1])
