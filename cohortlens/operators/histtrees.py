@@ -5,8 +5,8 @@ The rows are binned once (cuts from at most `SAMPLE_ROWS` rows, chosen by a
 hash of their content; below that number all rows) and packed into blocks of
 bytes, one byte for each row and feature. A pass over the blocks adds up, for
 every open node of every tree that is being grown, the sums of a few channels
-for each bin; the blocks' sums are merged on the executors (`treeReduce`), and
-the driver, which sees only these sums, picks the splits. All classes' trees
+for each bin; the blocks' sums are merged on the executors, where the splits are
+picked too (`picked`): the driver sees a node's sums and split only. All classes' trees
 of a boosting stage, and all models that are asked for together (folds,
 training sizes, balancing variants, grid candidates), share each pass.
 
@@ -480,9 +480,13 @@ def _hists(model: Boosting, b: Block, cuts: Cuts, rows: np.ndarray, channels, at
 
 
 def _grow(model: Boosting, found: dict[int, np.ndarray], cuts: Cuts, stage: int) -> None:
+    _extend(model, {k: best_splits(one, cuts, model.features(stage, k, len(cuts.points)), model.gain) for k, one in found.items()})
+
+
+def _extend(model: Boosting, splits: dict[int, list[tuple]]) -> None:
     for k, tree in enumerate(model.growing):
         if tree.open:
-            tree.extend(best_splits(found[k], cuts, model.features(stage, k, len(cuts.points)), model.gain))
+            tree.extend(splits[k])
             if tree.open and tree.depth[tree.open[0]] >= model.depth:
                 tree.open = []
 
@@ -514,6 +518,32 @@ def merged(sums_):
     return sums_.reduce(_merged) if sums_.getNumPartitions() <= FEW_BLOCKS else sums_.treeReduce(_merged)
 
 
+#: nodes of a record of sums
+NODES_A_RECORD = 64
+
+
+def picked(table: Table, rdd, level, pick) -> dict:
+    """The splits of each key's nodes: `level(blocks)` gives (key, sums of its
+    nodes), and `pick(key, first, sums)` the splits of the nodes from `first`
+    on. A partition adds up its blocks, a shuffle the partitions, and the
+    splits are picked where the sums are: the driver sees a node's own sums
+    and split only, and as many partial sums as cores are sent at any size."""
+
+    def own(blocks):
+        out: dict = {}
+        for key, one in level(blocks):
+            out[key] = np.add(out[key], one, out=out[key]) if key in out else one
+        for key, one in out.items():
+            for c in range(0, len(one), NODES_A_RECORD):
+                yield (key, c), one[c : c + NODES_A_RECORD]
+
+    whole = rdd.coalesce(table.cores).mapPartitions(own).reduceByKey(lambda a, b: a + b, table.cores)
+    out: dict = {}
+    for (key, _), found in sorted(whole.map(lambda x: (x[0], pick(x[0][0], x[0][1], x[1]))).collect(), key=lambda x: x[0]):
+        out.setdefault(key, []).extend(found)
+    return out
+
+
 def fit_boosted(table: Table, models: list[Boosting]) -> list[Boosting]:
     """Grows all models together, stage by stage and level by level."""
     classes, cuts = table.classes, table.cuts
@@ -560,18 +590,20 @@ def fit_boosted(table: Table, models: list[Boosting]) -> list[Boosting]:
 
                 def level(parts, sent=sent, stage=stage):
                     for b, scores in parts:
-                        out = {}
                         for i, m in sent:
                             rows, channels = m.targets(b, m.add(scores[i].copy(), b, m.trees), stage)
                             at = [stepped(t, b.bins) for t in m.growing]
                             for k, t in enumerate(m.growing):
                                 if t.open:
-                                    out[i, k] = _hists(m, b, cuts, rows, channels, at, stage, k)
-                        yield out
+                                    yield (i, k), _hists(m, b, cuts, rows, channels, at, stage, k)
 
-                found = merged(kept.mapPartitions(level))
+                def pick(key, first, one, by=dict(sent), stage=stage):
+                    m = by[key[0]]
+                    return best_splits(one, cuts, m.features(stage, key[1], len(cuts.points)), m.gain)
+
+                found = picked(table, kept, level, pick)
                 for i in wave:
-                    _grow(models[i], {k: found[i, k] for k in range(classes) if (i, k) in found}, cuts, stage)
+                    _extend(models[i], {k: found[i, k] for k in range(classes) if (i, k) in found})
         for i in active:
             models[i].finish()
     if kept is not None:
@@ -731,18 +763,19 @@ def fit_trees(table: Table, models: list[ClassTree]) -> list[ClassTree]:
                 continue
             sent = [(i, a, replace(models[i], tree=models[i].tree.light())) for i, a in wave]
 
+            known = {(i, a): [models[i].tree.stats[n] for n in models[i].tree.open[a : a + most]] for i, a in wave}
+
             def level(blocks, sent=sent):
                 for b in blocks:
-                    out = {}
                     for i, a, m in sent:
                         rows, channels = m.channels(b, classes)
-                        out[i, a] = sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], m.features(count), m.mask(m.tree.open[a : a + most], count))
-                    yield out
+                        yield (i, a), sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], m.features(count), m.mask(m.tree.open[a : a + most], count))
+
+            def pick(key, first, one, by={(i, a): m for i, a, m in sent}, known=known):
+                m, at = by[key], key[1] + first
+                return best_splits(one, cuts, m.features(count), m.gain, m.mask(m.tree.open[at : at + len(one)], count), known[key][first : first + len(one)])
 
-            whole = merged(table.rdd.mapPartitions(level))
-            for (i, a), one in whole.items():
-                nodes = models[i].tree.open[a : a + most]
-                found[i, a] = best_splits(one, cuts, models[i].features(count), models[i].gain, models[i].mask(nodes, count), [models[i].tree.stats[n] for n in nodes])
+            found |= picked(table, table.rdd, level, pick)
             wave, load = [], 0
         for i, m in enumerate(models):
             if m.tree.open:

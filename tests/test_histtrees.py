@@ -210,3 +210,20 @@ def test_root_without_the_first_feature_is_split(data, rows):
     assert all(t.feature[0] >= 0 for t in forest.trees) and len({int(t.feature[0]) for t in forest.trees}) > 2
     assert all(abs(t.cover[0] - t.cover[t.feature < 0].sum()) < 1e-6 for t in forest.trees)
     table.release()
+
+
+def test_sums_of_blocks_do_not_reach_the_driver(data, monkeypatch):
+    from pyspark import RDD
+
+    def refused(self, *args, **kwargs):
+        raise AssertionError("the sums of a block went to the driver")
+
+    table = histtrees.Table(data, key="id", fold="fold", block_rows=40)
+    monkeypatch.setattr(RDD, "reduce", refused)
+    monkeypatch.setattr(RDD, "treeReduce", refused)
+    sent = []
+    collect = RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    [tree] = histtrees.fit_trees(table, [histtrees.ClassTree(depth=3)])
+    assert len(tree.tree.feature) > 3
+    assert all(len(stats) == 4 for got in sent for _, found in got for stats, _ in found)  # three classes and the weight
