@@ -83,14 +83,19 @@ class Lattice:
         chance = np.where(begins, weights / weights[begins].sum(), weights / weights[~begins].sum())
         self.logs = np.log(np.maximum(chance, 1e-300)).tolist()
         self.stop, self.automaton = len(self.pieces), ahocorasick.Automaton()
-        for i, p in enumerate(self.pieces):
-            self.automaton.add_word(p, (i, len(p), chance[i]))
+        for i, (p, own) in enumerate(zip(self.pieces, chance.tolist())):  # the end of a word is no piece
+            self.automaton.add_word(p, (i, len(p), own))
         self.automaton.make_automaton()
         self.chance = chance
 
     def log_probability(self, word: bytes) -> float:
         """Natural log of the word's probability: forward recursion. Sums are
         held as mantissa, with a common log scale against underflow."""
+        if len(word) < 255:  # nothing to rescale
+            forward = [0.0] * (len(word) + 1) + [1.0]  # by a piece's last byte; the start is the place before 0
+            for end, (_, length, chance) in self.automaton.iter(" " + word.decode("latin-1")):
+                forward[end] += forward[end - length] * chance
+            return (math.log(forward[-2]) if forward[-2] > 0 else self.log_space(word)) + self.logs[self.stop]
         forward, scale = [1.0] + [0.0] * (len(word) + 1), 0.0
         at = 0
         for end, (_, length, chance) in self.automaton.iter(" " + word.decode("latin-1")):
@@ -120,18 +125,24 @@ class Lattice:
         if len(word) > PLAIN:
             return self.expected_long(word, into)
         n = len(word) + 1
-        arcs = [(end + 1, i, length, chance) for end, (i, length, chance) in self.automaton.iter(" " + word.decode("latin-1"))]
-        forward, backward = [1.0] + [0.0] * n, [0.0] * n + [1.0]
-        for end, _, length, chance in arcs:
+        arcs = []
+        forward = [0.0] * n + [1.0]  # by a piece's last byte; the start is the place before 0
+        for arc in self.automaton.iter(" " + word.decode("latin-1")):
+            arcs.append(arc)
+            end, (_, length, chance) = arc
             forward[end] += forward[end - length] * chance
-        if not forward[n] > 1e-290:  # too small for plain numbers
+        total = forward[n - 1]
+        if not total > 1e-290:  # too small for plain numbers
             return self.expected_long(word, into)
-        for end, _, length, chance in reversed(arcs):
-            backward[end - length] += backward[end] * chance
-        total = forward[n]
-        for end, i, length, chance in arcs:
-            if share := forward[end - length] * chance * backward[end]:
-                into[i] += share / total
+        backward = [0.0] * (n + 1)
+        backward[n - 1] = 1.0 / total
+        arcs.reverse()
+        for end, (i, length, chance) in arcs:  # what begins after `end` has been seen
+            if after := backward[end] * chance:
+                start = end - length
+                backward[start] += after
+                if share := forward[start] * after:
+                    into[i] += share
         into[self.stop] += 1.0
 
     def expected_long(self, word: bytes, into: list[float]) -> None:
@@ -255,18 +266,20 @@ def score_documents(docs: DataFrame, vocabulary_path: str, held_out: Column, doc
 
     def chances(words: pa.Array, counts: pa.Array) -> pa.Array:
         model, out = lattice(vocabulary_path, shared.value), []
-        last, spelled = None, 0.0
-        for word, c in zip(words.to_pylist(), counts.to_pylist(), strict=True):
+        coded = words.dictionary_encode()  # a word's rows stand together
+        at = coded.indices.to_numpy()
+        first = np.empty(len(coded.dictionary), np.int64)
+        first[at[::-1]] = np.arange(len(at))[::-1]
+        for word, c in zip(coded.dictionary.to_pylist(), counts.to_numpy()[first].tolist(), strict=True):
             if word == END:
                 out.append(math.log10((c - discount) / total) if c > discount else 0.0 if not total else math.log10(0.5 / total))
                 continue
-            if word != last:
-                last, spelled = word, model.log_probability(word)
+            spelled = model.log_probability(word)
             if c > discount:
                 out.append(math.log10((c - discount) / total + freed * math.exp(max(spelled, -700))))
             else:
                 out.append(spelled / math.log(10) + math.log10(freed))
-        return pa.array(out, pa.float64())
+        return pa.array(np.array(out)[at], pa.float64())
 
     table = counted.select("block", "word", "c", F.arrow_udf(chances, "double")("word", "c").alias("log10"))
 

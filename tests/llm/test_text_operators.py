@@ -394,3 +394,12 @@ def test_token_ids_of_other_tokenizers_and_signs():
         model = Tokenizer.from_file(path)
         got = packing.token_ids([t.encode() for t in texts], path)
         assert got == [np.array([*model.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for t in texts]
+
+
+def test_lattice_adds_plain_numbers():
+    """Numpy scalars in the automaton made each step of the sums cost twice."""
+    own = lattice_lm.lattice(vocabulary(), None)
+    assert {type(x) for _, (_, _, x) in own.automaton.items()} == {float}
+    for size in (0, 1, 253, 254, 255, 256, 600):  # with and without the rescaling
+        word = b"ab" * (size // 2) + b"c" * (size % 2)
+        assert own.log_probability(word) == pytest.approx(own.log_space(word) + own.logs[own.stop], rel=1e-9)
