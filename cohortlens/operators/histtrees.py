@@ -15,8 +15,8 @@ with them the trees, don't depend on how the rows are dealt. Where all rows fit
 one block, its sums need no merging: the task that holds it grows the trees on
 by itself, with the same functions and the same result, and the models are
 dealt to several tasks. A model's trees are all the state there is: raw scores
-are computed from the trees, and kept with the blocks for a few stages at a
-time, so a lost executor costs only its blocks' recomputation.
+are computed from the trees, and kept with the blocks from stage to stage,
+so a lost executor costs only its blocks' recomputation.
 
 Draws (row samples) come from a hash of the row's key, never from its place.
 """
@@ -42,8 +42,8 @@ SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 32_768
 MAX_BINS = 64
 SCALE = float(1 << 20)
-#: raw scores are kept with the blocks for so many stages
-KEEP_STAGES = 5
+#: raw scores follow from the last stage's, and after so many stages from all trees (the lineage stays short)
+KEEP_STAGES = 25
 #: the sums of so many blocks go to the driver directly
 FEW_BLOCKS = 16
 #: bytes of sums that a pass asks of a block
@@ -98,6 +98,24 @@ class Block:
     key: np.ndarray
     fold: np.ndarray
     step: np.ndarray
+    #: of each bundle its features and a code for each row: 0, or the place (from 1) of the one feature in its second bin
+    bundles: list[tuple[np.ndarray, np.ndarray]]
+
+
+def bundled(bins: np.ndarray, cuts: Cuts) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two-bin features that no row of these has in the second bin together
+    (the slots of a category), so that one count gives the sums of them all."""
+    out: list[tuple[list[int], np.ndarray]] = []
+    for f in np.flatnonzero(cuts.sizes == 2):
+        on = bins[f] > 0
+        for members, code in out:
+            if len(members) < 255 and not code[on].any():
+                members.append(int(f))
+                code[on] = len(members)
+                break
+        else:
+            out.append(([int(f)], on.astype(np.uint8)))
+    return [(np.array(members), code) for members, code in out]
 
 
 class Table:
@@ -157,7 +175,8 @@ class Table:
 
         def unpack(r) -> Block:
             y = np.frombuffer(r["y"], label_type)
-            return Block(np.frombuffer(r["bins"], np.uint8).reshape(features_, len(y)), y, np.frombuffer(r["w"]), np.frombuffer(r["key"], np.uint64), np.frombuffer(r["fold"], np.int16), np.frombuffer(r["step"], np.int16))
+            bins = np.frombuffer(r["bins"], np.uint8).reshape(features_, len(y))
+            return Block(bins, y, np.frombuffer(r["w"]), np.frombuffer(r["key"], np.uint64), np.frombuffer(r["fold"], np.int16), np.frombuffer(r["step"], np.int16), bundled(bins, cuts))
 
         self.rdd = materialize(packed).rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
         self.cores = cores
@@ -231,10 +250,29 @@ class Tree:
                      np.array([float(x[-1]) for x in self.stats]) / SCALE)
 
 
+#: trees of so many nodes step by whole columns
+FEW_NODES = 128
+
+
+def _stepped_columns(nodes: list[list[int]], bins: np.ndarray, steps: int) -> np.ndarray:
+    """As `stepped`, from the leaves up: a comparison of a column for each split."""
+    feature, cut, left, right = nodes
+
+    def ends(node: int, steps: int):
+        if feature[node] < 0 or not steps:
+            return np.int16(node)
+        return np.where(bins[feature[node]] <= cut[node], ends(left[node], steps - 1), ends(right[node], steps - 1))
+
+    at = ends(0, steps)
+    return at if isinstance(at, np.ndarray) else np.full(bins.shape[1], at)
+
+
 def stepped(tree, bins: np.ndarray, steps: int | None = None) -> np.ndarray:
     """The node of each row, after so many steps at most."""
     most = tree.depth if isinstance(tree.depth, int) else max(tree.depth)
     feature, cut, left, right = (np.asarray(x) for x in (tree.feature, tree.cut, tree.left, tree.right))
+    if len(feature) <= FEW_NODES:
+        return _stepped_columns([x.tolist() for x in (feature, cut, left, right)], bins, most if steps is None else min(most, steps))
     at = np.zeros(bins.shape[1], np.int64)
     for _ in range(most if steps is None else min(most, steps)):
         f = feature[at]
@@ -269,42 +307,63 @@ class Grown:
         return out
 
 
-def sums(bins: np.ndarray, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channels: Sequence[np.ndarray], nodes: Sequence[int], features: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+#: a weight of 1 beside a whole number, in one channel
+BESIDE = 1 << 34
+
+
+def _paired(channels: Sequence[np.ndarray]) -> np.ndarray | None:
+    """Two channels in one, where the second one's sums stay whole numbers of
+    weights and both together exact."""
+    h, w = channels
+    if len(h) and (h.min() < 0 or h.sum() >= BESIDE or w.min() < 0 or w.sum() >= SCALE * (1 << 18) or (w % SCALE).any()):
+        return None
+    return h + w * (BESIDE / SCALE)
+
+
+def sums(b: Block, cuts: Cuts, at: np.ndarray, rows: np.ndarray, channels: Sequence[np.ndarray], nodes: Sequence[int], features: np.ndarray, mask: np.ndarray | None = None, classes: int = 0) -> np.ndarray:
     """Whole-number sums (node, channel, bin) of the rows in these nodes; with
     `mask` (node, feature) only those of the features that a node may split at
-    need to be whole."""
+    need to be whole. With `classes` the channels are the labels and the
+    weights: the sums are the weights of each class, and of all."""
     slot = np.full(int(at.max(initial=0)) + 1, -1)
     known = [n for n in nodes if n < len(slot)]
     slot[known] = np.arange(len(nodes))[: len(known)]
     s = slot[at[rows]]
-    rows, s = rows[s >= 0], s[s >= 0]
-    out = np.zeros((len(nodes), len(channels), cuts.at[-1]), np.int64)
+    if len(s) and s.min() < 0:
+        rows, s = rows[s >= 0], s[s >= 0]
+    whole = len(rows) == b.bins.shape[1]  # then the rows are all rows, in order
+    values = list(channels) if whole else [c[rows] for c in channels]
+    both = _paired(values[1:]) if not classes and len(values) == 3 else None
+    count, out = len(nodes), np.zeros((len(nodes), classes + 1 if classes else len(channels), cuts.at[-1]), np.int64)
+
+    def added(place: np.ndarray, cells: int, times: int = 1) -> np.ndarray:
+        """Sums (node, channel, cell); a row has so many places."""
+        each = (lambda v: np.repeat(v, times)) if times > 1 else (lambda v: v)
+        if classes:
+            by = np.bincount(place * classes + each(values[0]), weights=each(values[1]), minlength=count * cells * classes).astype(np.int64).reshape(count, cells, classes)
+            return np.concatenate((by, by.sum(2, keepdims=True)), axis=2).transpose(0, 2, 1)
+        found = [np.bincount(place, weights=each(v), minlength=count * cells).astype(np.int64) for v in (values if both is None else [values[0], both])]
+        if both is not None:
+            found[1:] = [found[1] % BESIDE, found[1] // BESIDE * int(SCALE)]
+        return np.stack([x.reshape(count, cells) for x in found], axis=1)
+
     if mask is not None:  # as many features for each node: a row counts for those of its node only
-        own = np.nonzero(mask)[1].reshape(len(nodes), -1)[s]
-        place = (s[:, None] * cuts.at[-1] + cuts.at[own] + bins[own, rows[:, None]]).ravel()
-        for c, v in enumerate(channels):
-            out[:, c] = np.bincount(place, weights=np.repeat(v[rows], own.shape[1]), minlength=out[:, c].size).reshape(len(nodes), -1)
-        return out
-    pairs = features[cuts.sizes[features] == 2]
-    if len(pairs):  # two bins: rows in the order of their nodes, and a product for each node
-        order = np.argsort(s.astype(np.int16) if len(nodes) < 1 << 15 else s, kind="stable")
-        rows, s = rows[order], s[order]
-    values = np.stack([c[rows] for c in channels])
-    if len(pairs):
-        ends = np.searchsorted(s, np.arange(len(nodes) + 1))
-        low = cuts.at[pairs]
-        for a in range(0, len(rows), 1 << 15):
-            z = bins[pairs[:, None], rows[a : a + (1 << 15)]].astype(np.float64).T
-            for j in range(int(s[a]), int(s[min(a + (1 << 15), len(s)) - 1]) + 1):
-                i, k = max(a, ends[j]), min(a + (1 << 15), ends[j + 1])
-                out[j][:, low + 1] += (values[:, i:k] @ z[i - a : k - a]).astype(np.int64)
-        node = np.stack([np.bincount(s, weights=v, minlength=len(nodes)) for v in values], axis=1).astype(np.int64)
-        out[:, :, low] = node[:, :, None] - out[:, :, low + 1]
+        own = np.nonzero(mask)[1].reshape(count, -1)[s]
+        place = (s[:, None] * cuts.at[-1] + cuts.at[own] + b.bins[own, rows[:, None]]).ravel()
+        return np.ascontiguousarray(added(place, int(cuts.at[-1]), own.shape[1]))
+    asked = np.zeros(len(cuts.sizes), bool)
+    asked[features] = True
+    for members, code in b.bundles:
+        mine = np.flatnonzero(asked[members])
+        if len(mine):
+            cells = len(members) + 1
+            found = added(s * cells + (code if whole else code[rows]), cells)
+            low = cuts.at[members[mine]]
+            out[:, :, low + 1] = found[:, :, mine + 1]
+            out[:, :, low] = found.sum(2, keepdims=True) - found[:, :, mine + 1]
     for f in features[cuts.sizes[features] != 2]:
-        a, n = cuts.at[f], cuts.sizes[f]
-        place = s * n + bins[f][rows]
-        for c, v in enumerate(values):
-            out[:, c, a : a + n] = np.bincount(place, weights=v, minlength=len(nodes) * n).reshape(len(nodes), n)
+        first, n = cuts.at[f], int(cuts.sizes[f])
+        out[:, :, first : first + n] = added(s * n + (b.bins[f] if whole else b.bins[f][rows]), n)
     return out
 
 
@@ -476,7 +535,7 @@ class Boosting:
 
 
 def _hists(model: Boosting, b: Block, cuts: Cuts, rows: np.ndarray, channels, at: Sequence[np.ndarray], stage: int, k: int) -> np.ndarray:
-    return sums(b.bins, cuts, at[k], rows, channels[k], model.growing[k].open, model.features(stage, k, len(cuts.points)))
+    return sums(b, cuts, at[k], rows, channels[k], model.growing[k].open, model.features(stage, k, len(cuts.points)))
 
 
 def _grow(model: Boosting, found: dict[int, np.ndarray], cuts: Cuts, stage: int) -> None:
@@ -561,16 +620,15 @@ def fit_boosted(table: Table, models: list[Boosting]) -> list[Boosting]:
         done = mine.flatMap(lambda gb: [(i, _boost_here(models[i], gb[1], cuts)) for i in range(gb[0], len(models), groups)]).collect()
         return [m for _, m in sorted(done, key=lambda x: x[0])]
     each = classes * 3 * int(cuts.at[-1]) * 8  # bytes of sums of a node of all classes
-    kept, base = None, 0
+    kept = None
     for stage in range(max(m.stages for m in models)):
-        if stage % KEEP_STAGES == 0:  # raw scores from the trees so far, kept for some stages
-            whole = [(m, m.trees[:stage]) for m in models]
-            last = kept
+        last = kept
+        if stage % KEEP_STAGES == 0:
+            whole = [(replace(m, trees=[], growing=[]), m.trees[:stage]) for m in models]
             kept = table.rdd.map(lambda b, w=whole: (b, [m.add(np.tile(np.array(m.start), (len(b.label), 1)), b, t) for m, t in w])).persist(StorageLevel.MEMORY_AND_DISK)
-            kept.count()
-            base = stage
-            if last is not None:
-                last.unpersist()
+        else:
+            grown = [(replace(m, trees=[], growing=[]), m.trees[stage - 1 : stage]) for m in models]
+            kept = last.map(lambda x, w=grown: (x[0], [m.add(scores, x[0], t) for scores, (m, t) in zip(x[1], w, strict=True)])).persist(StorageLevel.MEMORY_AND_DISK)
         active = [i for i, m in enumerate(models) if stage < m.stages]
         for i in active:
             models[i].growing = [Tree() for _ in range(classes)]
@@ -586,12 +644,12 @@ def fit_boosted(table: Table, models: list[Boosting]) -> list[Boosting]:
                 wave.append(i)
                 load += cost
             for wave in waves:
-                sent = [(i, replace(models[i], trees=models[i].trees[base:], growing=[t.light() for t in models[i].growing])) for i in wave]
+                sent = [(i, replace(models[i], trees=[], growing=[t.light() for t in models[i].growing])) for i in wave]
 
                 def level(parts, sent=sent, stage=stage):
                     for b, scores in parts:
                         for i, m in sent:
-                            rows, channels = m.targets(b, m.add(scores[i].copy(), b, m.trees), stage)
+                            rows, channels = m.targets(b, scores[i], stage)
                             at = [stepped(t, b.bins) for t in m.growing]
                             for k, t in enumerate(m.growing):
                                 if t.open:
@@ -604,6 +662,8 @@ def fit_boosted(table: Table, models: list[Boosting]) -> list[Boosting]:
                 found = picked(table, kept, level, pick)
                 for i in wave:
                     _extend(models[i], {k: found[i, k] for k in range(classes) if (i, k) in found})
+        if last is not None:  # the passes of this stage have read it
+            last.unpersist()
         for i in active:
             models[i].finish()
     if kept is not None:
@@ -657,12 +717,12 @@ class ClassTree:
         # a pure node stays; a split that gains nothing may still prepare one that does, as in the exact algorithm
         return np.where(bad | (parent <= 1e-9 * (nl + nr)), -np.inf, np.maximum(gains, 0.0) + 1e-12)
 
-    def channels(self, b: Block, classes: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    def channels(self, b: Block) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The rows that count, and what `sums` adds up of them."""
         w = self.rows.weights(b)
         if self.draw is not None:
             w = w * np.searchsorted(poisson(self.rate), uniform(b.key, self.draw), side="right")
-        weight = np.rint(w * SCALE)
-        return np.flatnonzero(w > 0), [*(np.where(b.label == k, weight, 0.0) for k in range(classes)), weight]
+        return np.flatnonzero(w > 0), [b.label.astype(np.int64), np.rint(w * SCALE)]
 
     def close(self) -> None:
         """Nodes that can't be split any more are not open."""
@@ -688,9 +748,9 @@ class ValueTree(ClassTree):
         lo, hi = self.span
         return lo / 2 + hi / 2, max(hi / 2 - lo / 2, 1e-300)
 
-    def channels(self, b: Block, classes: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    def channels(self, b: Block) -> tuple[np.ndarray, list[np.ndarray]]:
         at, half = self.middle
-        rows, [weight] = super().channels(b, 0)
+        rows, [_, weight] = super().channels(b)
         y = (b.label - at) / half
         return rows, [np.rint(weight * y), np.rint(weight * y * y), weight]
 
@@ -724,7 +784,7 @@ NODES_AT_ONCE = 256
 
 
 def _tree_here(model: ClassTree, b: Block, cuts: Cuts, classes: int) -> ClassTree:
-    rows, channels = model.channels(b, classes)
+    rows, channels = model.channels(b)
     at, features = np.zeros(len(b.label), np.int64), model.features(len(cuts.points))
     model.close()
     while model.tree.open:
@@ -732,7 +792,7 @@ def _tree_here(model: ClassTree, b: Block, cuts: Cuts, classes: int) -> ClassTre
         for a in range(0, len(model.tree.open), NODES_AT_ONCE):
             nodes = model.tree.open[a : a + NODES_AT_ONCE]
             mask = model.mask(nodes, len(cuts.points))
-            found += best_splits(sums(b.bins, cuts, at, rows, channels, nodes, features, mask), cuts, features, model.gain, mask, [model.tree.stats[n] for n in nodes])
+            found += best_splits(sums(b, cuts, at, rows, channels, nodes, features, mask, classes), cuts, features, model.gain, mask, [model.tree.stats[n] for n in nodes])
         model.tree.extend(found)
         at = model.tree.advance(b.bins, at)
         model.close()
@@ -768,8 +828,8 @@ def fit_trees(table: Table, models: list[ClassTree]) -> list[ClassTree]:
             def level(blocks, sent=sent):
                 for b in blocks:
                     for i, a, m in sent:
-                        rows, channels = m.channels(b, classes)
-                        yield (i, a), sums(b.bins, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], m.features(count), m.mask(m.tree.open[a : a + most], count))
+                        rows, channels = m.channels(b)
+                        yield (i, a), sums(b, cuts, stepped(m.tree, b.bins), rows, channels, m.tree.open[a : a + most], m.features(count), m.mask(m.tree.open[a : a + most], count), classes)
 
             def pick(key, first, one, by={(i, a): m for i, a, m in sent}, known=known):
                 m, at = by[key], key[1] + first

@@ -227,3 +227,42 @@ def test_sums_of_blocks_do_not_reach_the_driver(data, monkeypatch):
     [tree] = histtrees.fit_trees(table, [histtrees.ClassTree(depth=3)])
     assert len(tree.tree.feature) > 3
     assert all(len(stats) == 4 for got in sent for _, found in got for stats, _ in found)  # three classes and the weight
+
+
+def test_slots_of_a_category_share_a_count():
+    r = np.random.default_rng(5)
+    n, slots = 500, 6
+    x = np.column_stack([np.eye(slots)[r.integers(0, slots, n)], r.integers(0, 2, n), r.integers(0, 9, n)])
+    cuts = histtrees.cuts_of(x)
+    bins = cuts.bins(x)
+    bundles = histtrees.bundled(bins, cuts)
+    assert [m.tolist() for m, _ in bundles] == [list(range(slots)), [slots]]  # six slots in one count; the other flag has its own
+    none = np.zeros(n, np.int64)
+    block = histtrees.Block(bins, none, np.ones(n), none.astype(np.uint64), none, none, bundles)
+    at = r.integers(0, 4, n)
+    for w in (np.rint(r.random(n) * histtrees.SCALE), r.integers(1, 5, n) * histtrees.SCALE):  # the second kind is counted beside the curvature
+        channels = [np.rint(r.normal(0, histtrees.SCALE, n)), np.rint(r.random(n) * histtrees.SCALE), w]
+        assert (histtrees._paired(channels[1:]) is None) == (w % histtrees.SCALE).any()
+        for rows in (np.arange(n), np.flatnonzero(r.random(n) < 0.5)):
+            got = histtrees.sums(block, cuts, at, rows, channels, [1, 3], np.array([0, 2, 6, 7]))
+            for j, node in enumerate((1, 3)):
+                for f in (0, 2, 6, 7):
+                    for v in range(cuts.sizes[f]):
+                        own = rows[(at[rows] == node) & (bins[f][rows] == v)]
+                        assert got[j, :, cuts.at[f] + v].tolist() == [int(c[own].sum()) for c in channels]
+
+
+def test_a_stage_adds_its_trees_to_the_kept_scores(data, monkeypatch):
+    counted = data.sparkSession.sparkContext.accumulator(0)
+    add = histtrees.Boosting.add
+
+    def noted(self, scores, b, stages):
+        counted.add(len(stages))
+        return add(self, scores, b, stages)
+
+    table = histtrees.Table(data, key="id", block_rows=100)
+    monkeypatch.setattr(histtrees.Boosting, "add", noted)
+    [model] = histtrees.fit_boosted(table, [histtrees.Boosting(stages=6, depth=3)])
+    assert len(model.trees) == 6
+    assert counted.value <= 6 * table.blocks  # once for each block and stage, however many levels
+    table.release()
