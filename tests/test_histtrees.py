@@ -266,3 +266,24 @@ def test_a_stage_adds_its_trees_to_the_kept_scores(data, monkeypatch):
     assert len(model.trees) == 6
     assert counted.value <= 6 * table.blocks  # once for each block and stage, however many levels
     table.release()
+
+
+@pytest.mark.parametrize("rows", [0, 60, 150])
+def test_small_nodes_are_finished_where_their_rows_are(data, monkeypatch, rows):
+    make = lambda: [histtrees.ClassTree(histtrees.Rows(fold=0)), histtrees.ClassTree(min_split=5, criterion="entropy"), histtrees.ClassTree(histtrees.Rows(fold=1), 6, draw=3)]
+    one, many = histtrees.Table(data, key="id", fold="fold"), histtrees.Table(data, key="id", fold="fold", block_rows=100)
+    whole = histtrees.fit_trees(one, make())
+    passes = []
+    picked = histtrees.picked
+    monkeypatch.setattr(histtrees, "picked", lambda *args: passes.append(1) or picked(*args))
+    monkeypatch.setattr(histtrees, "LOCAL_ROWS", rows)
+    for a, b in zip(whole, histtrees.fit_trees(many, make()), strict=True):
+        assert a.tree.feature == b.tree.feature and a.tree.cut == b.tree.cut and a.tree.left == b.tree.left and a.tree.depth == b.tree.depth
+        assert all((s == t).all() for s, t in zip(a.tree.stats, b.tree.stats, strict=True))
+    deepest = max(max(m.tree.depth) for m in whole)
+    assert not rows or len(passes) < deepest  # no pass a level down to the leaves
+    ways = [1, 3, None]
+    want, got = histtrees.confusions(one, whole[:2], ways), histtrees.judged_trees(many, make()[:2], ways)
+    assert want.keys() == got.keys() and all((want[k] == got[k]).all() for k in want)
+    for t in (one, many):
+        t.release()
