@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from cohortlens.operators import histtrees, models, search
+from cohortlens.operators import histtrees, models, search, select
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +52,27 @@ def test_fold_scores_are_those_of_spark_trees(folded, monkeypatch, no_fit, rows)
         assert [r["score"] for r in models.cv_scores(est, folded, folds=3).orderBy("fold").collect()] == pytest.approx(one, abs=1e-12)
 
 
+@pytest.mark.parametrize("leaky", [False, True])
+def test_sweep_is_that_of_a_selector_and_a_tree_for_each_k_and_fold(folded, monkeypatch, no_fit, leaky):
+    from pyspark.ml import Pipeline
+    ks, want = [1, 2, 4], {}
+    for k in ks:
+        selector = select.FScoreSelector(featuresCol="features", labelCol="label", outputCol="__sel", k=k)
+        tree = models.decision_tree(max_depth=5, features="__sel")
+        want[k] = np.mean(_spark_scores(tree, selector.fit(folded).transform(folded), 3) if leaky else _spark_scores(Pipeline(stages=[selector, tree]), folded, 3))
+    no_fit()
+    _blocks(monkeypatch, 200)
+    summary, best = select.sweep_k(folded, ks, lambda c: models.decision_tree(max_depth=5, features=c), folds=3, leaky=leaky)
+    got = {r["k"]: r["mean"] for r in summary.collect()}
+    assert got == pytest.approx(want, abs=1e-12) and best.first()["best_k"] == max(ks, key=lambda k: (want[k], -k))
+
+
+def test_scores_of_all_folds_come_from_one_pass(folded):
+    together = select.fold_f_scores(folded, "features", "label", "fold", 3)
+    for f, got in enumerate(together):
+        assert got == pytest.approx(select.vector_f_scores(folded.where(F.col("fold") != f), "features", "label"), rel=1e-9, nan_ok=True)
+
+
 def test_other_estimators_are_fitted(folded):
     weighted = models.decision_tree(max_depth=2, weight="w")
     assert not search.grows(weighted, folded, "features") and not search.grows(models.logistic(), folded, "features")
