@@ -1,8 +1,9 @@
 """Trees from histograms of a binned table, many models in the same passes
 (the core of M10/M11, and the shared-work searches of M01/M12/M14).
 
-The rows are binned once (cuts from at most `SAMPLE_ROWS` rows, chosen by a
-hash of their content; below that number all rows) and packed into blocks of
+The rows are binned once (cuts from about `SAMPLE_ROWS` distinct rows at most,
+chosen by a hash of all their columns, that count as often as they stand in
+the table; below that number all rows) and packed into blocks of
 bytes, one byte for each row and feature. A pass over the blocks adds up, for
 every open node of every tree that is being grown, the sums of a few channels
 for each bin; the blocks' sums are merged on the executors, where the splits are
@@ -38,6 +39,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from cohortlens.operators.leafscores import Nodes
 from cohortlens.session import materialize, ship_package
@@ -88,10 +90,13 @@ class Cuts:
         return out
 
 
-def cuts_of(values: np.ndarray, max_bins: int = MAX_BINS) -> Cuts:
+def cuts_of(values: np.ndarray, max_bins: int = MAX_BINS, count: np.ndarray | None = None) -> Cuts:
+    """The cuts of all features; a row of `values` counts as one, or as `count` says."""
     points = []
     for f in range(values.shape[1]):
-        v, n = np.unique(values[~np.isnan(values[:, f]), f], return_counts=True)
+        present = ~np.isnan(values[:, f])
+        v, at = np.unique(values[present, f], return_inverse=True)
+        n = np.bincount(at, weights=None if count is None else count[present], minlength=len(v)).astype(np.int64)
         if len(v) > max_bins:
             share = np.cumsum(n) * max_bins // (n.sum() + 1)  # the bin that the last of equal values falls into
             ends = np.flatnonzero(share[1:] > share[:-1])
@@ -101,13 +106,14 @@ def cuts_of(values: np.ndarray, max_bins: int = MAX_BINS) -> Cuts:
     return Cuts(points)
 
 
-def weighted_cuts(values: np.ndarray, weights: np.ndarray, max_bins: int) -> np.ndarray:
+def weighted_cuts(values: np.ndarray, weights: np.ndarray, max_bins: int, rows: int | None = None) -> np.ndarray:
     """Cut points of one feature by the rule of Spark ML's trees: between all
     neighbouring values, or, where these are too many, between those nearest
-    to equal shares of the weight."""
+    to equal shares of the weight. The values stand for so many `rows` (None:
+    one each)."""
     present = ~np.isnan(values)
     v, at = np.unique(values[present], return_inverse=True)
-    most = min(max_bins, len(values)) - 1
+    most = min(max_bins, len(values) if rows is None else rows) - 1
     if len(v) - 1 <= most:
         return v[:-1] / 2 + v[1:] / 2
     run = np.cumsum(np.bincount(at, weights=weights[present], minlength=len(v)))
@@ -126,8 +132,13 @@ class Sample:
 
     values: np.ndarray  # row x feature
     label: np.ndarray
-    weight: np.ndarray
+    weight: np.ndarray  # of all rows that a row here stands for
     fold: np.ndarray
+    count: np.ndarray  # of rows that a row here stands for
+
+    @property
+    def rows(self) -> int:
+        return int(self.count.sum())
 
 
 def fold_cuts(sample: Sample, folds: int, max_bins: int) -> Cuts:
@@ -138,7 +149,7 @@ def fold_cuts(sample: Sample, folds: int, max_bins: int) -> Cuts:
         ways: dict = {}
         for fold, columns in enumerate(by_fold):
             out = sample.fold != fold
-            cut = weighted_cuts(sample.values[out, f], np.ones(out.sum()), max_bins)
+            cut = weighted_cuts(sample.values[out, f], sample.count[out], max_bins, int(sample.count[out].sum()))
             if cut.tobytes() not in ways:
                 ways[cut.tobytes()] = len(points)
                 points.append(cut)
@@ -151,6 +162,11 @@ def _vector(df: DataFrame, features: str) -> Column:
     return vector_to_array(F.col(features)) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features).cast("array<double>")
 
 
+def _plain(df: DataFrame, features: str) -> list[Column]:
+    """The other columns that can be hashed: with them equal vectors are told apart."""
+    return [F.col(f"`{c.name}`") for c in df.schema.fields if c.name != features and isinstance(c.dataType, AtomicType) and not isinstance(c.dataType, VariantType)]
+
+
 @dataclass
 class Block:
     bins: np.ndarray
@@ -201,27 +217,35 @@ class Table:
         draw = F.xxhash64(F.col(key)) if key else F.xxhash64(x, F.col(label))
         rows = df.where(F.col(features).isNotNull() & F.col(label).isNotNull()).select(
             x.alias("x"), F.col(label).cast("double").alias("y"), name(weight, 1.0).cast("double").alias("w"), draw.alias("key"),
-            name(fold, -1).cast("int").alias("fold"), name(step, 0).cast("int").alias("step"))
+            name(fold, -1).cast("int").alias("fold"), name(step, 0).cast("int").alias("step"), F.xxhash64(x, *_plain(df, features)).alias("row"))
         self.span = (0.0, 0.0)
         #: no positive weight is below it
         self.least = 1.0 if weight is None else rows.agg(F.min(F.when(F.col("w") > 0, F.col("w")))).first()[0] or 1.0
         if numeric:
             rows = rows.where(F.abs("y") < float("inf"))
-            whole = rows.agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi")).first()
-            self.rows, self.classes = whole["n"], 0
+            whole = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("row").alias("d"), F.min("y").alias("lo"), F.max("y").alias("hi")).first()
+            self.rows, self.classes, distinct = whole["n"], 0, whole["d"]
             if whole["n"]:
                 self.span = whole["lo"], whole["hi"]
         else:
-            self.rows, self.classes = self._counted(rows)
+            self.rows, self.classes, distinct = self._counted(rows)
         if not self.rows:
             raise ValueError("no rows with features and a label to learn from")
-        share = 1.0 if self.rows <= SAMPLE_ROWS else SAMPLE_ROWS / self.rows
-        picked = rows if share == 1.0 else rows.where(F.pmod(F.xxhash64("x"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        found = picked.select("x", *(("y", "w", "fold") if rule else ())).toArrow()
+        own = ["x", *(("y", "w", "fold") if rule else ())]
+        if self.rows <= SAMPLE_ROWS:
+            picked = rows.select(*own, F.lit(1).cast("long").alias("count"))
+        else:  # few distinct rows are all taken: a hash of them could leave all out
+            share = min(1.0, SAMPLE_ROWS / max(1, distinct))
+            picked = rows.where(F.pmod("row", F.lit(1 << 40)) < int(share * (1 << 40))).groupBy(*own).count()
+        found = picked.toArrow()
         sample = found.column(0).combine_chunks()
         width = len(sample[0]) if len(sample) else 0
-        values = sample.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        self.cuts = rule(Sample(values, *(found.column(c).to_numpy() for c in ("y", "w", "fold")))) if rule else cuts_of(values, max_bins)
+        values, count = sample.flatten().to_numpy(zero_copy_only=False).reshape(len(sample), width), found.column("count").to_numpy()
+        if rule:
+            y, w, of = (found.column(c).to_numpy() for c in ("y", "w", "fold"))
+            self.cuts = rule(Sample(values, y, w * count, of, count))
+        else:
+            self.cuts = cuts_of(values, max_bins, count)
         cores = spark.sparkContext.defaultParallelism
         self.blocks = 1 if self.rows <= block_rows else max(cores, -(-self.rows // block_rows))
         cuts, label_type = self.cuts, np.float64 if numeric else np.int16
@@ -238,7 +262,7 @@ class Table:
                 types = [np.uint8, np.float64, label_type, np.float64, np.uint64, np.int16, np.int16]
                 yield pa.RecordBatch.from_arrays([pa.array([c.astype(t).tobytes()], pa.binary()) for c, t in zip(whole, types, strict=True)], names=["bins", "raw", "y", "w", "key", "fold", "step"])
 
-        packed = rows.repartition(self.blocks).mapInArrow(pack, "bins binary, raw binary, y binary, w binary, key binary, fold binary, step binary")
+        packed = rows.drop("row").repartition(self.blocks).mapInArrow(pack, "bins binary, raw binary, y binary, w binary, key binary, fold binary, step binary")
         features_ = len(self.cuts.points)
 
         def unpack(r) -> Block:
@@ -251,11 +275,13 @@ class Table:
         self.cores = cores
 
     @staticmethod
-    def _counted(rows: DataFrame) -> tuple[int, int]:
-        counts = {int(r["y"]): r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).limit(10_001).collect()}
+    def _counted(rows: DataFrame) -> tuple[int, int, int]:
+        """Rows, classes, and about how many distinct rows."""
+        found = rows.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("row").alias("d")).limit(10_001).collect()
+        counts = {int(r["y"]): r["n"] for r in found}
         if len(counts) > 10_000:
             raise ValueError("more than 10,000 distinct labels: not a class column")
-        return sum(counts.values()), max(counts, default=-1) + 1
+        return sum(counts.values()), max(counts, default=-1) + 1, sum(r["d"] for r in found)
 
     def dealt(self, groups: int):
         """One block: a copy for each group of models, in tasks of their own."""
@@ -1206,8 +1232,8 @@ class Samme:
 
     def rule(self, sample: Sample) -> Cuts:
         self.sample = sample
-        points = [weighted_cuts(x, sample.weight, self.max_bins) for x in sample.values.T]
-        many = [f for f, x in enumerate(sample.values.T) if len(np.unique(x[~np.isnan(x)])) > min(self.max_bins, len(x))]
+        points = [weighted_cuts(x, sample.weight, self.max_bins, sample.rows) for x in sample.values.T]
+        many = [f for f, x in enumerate(sample.values.T) if len(np.unique(x[~np.isnan(x)])) > min(self.max_bins, sample.rows)]
         self.cuts = Cuts(points, again=many)
         return self.cuts
 
@@ -1222,7 +1248,7 @@ class Samme:
     def recut(self) -> Cuts:
         points = list(self.cuts.points)
         for f in self.cuts.again:
-            points[f] = weighted_cuts(self.sample.values[:, f], self.sample.weight, self.max_bins)
+            points[f] = weighted_cuts(self.sample.values[:, f], self.sample.weight, self.max_bins, self.sample.rows)
         return Cuts(points, again=self.cuts.again)
 
     def light(self) -> Samme:

@@ -78,3 +78,30 @@ def test_other_estimators_are_fitted(folded):
     assert not search.grows(weighted, folded, "features") and not search.grows(models.logistic(), folded, "features")
     assert search.grows(models.decision_tree(max_depth=2), folded, "features")
     assert models.cv_scores(models.logistic(max_iter=3), folded, folds=3).count() == 3
+
+
+@pytest.mark.parametrize("columns", [["id", "features", "label", "fold"], ["features", "label", "fold"]])
+def test_few_distinct_rows_of_a_large_table_are_all_cut(spark, monkeypatch, columns):
+    """More rows than the sample takes, but four distinct vectors: a hash of the vector would leave out most of them."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(600):
+        a, b = int(rng.random() < 0.5), int(rng.random() < 0.1)
+        rows.append((i, Vectors.dense(a, b), float((2 if a else b) if rng.random() < 0.8 else rng.integers(0, 3)), int(rng.integers(0, 3))))
+    df = spark.createDataFrame(rows, ["id", "features", "label", "fold"]).withColumn("fold", F.col("fold").cast("int")).select(*columns)
+    want = _spark_scores(models.decision_tree(max_depth=2), df, 3)
+    monkeypatch.setattr(histtrees, "SAMPLE_ROWS", 100)
+    assert [r["score"] for r in models.cv_scores(models.decision_tree(max_depth=2), df, folds=3).orderBy("fold").collect()] == pytest.approx(want, abs=1e-12)
+    summary, _ = select.sweep_k(df, [1, 2], lambda c: models.decision_tree(max_depth=2, features=c), folds=3)
+    assert summary.where("k = 2").first()["mean"] == pytest.approx(np.mean(want), abs=1e-12)
+
+
+def test_sampled_rows_count_as_often_as_they_stand_there(spark, monkeypatch):
+    monkeypatch.setattr(histtrees, "SAMPLE_ROWS", 20)
+    df = spark.createDataFrame([([float(min(i, 6))], 0.0) for i in range(40)], "features array<double>, label double")
+    rows = []
+    table = histtrees.Table(df, rule=lambda sample: (rows.append(sample), histtrees.fold_cuts(sample, 1, 32))[1])
+    table.release()
+    [sample] = rows
+    assert sample.rows == 40 and dict(zip(sample.values[:, 0].tolist(), sample.weight.tolist(), strict=True)) == {**dict.fromkeys(range(6), 1.0), 6.0: 34.0}
+    assert histtrees.cuts_of(np.array([[1.0], [2.0], [3.0]]), 2, np.array([6, 1, 1])).points[0].tolist() == histtrees.cuts_of(np.array([[1.0]] * 6 + [[2.0], [3.0]]), 2).points[0].tolist()
