@@ -48,6 +48,27 @@ def test_trees_are_the_same_however_rows_are_dealt(data, monkeypatch):
     assert a.keys() == b.keys() and all((a[k] == b[k]).all() for k in a)
 
 
+def test_judged_forests_are_held_a_few_trees_at_a_time(data, monkeypatch):
+    forests = lambda: [histtrees.Forest(histtrees.Rows(fold=f), count=7) for f in (0, None)]
+    whole = histtrees.Table(data, key="id", fold="fold")
+    want = histtrees.fit_forests(whole, forests(), judged=True)
+    whole.release()
+    grown, fit = [], histtrees.fit_trees
+
+    def counted(table, models):
+        out = fit(table, models)
+        grown.append(sum(len(m.tree.feature) for m in out) if len(out) > 1 else 0)
+        return out
+
+    monkeypatch.setattr(histtrees, "fit_trees", counted)
+    monkeypatch.setattr(histtrees, "DRIVER_NODES", 400)
+    table = histtrees.Table(data, key="id", fold="fold", block_rows=40)
+    got = histtrees.fit_forests(table, forests(), judged=True)
+    table.release()
+    assert got.keys() == want.keys() and all((got[k] == want[k]).all() for k in want)
+    assert len(grown) > 2 and max(grown) <= 600  # some trees are larger than the largest so far
+
+
 def _plain_boosting(x, y, stages, rate, depth, classes=3):
     """Exact greedy trees on residuals, Newton leaves: raw scores of all rows."""
     scores = np.tile(np.log(np.bincount(y, minlength=classes) / len(y)), (len(y), 1))
